@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -77,47 +77,52 @@ def topic_blocks(text: Column) -> Column:
     return F.filter(F.split(text, _HEADING), lambda b: b.rlike(rf"^[#* \t]*{TOPIC}[ \t]*\d+"))
 
 
-def _line(block: Column, label: str) -> Column:
-    value = F.regexp_extract(block, rf"(?m)^[*# \t]*{label}[:：]\**[ \t]*(.*?)[* \t\r]*$", 1)
-    return F.when(value != "", value)
+def labelled_parts(block: Column) -> Column:
+    """A topic text cut before each labelled line and each rule; the first part is heading and lead."""
+    return F.split(block, rf"(?m)^(?=[*# \t]*(?:{'|'.join(LABELS.values())})[:：]|[ \t]*(?:-{{3,}}|\*{{3,}})[ \t\r]*$)")
 
 
-def _section(block: Column, label: str) -> Column:
-    """A labelled text that runs up to the next labelled line, a rule or the end."""
-    stops = "|".join(LABELS.values())
-    pattern = rf"(?ms)^[*# \t]*{label}[:：]\**\s*(.*?)\s*(?=^[*# \t]*(?:{stops})[:：]|^[ \t]*(?:---|\*\*\*)|\z)"
-    value = F.regexp_extract(block, pattern, 1)
-    return F.when(value != "", value)
+def _filled(text: Column) -> Column:
+    return F.when(text != "", text)
 
 
-def _lead(block: Column) -> Column:
-    """The text between the heading and the first labelled line."""
-    stops = "|".join(LABELS.values())
-    value = F.regexp_extract(
-        block, rf"(?ms)\A[^\n]*\n\s*(.*?)\s*(?=^[*# \t]*(?:{stops})[:：]|\z)", 1)
-    return F.when(value != "", value)
+def _matches(pattern: str) -> Callable[[Column], Column]:
+    return lambda text: text.rlike(pattern)
 
 
-def card_fields(block: Column) -> dict[str, Column]:
-    """The fields of one topic text, in any of the three layouts that briefings use."""
-    title, subtitle = _line(block, LABELS["title"]), _line(block, LABELS["subtitle"])
-    one_line = F.split(title, r"\s+/\s+", 2)
-    joined = subtitle.isNull() & (F.size(one_line) == 2)
-    day, source = _line(block, LABELS["date"]), _line(block, LABELS["source"])
+def card_texts(parts: Column) -> dict[str, Column]:
+    """The text under each label, and the lead; the first part with a label counts."""
+    texts = {"lead": _filled(F.trim(F.regexp_replace(F.get(parts, F.lit(0)), r"\A[^\n]*", ""), F.lit(BLANKS)))}
+    for name, label in LABELS.items():
+        mark = rf"\A[*# \t]*{label}[:：]"
+        part = F.get(F.filter(parts, _matches(mark)), F.lit(0))
+        texts[name] = _filled(F.trim(F.regexp_replace(part, rf"{mark}\**", ""), F.lit(BLANKS)))
+    return texts
+
+
+def _one_line(text: Column) -> Column:
+    """The first line of a text, without the marks of bold print at its end."""
+    return F.rtrim(F.substring_index(text, "\n", 1), F.lit(BLANKS + "*"))
+
+
+def card_fields(texts: dict[str, Column]) -> dict[str, Column]:
+    """The fields of one topic, in any of the three layouts that briefings use."""
+    title, subtitle = _one_line(texts["title"]), _one_line(texts["subtitle"])
+    halves = F.split(title, r"\s+/\s+", 2)
+    joined = subtitle.isNull() & (F.size(halves) == 2)
     ymd = r"(\d{4})[-年](\d{1,2})[-月](\d{1,2})"
-    parts = [F.regexp_extract(day, ymd, i).try_cast("int") for i in (1, 2, 3)]
-    url = F.regexp_extract(source, r"(https?://[^\s）)\]]+)", 1)
-    name = F.trim(F.regexp_replace(source, r"\s*(?:[–—-]\s*)?https?://.*$", ""))
+    numbers = [F.regexp_extract(texts["date"], ymd, i).try_cast("int") for i in (1, 2, 3)]
+    source = _one_line(texts["source"])
     return {
-        "card_no": F.regexp_extract(block, _NUMBER, 1).try_cast("int"),
-        "tags": F.regexp_extract_all(F.coalesce(_line(block, LABELS["tags"]), F.lit("")), F.lit(r"(#[^#\s]+)"), F.lit(1)),
-        "title": F.when(joined, F.get(one_line, F.lit(0))).otherwise(title),
-        "subtitle": F.when(joined, F.get(one_line, F.lit(1))).otherwise(subtitle),
-        "content": F.coalesce(_section(block, LABELS["content"]), _lead(block)),
-        "angle": _section(block, LABELS["angle"]),
-        "date": F.try_make_timestamp(*parts, *[F.lit(0)] * 3).cast("date"),
-        "source": F.when(name != "", name),
-        "source_url": F.when(url != "", url),
+        "card_no": F.regexp_extract(texts["block"], _NUMBER, 1).try_cast("int"),
+        "tags": F.regexp_extract_all(F.coalesce(texts["tags"], F.lit("")), F.lit(r"(#[^#\s]+)"), F.lit(1)),
+        "title": F.when(joined, F.get(halves, F.lit(0))).otherwise(title),
+        "subtitle": F.when(joined, F.get(halves, F.lit(1))).otherwise(subtitle),
+        "content": F.coalesce(texts["content"], texts["lead"]),
+        "angle": texts["angle"],
+        "date": F.try_make_timestamp(*numbers, *[F.lit(0)] * 3).cast("date"),
+        "source": _filled(F.trim(F.regexp_replace(source, r"\s*(?:[–—-]\s*)?https?://.*$", ""))),
+        "source_url": _filled(F.regexp_extract(source, r"(https?://[^\s）)\]]+)", 1)),
     }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import text as X
 from tidewire.functions.timecols import since
-from tidewire.operators.ranking import first_per_group, numbered_top, top_rows
+from tidewire.operators.ranking import first_per_group, first_rows_per_group, numbered_top, top_rows
 
 
 def with_keyword_marks(rows: DataFrame, text: Column, conflict: Sequence[str], bang: Sequence[str],
@@ -30,7 +30,7 @@ def without_routine_conflict(rows: DataFrame) -> DataFrame:
 def picks(rows: DataFrame, n: int = X.CARDS_PER_BRIEFING, group: str = "event_uri", key: str = "id",
           body: str = "body") -> DataFrame:
     """The rows to write cards for: one per event, the richest; bang words first, then by score."""
-    distinct = first_per_group(rows, [group], [F.desc(F.length(body)), F.col(key)])
+    distinct = first_rows_per_group(rows, [F.col(group)], [F.length(body)], key)
     order = [F.desc("has_bang"), F.desc("final_score_v2"), F.col(key)]
     return numbered_top(distinct, order, n, name="pick_no")
 
@@ -58,8 +58,10 @@ def selected(candidate_rows: DataFrame, chosen: DataFrame, group: str) -> DataFr
 def parse_cards(briefings: DataFrame, key: str = "name", text: str = "text") -> DataFrame:
     """One row per topic of each briefing. The preamble before the first heading is dropped."""
     blocks = briefings.select(key, F.posexplode(X.topic_blocks(F.col(text))).alias("pos", "block"))
-    fields = X.card_fields(F.col("block"))
-    return blocks.select(key, "pos", *[c.alias(n) for n, c in fields.items()]).withColumn(
+    parts = blocks.select(key, "pos", "block", X.labelled_parts(F.col("block")).alias("parts"))
+    lines = parts.select(key, "pos", "block", *[c.alias(n) for n, c in X.card_texts(F.col("parts")).items()])
+    fields = X.card_fields({n: F.col(n) for n in ("block", "lead", *X.LABELS)})
+    return lines.select(key, "pos", *[c.alias(n) for n, c in fields.items()]).withColumn(
         "source_domain", F.coalesce(X.domain(F.col("source_url")), F.col("source")))
 
 

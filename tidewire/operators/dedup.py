@@ -7,8 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.operators.lookup import lookup
-from tidewire.operators.ranking import first_per_group
+from tidewire.operators.lookup import lookup, rows_with_keys
+from tidewire.operators.ranking import first_rows_per_group
 from tidewire.session import settle
 
 BITS = 60
@@ -91,26 +91,35 @@ def normal_url(url: Column) -> Column:
     return F.regexp_replace(bare, "/+$", "")
 
 
-def same_url_dropped(df: DataFrame, key: str, url: str = "url") -> DataFrame:
-    """The first row by ``key`` of each normalised url; rows without a url all stay."""
-    with_url = first_per_group(df.filter(F.col(url).isNotNull()), [normal_url(F.col(url))], [F.col(key)])
-    return with_url.unionByName(df.filter(F.col(url).isNull()))
+def first_of_each(df: DataFrame, key: str, value: Column) -> DataFrame:
+    """The row with the smallest unique ``key`` of each value; rows without a value all stay.
 
+    Only values that occur more than once are looked up, so that the rows stay where they are
+    unless there are very many of them.
+    """
+    valued = df.withColumn("__value", value)
+    repeated = valued.filter(F.col("__value").isNotNull()).groupBy("__value").agg(
+        F.min(key).alias("__first"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    marked = lookup(valued, settle(repeated), "__value", spread_by=key)
+    return marked.filter(F.col("__first").isNull() | (F.col("__first") == F.col(key))).select(*df.columns)
 
-def repeats_dropped(df: DataFrame, key: str, url: str = "url", title: str = "title") -> DataFrame:
-    """Rows without an earlier row of the same url or a similar title."""
-    fresh = near_repeats(df, key, F.col(title)).filter(~F.col("is_repeat")).select(key)
-    first_urls = same_url_dropped(df, key, url).select(key)
-    return df.join(first_urls, key, "left_semi").join(fresh, key, "left_semi")
+
+def same_url_dropped(df: DataFrame, key: str, url: str = "url") -> DataFrame:
+    """The first row by ``key`` of each normalised url."""
+    return first_of_each(df, key, normal_url(F.col(url)))
 
 
 def exact_repeats_dropped(df: DataFrame, key: str, text: str) -> DataFrame:
-    """The first row by ``key`` of each text. Only a digest and the key are shuffled for the choice."""
-    digests = df.select(key, F.sha2(F.col(text), 256).alias("digest"))
-    firsts = digests.groupBy("digest").agg(F.min(key).alias(key)).select(key)
-    return df.join(firsts, key, "left_semi")
+    """The first row by ``key`` of each text, compared by a 256-bit digest."""
+    return first_of_each(df, key, F.sha2(F.col(text), 256))
+
+
+def repeats_dropped(df: DataFrame, key: str, url: str = "url", title: str = "title") -> DataFrame:
+    """Rows without an earlier row of the same url or a similar title."""
+    similar = settle(near_repeats(df, key, F.col(title)).filter("is_repeat").select(key))
+    return rows_with_keys(same_url_dropped(df, key, url), similar, key, "left_anti")
 
 
 def richest_per_group(df: DataFrame, group: str, key: str, body: str = "body") -> DataFrame:
     """One row per group: the one with the longest body."""
-    return first_per_group(df, [group], [F.desc(F.length(body)), F.col(key)])
+    return first_rows_per_group(df, [F.col(group)], [F.length(body)], key)

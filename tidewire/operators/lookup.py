@@ -29,6 +29,7 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str
     The size of ``dim`` is measured. Up to ``max_bytes`` it is broadcast, and the facts are not
     shuffled. Beyond that each key is split into ``spread`` slots: a fact picks its slot by
     ``spread_by``, the dimension row is repeated once per slot, so a hot key is spread evenly.
+    ``dim`` should be stored or settled, because measuring it reads it once more.
     """
     if payload_bytes(dim) <= max_bytes:
         return facts.join(F.broadcast(dim), key, how)
@@ -37,3 +38,14 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str
     slotted_facts = facts.withColumn(_SLOT, F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
     joined = slotted_facts.hint("merge").join(slotted_dim, [key, _SLOT], how)
     return joined.drop(_SLOT)
+
+
+def rows_with_keys(df: DataFrame, keys: DataFrame, key: str, how: str = "left_semi",
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Rows of a wide table whose unique ``key`` is (or, with ``left_anti``, is not) among ``keys``.
+
+    Few keys are broadcast, so that the wide rows stay where they are. Many keys take a shuffle
+    join; the key is unique, so it cannot be skewed.
+    """
+    wanted = keys.select(key)
+    return df.join(F.broadcast(wanted) if payload_bytes(wanted) <= max_bytes else wanted, key, how)

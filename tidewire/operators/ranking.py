@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.operators.lookup import MAX_BROADCAST_BYTES, payload_bytes
+from tidewire.operators.lookup import MAX_BROADCAST_BYTES, payload_bytes, rows_with_keys
 from tidewire.session import settle
 
 _RN = "__rn"
@@ -25,6 +25,19 @@ def first_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) <= n).drop(_RN)
 
 
+def first_rows_per_group(df: DataFrame, group: Sequence[Column], order: Sequence[Column], key: str,
+                         n: int = 1) -> DataFrame:
+    """The first ``n`` rows of each group by descending ``order``, then ascending unique ``key``.
+
+    For wide rows: the choice runs on the narrow columns, then the chosen rows are fetched by key.
+    """
+    group_names, order_names = [f"__g{i}" for i in range(len(group))], [f"__o{i}" for i in range(len(order))]
+    narrow = df.select(F.col(key), *[c.alias(a) for c, a in zip(group, group_names)],
+                       *[c.alias(a) for c, a in zip(order, order_names)])
+    chosen = first_per_group(narrow, group_names, [F.desc(a) for a in order_names] + [F.col(key)], n)
+    return rows_with_keys(df, settle(chosen.select(key)), key)
+
+
 def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.timecols import in_logical_day, instant, iso_text, logical_date_bj
+from tidewire.operators.lookup import rows_with_keys
 from tidewire.operators.ranking import first_per_group, numbered, numbered_top
 from tidewire.params import ReportParams
+from tidewire.session import settle
 
 ARTICLE_FIELDS = ["rank", "score", "source", "title", "url", "publishedAt", "eventId", "body"]
 
@@ -48,7 +50,8 @@ def daily_report(scored: DataFrame, articles: DataFrame | None = None, logical_d
         if logical_date is not None:
             articles = articles.filter(in_logical_day(articles, "published_at", logical_date, p.cutoff_hour))
         wide = [c for c in ("title", "url", "body") if c in articles.columns]
-        ranked = ranked.drop(*wide).join(articles.select("id", *wide), "id", "left")
+        ranked = settle(ranked.drop(*wide))
+        ranked = ranked.join(rows_with_keys(articles.select("id", *wide), ranked, "id"), "id", "left")
     body = F.col("body") if "body" in ranked.columns else F.lit(None).cast("string")
     return ranked.select(
         "logical_date",

@@ -78,7 +78,11 @@ def batch_extremes(raw: DataFrame) -> dict[str, tuple[Column, Column]]:
 
 
 def normalised(raw: DataFrame) -> DataFrame:
-    """Min-max norms over all rows of ``raw``; authority is a share already."""
+    """Min-max norms over all rows of ``raw``; authority is a share already.
+
+    The batch extremes and the final columns both read the raw scores, so they are settled first.
+    """
+    raw = settle(raw)
     extremes = batch_extremes(raw)
     return raw.withColumns({
         "hot_norm_raw": S.minmax(F.col("hot_score_v2"), *extremes["hot_score_v2"]),
@@ -117,7 +121,7 @@ def score_articles(articles: DataFrame, trending: DataFrame, params: ScoringPara
         raise ValueError("as_of is required")
     p = params or ScoringParams()
     now = instant(as_of)
-    raw = settle(raw_scores(articles, current_trending(trending, p, as_of), p))
+    raw = raw_scores(articles, current_trending(trending, p, as_of), p)
     scored = total(damped(normalised(raw), p, now), p)
     return scored.select(*ARTICLE_COLUMNS, *SCORE_COLUMNS, *FLAG_COLUMNS, now.alias("scored_as_of"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.timecols import since
 from tidewire.operators.lookup import lookup
-from tidewire.operators.ranking import first_per_group, top_rows
+from tidewire.operators.ranking import first_per_group, first_rows_per_group, top_rows
 from tidewire.params import SelectionParams
 
 
@@ -85,7 +85,7 @@ def select_events(events: DataFrame, p: SelectionParams, as_of: Column | datetim
 
 def latest_per_event(articles: DataFrame, n: int, at: str = "published_at") -> DataFrame:
     """The newest ``n`` articles of each event."""
-    return first_per_group(articles, ["event_uri"], [F.desc(at), F.col("id")], n)
+    return first_rows_per_group(articles, [F.col("event_uri")], [F.col(at)], "id", n)
 
 
 def attach_event_size(articles: DataFrame, events: DataFrame) -> DataFrame:

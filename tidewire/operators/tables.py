@@ -12,8 +12,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.lookup import rows_with_keys
 from tidewire.operators.ranking import first_per_group, top_rows
 from tidewire.schemas import FLAG_DEFAULTS
+from tidewire.session import settle
 
 
 def split_rejects(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -23,9 +25,14 @@ def split_rejects(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def insert_new(batch: DataFrame, target: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """Rows of the batch to append: stored keys win, then the first of the batch by ``order``."""
-    unique = first_per_group(batch, [key], order)
-    return unique.join(target.select(key), key, "left_anti")
+    """Rows of the batch to append: stored keys win, then the first of the batch by ``order``.
+
+    The stored keys are cut down to those of the batch where they are read, so that the target is
+    not shuffled as long as the keys of the batch can be broadcast.
+    """
+    arriving = settle(batch.select(key).distinct())
+    known = rows_with_keys(target.select(key), arriving, key)
+    return first_per_group(batch, [key], order).join(known, key, "left_anti")
 
 
 def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "uri", stamp: str = "updated_at") -> DataFrame:
@@ -43,14 +50,19 @@ def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "uri", stam
 
 
 def unscored(articles: DataFrame, scores: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
-    """Articles that still wait for a score."""
-    queue = articles.join(scores.select("id"), "id", "left_anti")
-    return queue.join(rejects.select("id"), "id", "left_anti") if rejects is not None else queue
+    """Articles that still wait for a score: neither scored nor rejected."""
+    done = scores.select("id")
+    return rows_without(articles, done if rejects is None else done.unionByName(rejects.select("id")), "id")
+
+
+def rows_without(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ``done``. Only keys are shuffled; the rows are fetched by key."""
+    return rows_with_keys(df, settle(df.select(key).join(done, key, "left_anti")), key)
 
 
 def without_summary(rows: DataFrame, summaries: DataFrame) -> DataFrame:
     """Raw rows that no summary points to. An empty summary table queues all of them."""
-    return rows.join(summaries.select(F.col("raw_id").alias("id")), "id", "left_anti")
+    return rows_without(rows, summaries.select(F.col("raw_id").alias("id")), "id")
 
 
 def scored_view(articles: DataFrame, scores: DataFrame, how: str = "left") -> DataFrame:

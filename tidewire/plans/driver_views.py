@@ -16,7 +16,7 @@ from tidewire.functions.timecols import briefing_file_name, report_file_name, ut
 from tidewire.operators.lookup import lookup
 from tidewire.operators.scoring import score_articles
 from tidewire.params import ScoringParams
-from tidewire.session import settle, use_utc
+from tidewire.session import settle, spread, use_utc
 
 ROUTINE = ("c/3", "c/7", "t/error")
 CATEGORY = ("c/5", "t/signup")
@@ -37,6 +37,11 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _LANDED[key]
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work that is heavy per row."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", r"(\d+)", 1).cast("int"))
 
@@ -111,7 +116,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def briefings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One briefing per document: 0 to 11 topics in one of the three layouts, whole text in topic 1."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     doc, layout = F.col("doc_id"), F.col("doc_id") % 3
     flat = F.translate("text", "\r\n", "  ")
     host = F.concat(F.col("source"), F.lit(".example.com"))

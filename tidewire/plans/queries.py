@@ -539,12 +539,12 @@ def exact_dedup(spark, sf):
 
 @query
 def simhash_signatures(spark, sf):
-    return dedup.signatures(V.table(spark, sf, "documents"), "doc_id", F.col("text"))
+    return dedup.signatures(V.documents(spark, sf), "doc_id", F.col("text"))
 
 
 @query
 def near_dup_simhash(spark, sf):
-    rows = V.table(spark, sf, "documents")
+    rows = V.documents(spark, sf)
     return dedup.near_repeats(rows, "doc_id", F.col("text")).select("doc_id", "earliest", "is_repeat")
 
 
@@ -569,7 +569,7 @@ def richest_per_group(spark, sf):
 # Cards
 
 def marked_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return cards.with_keyword_marks(V.table(spark, sf, "documents"), F.col("text"), CONFLICT, BANG, INSIDER)
+    return cards.with_keyword_marks(V.documents(spark, sf), F.col("text"), CONFLICT, BANG, INSIDER)
 
 
 @query

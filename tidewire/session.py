@@ -48,6 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For heavy work on a scan of few splits: one partition per core. Wide scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once: write a table to the shared folder and read it back from there.
 
