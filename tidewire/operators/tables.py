@@ -35,6 +35,11 @@ def insert_new(batch: DataFrame, target: DataFrame, key: str, order: Sequence[Co
     return first_per_group(batch, [key], order).join(known, key, "left_anti")
 
 
+def insert_once(batch: DataFrame, key: str = "id", order: Sequence[Column] | None = None) -> DataFrame:
+    """One row per key of a batch."""
+    return first_per_group(batch, [key], order or [F.desc("published_at"), F.col("url"), F.col("title")])
+
+
 def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "uri", stamp: str = "updated_at") -> DataFrame:
     """The next version of a keyed table: updated keys take the new values, other keys stay.
 
