@@ -12,13 +12,14 @@ _SLOT = "__slot"
 
 
 def payload_bytes(df: DataFrame) -> int:
-    """Data size of a table: text lengths plus 16 bytes for every other field."""
+    """Data size of a table: 16 bytes per field, plus the length of texts and of nested values as JSON."""
     size = F.lit(0)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        else:
-            size = size + 16
+        size = size + 16
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.octet_length(F.to_json(F.struct(field.name)))
     return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
 
 

@@ -90,26 +90,26 @@ def report_lines(report: DataFrame, generated_at: Column | datetime | str,
     """The report documents as text lines: head, one line per article, tail.
 
     The lines of a date in the order of ``line_no`` are one valid JSON document, whatever its size:
-    no row ever holds more than one article.
+    no row ever holds more than one article. ``report`` is read twice, so it should be settled.
     """
     p = params or ReportParams()
     counts = report.groupBy("logical_date").agg(F.count("*").alias("article_count"))
-    head = counts.select(
-        "logical_date", F.lit(0).cast("long").alias("line_no"),
-        F.concat(F.lit('{"reportMetadata":'), F.to_json(report_metadata(generated_at, p)),
-                 F.lit(',"articles":[')).alias("line"),
-    )
+    head = F.concat(F.lit('{"reportMetadata":'), F.to_json(report_metadata(generated_at, p)), F.lit(',"articles":['))
+    frame = F.array(
+        F.struct(F.lit(0).cast("long").alias("line_no"), head.alias("line")),
+        F.struct((F.col("article_count") + 1).alias("line_no"), F.lit("]}").alias("line")))
     comma = F.when(F.col("rank") > 1, F.lit(",")).otherwise(F.lit(""))
     body = report.select("logical_date", F.col("rank").alias("line_no"),
                          F.concat(comma, article_json(report)).alias("line"))
-    tail = counts.select("logical_date", (F.col("article_count") + 1).alias("line_no"), F.lit("]}").alias("line"))
-    return head.unionByName(body).unionByName(tail)
+    return counts.select("logical_date", F.inline(frame)).unionByName(body)
 
 
 def report_documents(report: DataFrame, generated_at: Column | datetime | str, limit: int,
                      params: ReportParams | None = None) -> DataFrame:
-    """One JSON text per date with the first ``limit`` articles. ``limit`` bounds the size of a row;
-    use ``report_lines`` for whole reports."""
+    """One JSON text per date with the first ``limit`` articles, at most 1,000 of them, because a
+    text is one row. ``report_lines`` writes whole reports."""
+    if not 0 < limit <= 1000:
+        raise ValueError("limit must be 1..1000")
     p = params or ReportParams()
     rows = report.filter(F.col("rank") <= limit).select("logical_date", F.struct(*ARTICLE_FIELDS).alias("article"))
     docs = rows.groupBy("logical_date").agg(

@@ -15,6 +15,7 @@ from tidewire.functions.concepts import concept_uris, mentions_any, uri_set
 from tidewire.operators import cards, dedup, monitor, ranking, report, scoring, select, tables
 from tidewire.params import ReportParams, SelectionParams
 from tidewire.plans import driver_views as V
+from tidewire.session import settle
 from tidewire.sources import files, landing
 
 DAY = "2024-01-10"
@@ -188,7 +189,7 @@ def report_json(spark, sf):
 @query
 def report_line_count(spark, sf):
     """The line form of whole reports: lines, articles and commas per date."""
-    rows = report.daily_report(V.scores(spark, sf), V.articles(spark, sf))
+    rows = settle(report.daily_report(V.scores(spark, sf), V.articles(spark, sf)))
     lines = report.report_lines(rows, GENERATED_AT)
     return lines.groupBy(day_text("logical_date")).agg(
         F.count("*").alias("n_lines"), F.max("line_no").alias("last_line"),

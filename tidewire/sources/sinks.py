@@ -21,7 +21,9 @@ def write_report(lines: DataFrame, path: str) -> None:
 def write_digest(blocks: DataFrame, path: str) -> None:
     """Digest blocks as text, one folder per digest; the part files in name order are the digest."""
     ordered = blocks.repartitionByRange("digest", "position").sortWithinPartitions("digest", "position")
-    ordered.select("digest", "block").write.mode("append").option("lineSep", "").partitionBy("digest").text(path)
+    # The text sink ends each row with a line break, so the last one of the block is left out.
+    text = F.left("block", F.length("block") - 1).alias("block")
+    ordered.select("digest", text).write.mode("append").partitionBy("digest").text(path)
 
 
 def write_briefings(briefings: DataFrame, path: str, run_at: Column) -> None:
