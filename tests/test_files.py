@@ -89,11 +89,11 @@ def joined(folder: Path) -> str:
 def test_digest_on_disk(spark, folder):
     paths = files.briefing_paths(listed(spark, folder, "*.md"), "by_date", "2025-09-01")
     texts = files.read_texts(spark, paths)
-    blocks = files.digest_blocks(texts, [F.col("name")])
+    blocks = files.build_digest(texts, [F.col("name")])
     sinks.write_digest(blocks, str(folder / "digest"))
     want = "".join(f"# Report: {n}\n\ntext of {n}\n\n---\n\n" for n in sorted(BRIEFINGS) if n.startswith("2025-09-01"))
     assert joined(folder / "digest" / "digest=all") == want
-    assert files.digest_blocks(texts.limit(0), [F.col("name")]).count() == 0
+    assert files.build_digest(texts.limit(0), [F.col("name")]).count() == 0
 
 
 def report_rows(spark, n=25):

@@ -40,6 +40,11 @@ def prev_logical_date_str(ts: Column, cutoff_hour: int = 6) -> Column:
     return F.date_format(F.date_sub(F.to_date(utc_to_bj(ts)), 1), "yyyy-MM-dd")
 
 
+def now_prev_logical_date_str(as_of: Column | datetime | str, cutoff_hour: int = 6) -> Column:
+    """The previous date as seen from ``as_of``, which stands for now."""
+    return prev_logical_date_str(instant(as_of), cutoff_hour)
+
+
 def logical_day_bounds(logical_date: date | str, cutoff_hour: int = 6) -> tuple[datetime, datetime]:
     """First instant of the logical day and of the next one, in UTC."""
     day = date.fromisoformat(logical_date) if isinstance(logical_date, str) else logical_date

@@ -76,6 +76,12 @@ def clean_cards(cards: DataFrame, key: str = "name", summary: str = "content") -
     return first_per_group(clipped, [key, "title", "subtitle"], [F.col("card_no"), F.col("pos")])
 
 
+def with_local_fields(cards: DataFrame, logical_date: Column | str, media: Column, url: Column) -> DataFrame:
+    """Date and source of a card as the pipeline knows them, whatever the text says."""
+    day = logical_date if isinstance(logical_date, Column) else F.lit(logical_date)
+    return cards.withColumns({"date": day.cast("date"), "source": X.media_and_url(media, url)})
+
+
 def completeness(briefings: DataFrame, key: str = "name", text: str = "text") -> DataFrame:
     """The topic ranges that a briefing still lacks, one row per block of at most five."""
     last = briefings.select(key, X.last_topic_number(F.col(text)).alias("last_topic"))

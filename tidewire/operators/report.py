@@ -13,6 +13,8 @@ from tidewire.operators.ranking import first_per_group, numbered, numbered_top
 from tidewire.params import ReportParams
 from tidewire.session import settle
 
+WIDE_COLUMNS = ["title", "url", "body"]
+CANDIDATE_COLUMNS = ["id", "event_uri", "source_name", "published_at", "final_score_v2", *WIDE_COLUMNS]
 ARTICLE_FIELDS = ["rank", "score", "source", "title", "url", "publishedAt", "eventId", "body"]
 
 
@@ -28,7 +30,8 @@ def report_candidates(scored: DataFrame, logical_date: date | str | None, p: Rep
             # The stored date may use another cutoff; it is off by one day at most.
             day = F.lit(str(logical_date)).cast("date")
             rows = rows.filter(F.col("logical_date").between(F.date_sub(day, 1), F.date_add(day, 1)))
-    rows = rows.withColumn("logical_date", logical_date_bj(F.col("published_at"), p.cutoff_hour))
+    narrow = [c for c in CANDIDATE_COLUMNS if c in rows.columns]
+    rows = rows.select(logical_date_bj(F.col("published_at"), p.cutoff_hour).alias("logical_date"), *narrow)
     return first_per_group(rows, ["logical_date", "event_uri"], [F.desc("final_score_v2"), F.col("id")], p.per_event)
 
 
@@ -40,6 +43,8 @@ def daily_report(scored: DataFrame, articles: DataFrame | None = None, logical_d
     wide columns of dropped rows never move. Leave it out if ``scored`` has them.
     """
     p = params or ReportParams()
+    if articles is not None:
+        scored = scored.drop(*WIDE_COLUMNS)
     picked = report_candidates(scored, logical_date, p)
     order = [F.desc("final_score_v2"), F.col("id")]
     if p.limit is not None:
@@ -49,8 +54,8 @@ def daily_report(scored: DataFrame, articles: DataFrame | None = None, logical_d
     if articles is not None:
         if logical_date is not None:
             articles = articles.filter(in_logical_day(articles, "published_at", logical_date, p.cutoff_hour))
-        wide = [c for c in ("title", "url", "body") if c in articles.columns]
-        ranked = settle(ranked.drop(*wide))
+        wide = [c for c in WIDE_COLUMNS if c in articles.columns]
+        ranked = settle(ranked)
         ranked = ranked.join(rows_with_keys(articles.select("id", *wide), ranked, "id"), "id", "left")
     body = F.col("body") if "body" in ranked.columns else F.lit(None).cast("string")
     return ranked.select(

@@ -9,14 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewire.functions.timecols import briefing_file_name, report_file_name, utc_to_bj
 from tidewire.operators.lookup import lookup
 from tidewire.operators.scoring import score_articles
 from tidewire.params import ScoringParams
-from tidewire.session import settle, spread, use_utc
+from tidewire.session import settle_at, spread, use_utc
 
 ROUTINE = ("c/3", "c/7", "t/error")
 CATEGORY = ("c/5", "t/signup")
@@ -27,14 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_LANDED: dict[tuple[str, str, str], DataFrame] = {}
+_LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that is built on first use in a session, or again if its files are gone."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _LANDED:
-        _LANDED[key] = settle(build())
-    return _LANDED[key]
+    if key in _LANDED:
+        path, schema = _LANDED[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    rows = build()
+    _LANDED[key] = (settle_at(rows), rows.schema)
+    return spark.read.schema(rows.schema).parquet(_LANDED[key][0])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

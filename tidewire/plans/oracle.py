@@ -362,7 +362,8 @@ SELECT doc_id, false AS is_valid, array_to_string(CASE WHEN tags IS NULL THEN ['
     "prompt_text": """
 SELECT 'doc' || doc_id AS name, md5('From doc' || doc_id || ':' || chr(10) || '---' || chr(10) || text || chr(10) || '---' || chr(10)) AS prompt_md5,
   strlen(text) AS input_bytes FROM documents""",
-    "media_and_url": view_of("SELECT id, source_name || ' – ' || url AS source FROM articles"),
+    "card_local_fields": view_of("""
+SELECT id, CAST(CAST(published_at + INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS date, source_name || ' – ' || url AS source FROM articles"""),
     "url_domain": """
 SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www[.]', '') AS domain FROM pages""",
     "digest_concat": """

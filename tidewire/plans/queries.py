@@ -666,8 +666,11 @@ def prompt_text(spark, sf):
 
 
 @query
-def media_and_url(spark, sf):
-    return V.plain_articles(spark, sf).select("id", X.media_and_url(F.col("source_name"), F.col("url")).alias("source"))
+def card_local_fields(spark, sf):
+    """Date from the logical date and source from media name and url."""
+    day = TC.logical_date_bj(F.col("published_at"))
+    rows = cards.with_local_fields(V.plain_articles(spark, sf), day, F.col("source_name"), F.col("url"))
+    return rows.select("id", F.col("date").cast("string").alias("date"), "source")
 
 
 @query
@@ -679,7 +682,7 @@ def url_domain(spark, sf):
 def digest_concat(spark, sf):
     """One digest per language: its blocks in document order."""
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang", "doc_id")
-    rows = files.digest_blocks(docs, [F.col("doc_id")], F.col("lang"))
+    rows = files.build_digest(docs, [F.col("doc_id")], F.col("lang"))
     return rows.select("digest", "position", "name", F.md5("block").alias("block_md5"))
 
 

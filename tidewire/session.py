@@ -60,6 +60,11 @@ def settle(df: DataFrame) -> DataFrame:
     The lineage ends at the table, so a lost executor costs only its own tasks, later plans prune
     the columns they need, and Spark knows the size of the data.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(settle_at(df))
+
+
+def settle_at(df: DataFrame) -> str:
+    """The path of the settled table. The folder belongs to the session, so it can go with it."""
     path = f"{shared_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path

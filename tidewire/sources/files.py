@@ -107,7 +107,7 @@ def briefing_paths(files: DataFrame, strategy: str = "latest_daily_single", date
     return paths
 
 
-def digest_blocks(reports: DataFrame, order: Sequence[Column], digest: Column | str = "all") -> DataFrame:
+def build_digest(reports: DataFrame, order: Sequence[Column], digest: Column | str = "all") -> DataFrame:
     """Briefings as the blocks of a digest, one row each.
 
     The blocks of a digest in ``position`` order are its text. They stay separate rows, because a
