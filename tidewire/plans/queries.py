@@ -320,7 +320,7 @@ def merge_counters(spark, sf):
 
 @query
 def latest_articles_per_event(spark, sf):
-    events = V.event_objects(spark, sf).filter("total_article_count >= 3")
+    events = settle(V.event_objects(spark, sf).filter("total_article_count >= 3"))
     rows = select.attach_event_size(select.latest_per_event(V.plain_articles(spark, sf), 3), events)
     return rows.select("event_uri", "id", "total_articles_in_event")
 
