@@ -68,7 +68,7 @@ def read_trending(spark: SparkSession, store: Store) -> tuple[DataFrame, int]:
     return versions.filter(F.col("v") == newest).drop("v"), newest
 
 
-def refresh_trending(spark: SparkSession, store: Store, path: str, now: datetime, p: SelectionParams) -> None:
+def refresh_trending(spark: SparkSession, store: Store, path: str, now: datetime | str, p: SelectionParams) -> None:
     """Upsert the landed concepts into a new version of the table."""
     current, version = read_trending(spark, store)
     updates = select.top_trending(landing.read_trending(spark, path, now), p).select(current.columns)
@@ -85,7 +85,7 @@ def store_articles(spark: SparkSession, store: Store, flat: DataFrame) -> None:
     sinks.append_table(bad, store.rejects)
 
 
-def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: str, now: datetime,
+def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: str, now: datetime | str,
            p: SelectionParams, trusted: DataFrame | None = None, cutoff_hour: int = 6) -> None:
     """Store the newest articles of the selected events."""
     events = settle(select.select_events(landing.read_events(spark, events_path), p, now, trusted))
@@ -97,7 +97,7 @@ def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: s
     store_articles(spark, store, newest.unionByName(without_id))
 
 
-def score_new(spark: SparkSession, store: Store, now: datetime, p: ScoringParams, cutoff_hour: int = 6) -> None:
+def score_new(spark: SparkSession, store: Store, now: datetime | str, p: ScoringParams, cutoff_hour: int = 6) -> None:
     """Score every article without a score; rows that cannot be scored are set aside once."""
     known = read_table(spark, store.articles, ARTICLES)
     done = read_table(spark, store.scores, STORED_SCORES)
@@ -112,7 +112,7 @@ def score_new(spark: SparkSession, store: Store, now: datetime, p: ScoringParams
     sinks.append_table(dated, store.scores, by="logical_date")
 
 
-def write_day_report(spark: SparkSession, store: Store, day: date | str, now: datetime, p: ReportParams) -> None:
+def write_day_report(spark: SparkSession, store: Store, day: date | str, now: datetime | str, p: ReportParams) -> None:
     """Write the report of one date; a date without scored articles leaves no file."""
     scored = tables.with_flag_defaults(read_table(spark, store.scores, STORED_SCORES))
     rows = settle(report.daily_report(scored, read_table(spark, store.articles, ARTICLES), day, p))
@@ -120,7 +120,7 @@ def write_day_report(spark: SparkSession, store: Store, day: date | str, now: da
         sinks.write_report(report.report_lines(rows, now, p), store.reports)
 
 
-def run_day(spark: SparkSession, store: Store, landed: str, day: date | str, now: datetime,
+def run_day(spark: SparkSession, store: Store, landed: str, day: date | str, now: datetime | str,
             scoring_params: ScoringParams | None = None, selection: SelectionParams | None = None,
             report_params: ReportParams | None = None, trusted: DataFrame | None = None) -> None:
     """One daily run over ``landed/{trending,events,articles}``."""

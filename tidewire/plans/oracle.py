@@ -382,6 +382,33 @@ SELECT 'briefing_latest', (SELECT path FROM b ORDER BY modified_at DESC, name DE
 SELECT 'briefing_daily', (SELECT path FROM b WHERE starts_with(name, '2024-01-10_') ORDER BY ends_with(name, '_daily_briefing.md') DESC, modified_at DESC, name DESC LIMIT 1)"""),
     "briefings_of_day": view_of(
         "SELECT name, " + stamp("modified_at") + " FROM files WHERE ends_with(name, '.md') AND starts_with(name, '2024-01-10_')"),
+    "ingest_landed_files": view_of("""
+, p AS (SELECT id, title, source_name, CASE WHEN event_id % 7 <= 3 THEN date_trunc('second', published_at)
+    WHEN event_id % 7 = 4 THEN date_trunc('day', published_at) ELSE TIMESTAMP '2024-02-01 00:00:00' END AS pub,
+  event_id % 7 >= 5 AS published_at_imputed FROM articles)
+SELECT id, title, source_name, strftime(pub, '%Y-%m-%d %H:%M:%S.%f') AS published_at,
+  CAST(CAST(pub + INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS logical_date, published_at_imputed FROM p"""),
+    "incremental_ingest": view_of("""
+SELECT id, event_uri, CAST(CAST(CASE WHEN event_id % 7 <= 3 THEN published_at WHEN event_id % 7 = 4 THEN date_trunc('day', published_at)
+  ELSE TIMESTAMP '2024-02-01 00:00:00' END + INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS logical_date FROM articles"""),
+    "read_landed_events": view_of("""
+SELECT 'ev-' || user_id AS uri, CASE WHEN user_id % 4 = 0 THEN 'deu' ELSE 'eng' END AS lang, n AS total_article_count,
+  strftime(date_trunc('second', last_ts), '%Y-%m-%d %H:%M:%S.%f') AS event_date FROM sizes WHERE user_id % 20 IN (1, 2)"""),
+    "read_landed_trending": view_of("""
+SELECT 'c/' || k AS uri, round(max(value), 6) AS score, '2024-02-01 00:00:00.000000' AS updated_at FROM ev GROUP BY k"""),
+    "report_sink": view_of('SELECT logical_date, rank, "eventId", url FROM report'),
+    "briefing_sink": """
+SELECT strftime(TIMESTAMP '2024-01-01 22:00:00' + to_hours(length(text) % 24) + INTERVAL 8 HOUR, '%Y-%m-%d_%H-%M-%S') || '_daily_briefing.md' AS file_name,
+  sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS n_lines FROM documents GROUP BY 1""",
+    "daily_append": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, '## ' || event_type || ' ' || event_id AS text FROM events",
+    "stage_sink": view_of("SELECT id, event_uri, final_score_v2 FROM scored WHERE logical_date = DATE '2024-01-10'"),
+    "digest_sink": """
+SELECT lang AS digest, sum(length(text) - length(replace(text, chr(10), '')) + 6)::BIGINT AS n_lines, count(*) AS n_reports FROM documents GROUP BY lang""",
+    "table_versions": """
+SELECT count(*) FILTER (CAST(ts AS DATE) <> DATE '2024-01-10') AS n_rows, 1 AS version FROM events UNION ALL SELECT 0, 2""",
+    "replaced_dates": view_of("""
+SELECT id, CASE WHEN logical_date = DATE '2024-01-10' THEN 0.0::DOUBLE ELSE final_score_v2 END AS final_score_v2,
+  CAST(logical_date AS VARCHAR) AS logical_date FROM scored"""),
     "file_names": """
 SELECT event_id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d_%H-%M-%S') || '_daily_briefing.md' AS briefing,
   'summary_' || strftime(ts + INTERVAL 8 HOUR - INTERVAL 1 DAY, '%Y-%m-%d') || '_manual_' || strftime(ts, '%H-%M-%S') || '.json' AS report FROM events""",

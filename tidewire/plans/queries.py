@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +15,11 @@ from tidewire.functions import timecols as TC
 from tidewire.functions.concepts import concept_uris, mentions_any, uri_set
 from tidewire.operators import cards, dedup, monitor, ranking, report, scoring, select, tables
 from tidewire.params import ReportParams, SelectionParams
+from tidewire.plans import daily
 from tidewire.plans import driver_views as V
-from tidewire.session import settle
-from tidewire.sources import files, landing
+from tidewire.session import settle, shared_dir
+from tidewire.sources import files, landing, sinks
+from tidewire.streaming import incremental
 
 DAY = "2024-01-10"
 GENERATED_AT = "2024-02-01T00:00:00+00:00"
@@ -233,8 +236,8 @@ def parsed_publish_times(spark, sf):
 
 # Ingest
 
-def landed_articles(spark: SparkSession, sf: str) -> DataFrame:
-    """Article objects as JSON text, with publish times in seven spellings, and parsed again."""
+def article_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Article objects as JSON text, with publish times in seven spellings."""
     rows = V.plain_articles(spark, sf)
     ts, form = F.col("published_at").cast("timestamp"), F.col("id").cast("long") % 7
     iso = "yyyy-MM-dd'T'HH:mm:ss"
@@ -254,7 +257,11 @@ def landed_articles(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.col("source_name").alias("uri"), ranked.alias("ranking")).alias("source"),
         F.col("event_uri").alias("eventUri"),
         F.when(form != 6, F.col("concepts")).otherwise(F.slice("concepts", 1, 0)).alias("concepts"))
-    return landing.parse_articles(rows.select(F.to_json(body).alias("value")))
+    return rows.select(F.to_json(body).alias("value"))
+
+
+def landed_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return landing.parse_articles(article_lines(spark, sf))
 
 
 @query
@@ -716,3 +723,126 @@ def file_names(spark, sf):
     day = TC.prev_logical_date_str(F.col("ts"))
     return V.table(spark, sf, "events").select(
         "event_id", TC.briefing_file_name(ts).alias("briefing"), TC.report_file_name(day, F.lit("manual"), ts).alias("report"))
+
+
+# Landed files and sinks: write to the shared folder, read back
+
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def ingest_landed_files(spark, sf):
+    """Landed article files into the articles table, twice; the second run adds nothing."""
+    folder, store = scratch(spark, "landed"), daily.Store(scratch(spark, "store"))
+    article_lines(spark, sf).write.text(folder)
+    for _ in range(2):
+        daily.store_articles(spark, store, landing.flatten_articles(landing.read_articles(spark, folder), GENERATED_AT))
+    rows = daily.read_table(spark, store.articles, schemas.ARTICLES)
+    return rows.select("id", "title", "source_name", stamp("published_at"), day_text("logical_date"), "published_at_imputed")
+
+
+@query
+def incremental_ingest(spark, sf):
+    """The file stream over two arrivals, the second with all articles again."""
+    folder, store = scratch(spark, "arrivals"), daily.Store(scratch(spark, "store"))
+    lines = article_lines(spark, sf)
+    for part in (lines.filter(F.contains("value", F.lit('"title":"view'))), lines):
+        part.write.mode("append").text(folder)
+        incremental.ingest_available(spark, store, folder, f"{store.root}/stream", GENERATED_AT).awaitTermination()
+    return daily.read_table(spark, store.articles, schemas.ARTICLES).select("id", "event_uri", day_text("logical_date"))
+
+
+@query
+def read_landed_events(spark, sf):
+    folder = scratch(spark, "events")
+    V.event_objects(spark, sf).select(F.to_json(F.struct(
+        "uri", "lang", F.col("total_article_count").alias("totalArticleCount"),
+        F.date_format("event_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("eventDate"),
+        F.array("source_uri", F.lit("src99")).alias("sourceUris"))).alias("value")).write.text(folder)
+    trusted = spark.createDataFrame([("src1",), ("src2",), ("src99999",)], "uri string")
+    rows = select.events_of_sources(landing.read_events(spark, folder), trusted)
+    return rows.select("uri", "lang", F.col("total_article_count").cast("long").alias("total_article_count"), stamp("event_date"))
+
+
+@query
+def read_landed_trending(spark, sf):
+    folder = scratch(spark, "trending")
+    item = F.struct(F.concat(F.lit("c/"), "k").alias("uri"), F.lit("org").alias("type"),
+                    F.struct(F.struct(F.col("value").alias("score")).alias("news")).alias("trendingScore"))
+    V.event_rows(spark, sf).select(F.to_json(F.struct(F.array(item).alias("results"))).alias("value")).write.text(folder)
+    rows = landing.read_trending(spark, folder, GENERATED_AT)
+    best = tables.upsert_latest(rows.select("uri", "score", "updated_at").limit(0), rows.select("uri", "score", "updated_at"))
+    return best.select("uri", r6("score", "score"), stamp("updated_at"))
+
+
+@query
+def report_sink(spark, sf):
+    """Whole reports written as line files and read back."""
+    folder = scratch(spark, "reports")
+    rows = settle(report.daily_report(V.scores(spark, sf), V.articles(spark, sf)))
+    sinks.write_report(report.report_lines(rows, GENERATED_AT), folder)
+    lines = spark.read.text(folder).filter(F.contains("value", F.lit('"eventId"')))
+    article = F.from_json(F.regexp_replace("value", "^,", ""), "rank int, eventId string, url string")
+    return lines.select(day_text("logical_date"), article.alias("a")).select(
+        "logical_date", F.col("a.rank").cast("long").alias("rank"), "a.eventId", "a.url")
+
+
+@query
+def briefing_sink(spark, sf):
+    """Briefings under the file name of their run; lines per file."""
+    folder = scratch(spark, "briefings")
+    run_at = F.lit("2024-01-01 22:00:00").cast("timestamp") + F.make_dt_interval(hours=F.length("text") % 24)
+    sinks.write_briefings(V.table(spark, sf, "documents").select("text"), folder, run_at)
+    return spark.read.text(folder).groupBy("file_name").agg(F.count("*").alias("n_lines"))
+
+
+@query
+def daily_append(spark, sf):
+    """Texts appended per date by two runs."""
+    folder = scratch(spark, "daily")
+    rows = V.event_rows(spark, sf).select(
+        F.to_date("ts").cast("string").alias("date"), F.concat(F.lit("## "), "event_type", F.lit(" "), "event_id").alias("text"))
+    for early in (True, False):
+        sinks.append_daily(rows.filter(F.startswith("text", F.lit("## view")) == early), folder)
+    return spark.read.text(folder).select(day_text("date"), F.col("value").alias("text"))
+
+
+@query
+def stage_sink(spark, sf):
+    """The rows of one day as the named stage of a run."""
+    rows = V.scores(spark, sf)
+    day = rows.filter(TC.in_logical_day(rows, "published_at", DAY)).select("id", "event_uri", "final_score_v2")
+    folder = sinks.write_stage(day, scratch(spark, "stages"), DAY, "prefiltered")
+    return spark.read.schema("id string, event_uri string, final_score_v2 double").json(folder)
+
+
+@query
+def digest_sink(spark, sf):
+    """Digests written as line files; lines per digest."""
+    folder = scratch(spark, "digests")
+    docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang", "doc_id")
+    sinks.write_digest(files.build_digest(docs, [F.col("doc_id")], F.col("lang")), folder)
+    return spark.read.text(folder).groupBy("digest").agg(
+        F.count("*").alias("n_lines"), F.count_if(F.startswith("value", F.lit("# Report: "))).alias("n_reports"))
+
+
+@query
+def table_versions(spark, sf):
+    """A table without one collection date as its next version, then emptied."""
+    root = scratch(spark, "versions")
+    rows = V.plain_articles(spark, sf).select("id", "collected_at")
+    first = spark.read.parquet(sinks.write_version(tables.without_collected_on(rows, DAY), root, 1))
+    second = spark.read.parquet(sinks.write_version(tables.emptied(first), root, 2))
+    return tables.unify([tables.row_count(t).withColumn("version", F.lit(v)) for v, t in ((1, first), (2, second))])
+
+
+@query
+def replaced_dates(spark, sf):
+    """Scores of one date written again; the partitions of the other dates stay."""
+    folder = scratch(spark, "scores")
+    rows = V.scores(spark, sf).select("id", "final_score_v2", TC.logical_date_bj(F.col("published_at")).alias("logical_date"))
+    sinks.append_table(rows, folder, by="logical_date")
+    again = rows.filter(F.col("logical_date") == F.lit(DAY).cast("date")).withColumn("final_score_v2", F.lit(0.0))
+    sinks.replace_dates(again, folder)
+    return spark.read.parquet(folder).select("id", "final_score_v2", day_text("logical_date"))

@@ -19,7 +19,7 @@ from tidewire.session import use_utc
 from tidewire.sources.landing import flatten_articles
 
 
-def ingest_available(spark: SparkSession, store: Store, landed: str, checkpoint: str, now: datetime,
+def ingest_available(spark: SparkSession, store: Store, landed: str, checkpoint: str, now: datetime | str,
                      cutoff_hour: int = 6) -> StreamingQuery:
     """Append the articles of all new files. A replayed batch adds nothing, because stored ids win."""
     def append(batch: DataFrame, _: int) -> None:
@@ -30,7 +30,7 @@ def ingest_available(spark: SparkSession, store: Store, landed: str, checkpoint:
             .trigger(availableNow=True).start())
 
 
-def run_incremental(spark: SparkSession, store: Store, landed: str, checkpoint: str, now: datetime,
+def run_incremental(spark: SparkSession, store: Store, landed: str, checkpoint: str, now: datetime | str,
                     params: ScoringParams | None = None, cutoff_hour: int = 6) -> None:
     """Ingest what has arrived, then score what waits."""
     ingest_available(spark, store, landed, checkpoint, now, cutoff_hour).awaitTermination()
