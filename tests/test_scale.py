@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewire.operators import dedup, lookup, ranking, report, scoring, select
+from tidewire.functions.timecols import in_logical_day, logical_date_bj
+from tidewire.operators import dedup, lookup, monitor, ranking, report, scoring, select
 from tidewire.plans import driver_views as V
+from tidewire.sources import sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,6 +72,16 @@ def test_group_cut_runs_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_large_n_per_group_takes_distributed_positions(spark):
+    rows, order = uneven(spark), [F.desc("v"), F.col("id")]
+    plain = rows.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    got = ranking.first_per_group(rows, ["k"], order, 1500)
+    assert sorted(got.collect(), key=str) == sorted(plain.filter("p <= 1500").drop("p").collect(), key=str)
+    top = ranking.numbered_top(rows, order, 1500, within="k", name="q")
+    assert top.join(plain, "id").filter("p <> q").count() == 0 and top.count() == plain.filter("p <= 1500").count()
+    assert [r["rank"] for r in ranking.numbered_top(rows, order, 1200).select("rank").orderBy("rank").collect()] == list(range(1, 1201))
+
+
 def test_first_rows_per_group(spark):
     rows = uneven(spark)
     want = ranking.first_per_group(rows, ["k"], [F.desc("v"), F.col("id")], 3)
@@ -111,13 +123,23 @@ def test_large_trending_table_gives_the_same_scores(spark, monkeypatch):
 
 def test_day_filter_reaches_the_scan(spark):
     rows = V.plain_articles(spark, SF)
-    from tidewire.functions.timecols import in_logical_day
-
     text = plan(rows.filter(in_logical_day(rows, "published_at", "2024-01-10")).select("id"))
     assert "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text
 
 
+def test_stored_scores_are_pruned_by_date(spark, tmp_path):
+    scored = V.scores(spark, SF).withColumn("logical_date", logical_date_bj(F.col("published_at")))
+    sinks.append_table(scored, str(tmp_path / "s"), by="logical_date")
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    now = V.as_of(spark, SF)
+    got, want = monitor.suppression_monitor(stored, now), monitor.suppression_monitor(V.scores(spark, SF), now)
+    assert got.collect() == want.collect()
+    assert "PartitionFilters: [isnotnull(logical_date" in plan(got) and "logical_date#" in plan(got)
+    rows = report.daily_report(stored, V.articles(spark, SF), "2024-01-10")
+    assert sorted(rows.collect()) == sorted(report.daily_report(V.scores(spark, SF), V.articles(spark, SF), "2024-01-10").collect())
+
+
 def test_at_most_two_per_event_and_null_events_share(spark):
     scored = V.scores(spark, SF).withColumn("event_uri", F.when(F.col("event_uri") != "ev-1", F.col("event_uri")))
     rows = report.daily_report(scored, V.articles(spark, SF))

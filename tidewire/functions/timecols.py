@@ -68,6 +68,19 @@ def since(df: DataFrame, column: str, as_of: Column | datetime | str, hours: flo
     return F.col(column) >= start
 
 
+def recent(df: DataFrame, as_of: Column | datetime | str, hours: float = 24) -> DataFrame:
+    """Rows published in the trailing window.
+
+    A stored ``logical_date`` is narrowed as well, so that a partitioned table opens few folders.
+    Under any cutoff it is at most one day before the UTC date of the publish time.
+    """
+    rows = df.filter(since(df, "published_at", as_of, hours))
+    if "logical_date" in df.columns:
+        start = instant(as_of) - F.make_dt_interval(secs=F.lit(hours * 3600.0))
+        rows = rows.filter(F.col("logical_date") >= F.date_sub(F.to_date(start), 1))
+    return rows
+
+
 def _like(df: DataFrame, column: str, value: datetime) -> Column:
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
         return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")

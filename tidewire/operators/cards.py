@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import text as X
-from tidewire.functions.timecols import since
+from tidewire.functions.timecols import recent
 from tidewire.operators.ranking import first_per_group, first_rows_per_group, numbered_top, top_rows
 
 
@@ -41,8 +41,7 @@ def candidates(rows: DataFrame, as_of: Column | datetime | str, width: int = 100
     if not 0 < cap <= 60:
         raise ValueError("cap must be 1..60")
     order = order or [F.desc("final_score_v2"), F.col("id")]
-    recent = rows.filter(since(rows, "published_at", as_of, hours))
-    return top_rows(recent, order, cap).withColumn("body", X.clip(F.col("body"), width))
+    return top_rows(recent(rows, as_of, hours), order, cap).withColumn("body", X.clip(F.col("body"), width))
 
 
 def above(rows: DataFrame, threshold: float = 0.6, score: str = "score") -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.timecols import logical_date_bj, since
+from tidewire.functions.timecols import logical_date_bj, recent
 from tidewire.operators.ranking import top_rows
 
 # The labels of the topic class report.
@@ -66,14 +66,14 @@ def _with_rates(counts: DataFrame) -> DataFrame:
 
 def suppression_monitor(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24) -> DataFrame:
     """Flag counts and rates of the trailing window."""
-    recent = scored.filter(since(scored, "published_at", as_of, hours))
-    return _with_rates(recent.agg(*_flag_counts())).withColumnRenamed("total_articles", "total_articles_24h")
+    rows = recent(scored, as_of, hours)
+    return _with_rates(rows.agg(*_flag_counts())).withColumnRenamed("total_articles", "total_articles_24h")
 
 
 def suppression_summary(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24) -> DataFrame:
     """The short form: three counts and one rate."""
-    recent = scored.filter(since(scored, "published_at", as_of, hours))
-    counts = recent.agg(
+    rows = recent(scored, as_of, hours)
+    counts = rows.agg(
         F.count("*").alias("total_articles"),
         F.count_if("is_suppressed").alias("suppressed_count"),
         F.count_if("is_downweighted").alias("downweighted_count"),
@@ -83,8 +83,8 @@ def suppression_summary(scored: DataFrame, as_of: Column | datetime | str, hours
 
 def score_distribution(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24,
                        high: float = 0.6) -> DataFrame:
-    recent = scored.filter(F.col("final_score_v2").isNotNull() & since(scored, "published_at", as_of, hours))
-    return recent.agg(
+    rows = recent(scored, as_of, hours).filter(F.col("final_score_v2").isNotNull())
+    return rows.agg(
         F.count("*").alias("total_records"),
         F.count_if(F.col("final_score_v2") >= high).alias("high_score_records"),
         F.avg("final_score_v2").alias("avg_score"),
@@ -102,8 +102,8 @@ def topic_class() -> Column:
 
 
 def topic_class_distribution(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24) -> DataFrame:
-    recent = scored.filter(since(scored, "published_at", as_of, hours))
-    return recent.groupBy(topic_class().alias("topic_category")).agg(
+    rows = recent(scored, as_of, hours)
+    return rows.groupBy(topic_class().alias("topic_category")).agg(
         F.count("*").alias("article_count"),
         F.avg("final_score_v2").alias("avg_final_score"),
         F.avg("hot_norm").alias("avg_hot_norm"),
@@ -144,8 +144,7 @@ def quality_by_treatment(scored: DataFrame, high: float = 0.6) -> DataFrame:
 
 def affected_articles(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24, n: int = 20) -> DataFrame:
     """The newest damped articles of the trailing window."""
-    hit = scored.filter(since(scored, "published_at", as_of, hours)
-                        & (F.col("is_suppressed") | F.col("is_downweighted")))
+    hit = recent(scored, as_of, hours).filter(F.col("is_suppressed") | F.col("is_downweighted"))
     return top_rows(hit, [F.desc("published_at"), F.col("id")], n)
 
 

@@ -11,6 +11,8 @@ from tidewire.operators.lookup import MAX_BROADCAST_BYTES, payload_bytes, rows_w
 from tidewire.session import settle
 
 _RN = "__rn"
+# Up to this n Spark cuts each group before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+EARLY_CUT = 1000
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it.
 _ROW_BITS = 33
 
@@ -19,8 +21,12 @@ def first_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence
     """The first ``n`` rows of each group.
 
     Each task keeps at most ``n`` rows per group before the shuffle (WindowGroupLimit), so the size
-    of a group does not matter. ``order`` must end in a unique column.
+    of a group does not matter. A larger ``n`` than Spark cuts early takes distributed positions.
+    ``order`` must end in a unique column.
     """
+    if n > EARLY_CUT:
+        grouped = df.withColumn("__group", F.struct(*keys))
+        return numbered(grouped, order, within="__group", name=_RN).filter(F.col(_RN) <= n).select(*df.columns)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) <= n).drop(_RN)
 
@@ -79,6 +85,8 @@ def numbered(df: DataFrame, order: Sequence[Column], within: str | None = None,
 def numbered_top(df: DataFrame, order: Sequence[Column], n: int, within: str | None = None,
                  name: str = "rank") -> DataFrame:
     """Positions of the first ``n`` rows only, over everything or per value of ``within``."""
+    if n > EARLY_CUT:
+        return numbered(df, order, within, name).filter(F.col(name) <= n).select(*df.columns, name)
     if within is None:
         window = Window.orderBy(*order)
         return top_rows(df, order, n).withColumn(name, F.row_number().over(window).cast("long"))

@@ -76,7 +76,8 @@ def refresh_trending(spark: SparkSession, store: Store, path: str, now: datetime
 
 
 def store_articles(spark: SparkSession, store: Store, flat: DataFrame) -> None:
-    """Append the new rows of a batch, and its rejects. A second run of the same batch adds nothing."""
+    """Append the new rows of a batch, and its rejects. A second run of the same batch adds no
+    article; rejects have no key and are noted again."""
     kept, bad = tables.split_rejects(settle(flat))
     known = read_table(spark, store.articles, ARTICLES)
     order = [F.desc("published_at"), F.col("url"), F.col("title"), F.col("body")]
