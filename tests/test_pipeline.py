@@ -77,6 +77,13 @@ def test_daily_run_and_rerun(spark, tmp_path, landed):
     assert {r["uri"]: r["score"] for r in trending.collect()} == {"c/a": 50.0, "c/b": 7.0} and version == 2
 
 
+def test_command_line(spark, tmp_path, landed):
+    daily.main(["--root", str(tmp_path / "store"), "--landed", str(landed), "--day", "2025-09-02", "--now", NOW.isoformat(),
+                "--selection", '{"articles_per_event": 1}', "--scoring", '{"routine_uris": ["c/a"]}'])
+    rows = spark.read.parquet(str(tmp_path / "store" / "article_scores")).select("id", "is_routine_topic").collect()
+    assert sorted(tuple(r) for r in rows) == [("a1", True), ("a4", True)]
+
+
 def test_whitelist_and_empty_report(spark, tmp_path, landed):
     store = daily.Store(str(tmp_path / "store"))
     nobody = spark.createDataFrame([("other",)], "uri string")

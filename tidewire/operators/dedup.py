@@ -20,12 +20,13 @@ _STEP = BITS // _LANES
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[ \\t\\r\\n]+"), lambda w: w != "")
+    """Lower-case words; white space at either end leaves an empty one, which has no hash."""
+    return F.split(F.lower(text), "[ \\t\\r\\n]+")
 
 
 def word_hash(word: Column) -> Column:
-    """The first 60 bits of the MD5 digest."""
-    return F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("long")
+    """The first 60 bits of the MD5 digest, NULL for an empty word."""
+    return F.when(word != "", F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("long"))
 
 
 def signatures(df: DataFrame, key: str, text: Column) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import argparse
+import json
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -14,7 +16,7 @@ from tidewire.functions.timecols import logical_date_bj
 from tidewire.operators import report, scoring, select, tables
 from tidewire.params import ReportParams, ScoringParams, SelectionParams
 from tidewire.schemas import ARTICLE_SCORES, ARTICLES, TRENDING
-from tidewire.session import settle, use_utc
+from tidewire.session import build_session, settle, use_utc
 from tidewire.sources import landing, sinks
 
 STORED_SCORES = T.StructType([*ARTICLE_SCORES.fields, T.StructField("logical_date", T.DateType())])
@@ -92,7 +94,7 @@ def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: s
     events = settle(select.select_events(landing.read_events(spark, events_path), p, now, trusted))
     flat = landing.flatten_articles(
         landing.read_articles(spark, articles_path).filter(F.col(landing.CORRUPT).isNull()), now, cutoff_hour)
-    sized = select.attach_event_size(flat, events)
+    sized = settle(select.attach_event_size(flat, events))
     without_id = sized.filter(F.col("id").isNull())
     newest = select.latest_per_event(tables.insert_once(sized.filter(F.col("id").isNotNull())), p.articles_per_event)
     store_articles(spark, store, newest.unionByName(without_id))
@@ -131,3 +133,21 @@ def run_day(spark: SparkSession, store: Store, landed: str, day: date | str, now
     ingest(spark, store, f"{landed}/articles", f"{landed}/events", now, chosen, trusted, wanted.cutoff_hour)
     score_new(spark, store, now, scoring_params or ScoringParams(), wanted.cutoff_hour)
     write_day_report(spark, store, day, now, wanted)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    """Command line of the daily run; parameters that differ from the defaults are JSON objects."""
+    parser = argparse.ArgumentParser(description=run_day.__doc__)
+    parser.add_argument("--root", required=True, help="folder of the tables")
+    parser.add_argument("--landed", required=True, help="folder with trending, events and articles")
+    parser.add_argument("--day", required=True, help="logical date of the report, YYYY-MM-DD")
+    parser.add_argument("--now", required=True, help="time of the run, ISO, UTC if without offset")
+    for name in ("scoring", "selection", "report"):
+        parser.add_argument(f"--{name}", type=json.loads, default={}, help="parameters as JSON")
+    given = parser.parse_args(arguments)
+    run_day(build_session("daily"), Store(given.root), given.landed, given.day, given.now, ScoringParams(**given.scoring),
+            SelectionParams(**given.selection), ReportParams(**given.report))
+
+
+if __name__ == "__main__":
+    main()

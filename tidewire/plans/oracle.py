@@ -9,7 +9,16 @@ VIEWS = """
 WITH ev AS (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events),
 latest AS (SELECT max(ts) AS t FROM events),
 sizes AS (SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY user_id),
-articles AS (
+event_objects AS (
+  SELECT 'ev-' || user_id AS uri, CASE WHEN user_id % 4 = 0 THEN 'deu' ELSE 'eng' END AS lang,
+    n AS total_article_count, last_ts AS event_date FROM sizes),
+popular AS (
+  SELECT e.* FROM event_objects e, latest WHERE lang = 'eng' AND total_article_count >= 3 AND event_date >= t - INTERVAL 24 HOUR
+  ORDER BY total_article_count DESC, uri LIMIT 30),
+breaking AS (
+  SELECT e.* FROM event_objects e, latest WHERE lang = 'eng' AND total_article_count >= 3 AND event_date >= t - INTERVAL 6 HOUR
+  ORDER BY event_date DESC, uri LIMIT 20),
+all_articles AS (
   SELECT CAST(event_id AS VARCHAR) AS id, event_id, 'ev-' || user_id AS event_uri, ts AS published_at,
     ts AS collected_at, event_type || ' ' || user_id AS title,
     'https://src' || (user_id % 20) || '.example.com/' || event_id AS url,
@@ -19,6 +28,7 @@ articles AS (
     sizes.n AS total_articles_in_event,
     ['c/' || k, 'c/' || ((k + user_id) % 100), 't/' || event_type] AS uris
   FROM ev JOIN sizes USING (user_id)),
+articles AS (SELECT * FROM all_articles),
 trending AS (
   SELECT 'c/' || k AS uri, round(sum(value), 4) AS score, max(ts) AS updated_at FROM ev WHERE k % 3 = 0 GROUP BY k),
 entity AS (
@@ -69,15 +79,6 @@ report AS (
     regexp_replace(strftime(published_at + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S.%f'), '[.]000000$', '') || '+08:00' AS "publishedAt",
     event_uri AS "eventId", id
   FROM picked),
-event_objects AS (
-  SELECT 'ev-' || user_id AS uri, CASE WHEN user_id % 4 = 0 THEN 'deu' ELSE 'eng' END AS lang,
-    n AS total_article_count, last_ts AS event_date FROM sizes),
-popular AS (
-  SELECT e.* FROM event_objects e, latest WHERE lang = 'eng' AND total_article_count >= 3 AND event_date >= t - INTERVAL 24 HOUR
-  ORDER BY total_article_count DESC, uri LIMIT 30),
-breaking AS (
-  SELECT e.* FROM event_objects e, latest WHERE lang = 'eng' AND total_article_count >= 3 AND event_date >= t - INTERVAL 6 HOUR
-  ORDER BY event_date DESC, uri LIMIT 20),
 catalogue AS (
   SELECT ts AS modified_at, event_id,
     strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day,
@@ -127,6 +128,13 @@ def view_of(body: str) -> str:
     return f"{VIEWS} {body}"
 
 
+# The articles of a daily run: the newest two of each selected event.
+SELECTED = """articles AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_uri ORDER BY published_at DESC, id) AS nth FROM all_articles
+    WHERE event_uri IN (SELECT uri FROM popular UNION SELECT uri FROM breaking)) WHERE nth <= 2),
+"""
+
+
 def signature_views(source: str, key: str, text: str) -> str:
     """CTEs ``sigs`` (key, sig) and ``near`` (key, sig, earliest)."""
     bits = " + ".join(
@@ -409,6 +417,9 @@ SELECT count(*) FILTER (CAST(ts AS DATE) <> DATE '2024-01-10') AS n_rows, 1 AS v
     "replaced_dates": view_of("""
 SELECT id, CASE WHEN logical_date = DATE '2024-01-10' THEN 0.0::DOUBLE ELSE final_score_v2 END AS final_score_v2,
   CAST(logical_date AS VARCHAR) AS logical_date FROM scored"""),
+    "daily_pipeline": VIEWS.replace("articles AS (SELECT * FROM all_articles),\n", SELECTED) + """
+SELECT id, event_uri, total_articles_in_event, round(entity_hot_score, 6) AS entity_hot_score, round(hot_norm, 6) AS hot_norm,
+  final_score_v2, is_suppressed, is_downweighted, CAST(logical_date AS VARCHAR) AS logical_date FROM scored""",
     "file_names": """
 SELECT event_id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d_%H-%M-%S') || '_daily_briefing.md' AS briefing,
   'summary_' || strftime(ts + INTERVAL 8 HOUR - INTERVAL 1 DAY, '%Y-%m-%d') || '_manual_' || strftime(ts, '%H-%M-%S') || '.json' AS report FROM events""",

@@ -753,6 +753,28 @@ def incremental_ingest(spark, sf):
     return daily.read_table(spark, store.articles, schemas.ARTICLES).select("id", "event_uri", day_text("logical_date"))
 
 
+@query
+def daily_pipeline(spark, sf):
+    """The whole daily run on landed files of all events, articles and concepts: its stored scores."""
+    landed, store = scratch(spark, "landed"), daily.Store(scratch(spark, "store"))
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    V.event_objects(spark, sf).select(F.to_json(F.struct(
+        "uri", "lang", F.col("total_article_count").alias("totalArticleCount"),
+        F.date_format("event_date", micros).alias("eventDate"))).alias("value")).write.text(f"{landed}/events")
+    V.plain_articles(spark, sf).select(F.to_json(F.struct(
+        F.col("id").alias("uri"), "title", "url", F.date_format("published_at", micros).alias("dateTimePub"), "sentiment",
+        F.struct(F.col("source_name").alias("uri"), F.struct(F.col("source_importance").alias("importanceRank")).alias("ranking")).alias("source"),
+        F.col("event_uri").alias("eventUri"), "concepts")).alias("value")).write.text(f"{landed}/articles")
+    V.trending(spark, sf).select(F.to_json(F.struct(
+        "uri", F.lit("org").alias("type"), F.struct(F.struct("score").alias("news")).alias("trendingScore"))).alias("value")).write.text(f"{landed}/trending")
+    daily.run_day(spark, store, landed, DAY, V.as_of(spark, sf), V.PARAMS, SelectionParams(articles_per_event=2))
+    rows = daily.read_table(spark, store.scores, daily.STORED_SCORES)
+    return rows.select(
+        "id", "event_uri", F.col("total_articles_in_event").cast("long").alias("total_articles_in_event"),
+        r6("entity_hot_score", "entity_hot_score"), r6("hot_norm", "hot_norm"), r6("final_score_v2", "final_score_v2"),
+        "is_suppressed", "is_downweighted", day_text("logical_date"))
+
+
 @query
 def read_landed_events(spark, sf):
     folder = scratch(spark, "events")
