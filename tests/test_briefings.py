@@ -96,6 +96,11 @@ def test_one_line_layout(spark):
     assert a["source_url"] is None
 
 
+def test_wide_blank_in_heading(spark):
+    (a,) = parsed(spark, "选题　3\n标题：甲\n")
+    assert (a["card_no"], a["title"]) == (3, "甲")
+
+
 def test_no_topic_and_bad_date(spark):
     assert parsed(spark, "只有说明，提到选题 3。") == []
     (a,) = parsed(spark, "选题7\n标题：甲\n时间：2025-02-31\n")

@@ -28,7 +28,7 @@ def hot_score(n: Column, entity_hot: Column, p: ScoringParams) -> Column:
 
 
 def authority_score(rank: Column, p: ScoringParams) -> Column:
-    share = (F.lit(p.rank_base) - F.coalesce(rank, F.lit(p.rank_base))) / F.lit(p.rank_scale)
+    share = (F.lit(p.rank_base) - number_or(rank, p.rank_base)) / F.lit(p.rank_scale)
     return F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))
 
 

@@ -26,8 +26,8 @@ LABELS = {
 DEFAULT_TAGS = ("#新闻", "#时政")
 SOURCE_DASH = " – "
 
-_HEADING = rf"(?m)^(?=[#* \t]*{TOPIC}[ \t]*\d+[:：* \t\r]*$)"
-_NUMBER = rf"{TOPIC}\s*(\d+)"
+_HEADING = rf"(?m)^(?=[#* \t]*{TOPIC}[ \t\u3000]*\d+[:：* \t\u3000\r]*$)"
+_NUMBER = rf"{TOPIC}[\s\u3000]*(\d+)"
 
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
@@ -74,7 +74,7 @@ def missing_ranges(last: Column) -> Column:
 
 def topic_blocks(text: Column) -> Column:
     """One text per topic. Only a heading line starts a topic, a mention inside a body does not."""
-    return F.filter(F.split(text, _HEADING), lambda b: b.rlike(rf"^[#* \t]*{TOPIC}[ \t]*\d+"))
+    return F.filter(F.split(text, _HEADING), lambda b: b.rlike(rf"^[#* \t]*{TOPIC}[ \t\u3000]*\d+"))
 
 
 def labelled_parts(block: Column) -> Column:

@@ -35,9 +35,14 @@ def insert_new(batch: DataFrame, target: DataFrame, key: str, order: Sequence[Co
     return first_per_group(batch, [key], order).join(known, key, "left_anti")
 
 
-def insert_once(batch: DataFrame, key: str = "id", order: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key of a batch."""
-    return first_per_group(batch, [key], order or [F.desc("published_at"), F.col("url"), F.col("title")])
+def newest_first(batch: DataFrame) -> list[Column]:
+    """An order for batches that carry none: newest first, then by a digest of the whole row, so
+    that a task that runs again picks the same row."""
+    return [F.desc("published_at"), F.md5(F.to_json(F.struct(*batch.columns)))]
+
+
+def one_per_key(batch: DataFrame, key: str = "id") -> DataFrame:
+    return first_per_group(batch, [key], newest_first(batch))
 
 
 def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "uri", stamp: str = "updated_at") -> DataFrame:

@@ -82,8 +82,7 @@ def store_articles(spark: SparkSession, store: Store, flat: DataFrame) -> None:
     article; rejects have no key and are noted again."""
     kept, bad = tables.split_rejects(settle(flat))
     known = read_table(spark, store.articles, ARTICLES)
-    order = [F.desc("published_at"), F.col("url"), F.col("title"), F.col("body")]
-    fresh = tables.insert_new(kept, known, "id", order)
+    fresh = tables.insert_new(kept, known, "id", tables.newest_first(kept))
     sinks.append_table(fresh.select(ARTICLES.fieldNames()), store.articles, by="logical_date")
     sinks.append_table(bad, store.rejects)
 
@@ -96,7 +95,7 @@ def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: s
         landing.read_articles(spark, articles_path).filter(F.col(landing.CORRUPT).isNull()), now, cutoff_hour)
     sized = settle(select.attach_event_size(flat, events))
     without_id = sized.filter(F.col("id").isNull())
-    newest = select.latest_per_event(tables.insert_once(sized.filter(F.col("id").isNotNull())), p.articles_per_event)
+    newest = select.latest_per_event(tables.one_per_key(sized.filter(F.col("id").isNotNull())), p.articles_per_event)
     store_articles(spark, store, newest.unionByName(without_id))
 
 
