@@ -56,7 +56,21 @@ def test_keys_fetch_wide_rows(spark):
     assert sorted(lookup.rows_with_keys(facts, keys, "id", max_bytes=0).collect()) == sorted(want)
 
 
-def test_positions_with_ties_and_hot_group(spark):
+@pytest.mark.parametrize("setting", [
+    {}, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb"},
+    {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "37"}])
+def test_positions_with_ties_and_hot_group(spark, setting):
+    before = {key: spark.conf.get(key) for key in setting}
+    for key, value in setting.items():
+        spark.conf.set(key, value)
+    try:
+        check_positions(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def check_positions(spark):
     rows = uneven(spark)
     plain = rows.withColumn("p", F.row_number().over(Window.orderBy(F.desc("v"), "id")))
     assert ranking.numbered(rows, [F.desc("v"), F.col("id")], name="q").join(plain, "id").filter("p <> q").count() == 0
