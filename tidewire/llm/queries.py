@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
+from tidewire.llm.pieces import decode_pieces, encode_pieces
 from tidewire.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three best segmentations of each text, and a digest of the text that decoding the best gives."""
+    encoded = encode_pieces(table(spark, sf_dir, "documents"))
+    decoded = decode_pieces(encoded, F.col("nbest")[0]["ids"])
+    return decoded.select("doc_id", "n_tokens", "nbest", F.sha2("decoded", 256).alias("decoded_sha256"))
