@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,5 +35,14 @@ def columns_of(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
     return (batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names)
 
 
-def string_lists(values: list[list[str]]) -> pa.Array:
-    return pa.array(values, pa.list_(pa.string()))
+def slices(batches: Iterator[pa.RecordBatch], name: str = "text", max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut into stretches of about ``max_bytes`` of one text column, so that what is built of them stays small."""
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index(name))
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // max_bytes
+        start = 0
+        for end in [*(np.nonzero(np.diff(part))[0] + 1).tolist(), batch.num_rows]:
+            if end > start:
+                yield batch.slice(start, end - start)
+            start = end

@@ -33,3 +33,46 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
+
+
+# The rules of the scan as RE2 patterns: kind, pattern, group whose length counts, least length.
+_SECRETS = [
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+     r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]{16,}", 0, 16),
+    ("github", "gh[opsu]_[A-Za-z0-9]{36,}", 0, 1),
+    ("slack", "xox[abps]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+]
+
+
+def _secret_part(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    return f"""
+    SELECT rid, {rank} AS rank, '{kind}' AS kind, start, start + size AS "end"
+    FROM (SELECT rid, k, length(m) AS size, length(v) AS value,
+                 sum(length(g) + length(m)) OVER (PARTITION BY rid ORDER BY k) - length(m) AS start
+          FROM (SELECT rid, unnest(m) AS m, unnest(v) AS v, unnest(g[: len(m)]) AS g, unnest(range(len(m))) AS k
+                FROM (SELECT rid, regexp_extract_all(text, '{pattern}', 0) AS m, regexp_extract_all(text, '{pattern}', {group}) AS v,
+                             string_split_regex(text, '{pattern}') AS g
+                      FROM docs)))
+    WHERE value >= {least}"""
+
+
+ORACLE["op3_secrets"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+     spans AS ({" UNION ALL ".join(_secret_part(k, *rule) for k, rule in enumerate(_SECRETS))}),
+     joined AS (
+         SELECT rid,
+                count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                count(*) FILTER (kind = 'hex') AS n_hex,
+                string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST("end" AS BIGINT), ',' ORDER BY start, rank)
+                    FILTER (rank < 3) AS base,
+                string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST("end" AS BIGINT), ',' ORDER BY start, rank) AS spans
+         FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (rid)
+"""
+
+ORACLE["sentencepiece_round_trip"] = "SELECT doc_id, sha256(text) AS text_sha256 FROM documents"

@@ -12,20 +12,18 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewire.llm.common import columns_of
+from tidewire.llm.common import columns_of, slices
 from tidewire.llm.lattice import BatchLattice
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 3
 # Recent segments of each task that keep their best path, twice at most; segments up to BATCH_LENGTH
 # characters are solved side by side, up to BATCH_ROWS of a length at once.
-CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 250_000, 32, 10_000
-# New segments are looked for in stretches of this many segments.
-LEARN_SEGMENTS = 500_000
+CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 150_000, 32, 10_000
 # Below the lowest score of a single character, as for an unknown character of a unigram model.
 UNKNOWN_PENALTY = 10.0
+DECODE_ROWS = 500
 _SPACE_MARK = "▁"
 
 
@@ -177,15 +175,8 @@ class PieceModel:
     def encode_all(self, texts: list[str | None], n: int) -> list[list[tuple[float, bytes]] | None]:
         """The best ``n`` segmentations of whole texts, as score and ids; None for None."""
         cut = [self.segments(" " + text) if text else [] for text in texts]
-        found: list[list[tuple[float, bytes]] | None] = []
-        start = size = 0
-        for end, segments in enumerate(cut, 1):
-            size += len(segments)
-            if size >= LEARN_SEGMENTS or end == len(cut):
-                self.learn(chain.from_iterable(cut[start:end]))
-                found.extend(None if texts[k] is None else self._encode(cut[k], n) for k in range(start, end))
-                start, size = end, 0
-        return found
+        self.learn(chain.from_iterable(cut))
+        return [None if text is None else self._encode(segments, n) for text, segments in zip(texts, cut)]
 
     def _encode(self, segments: list[str], n: int) -> list[tuple[float, bytes]]:
         """All paths pass the borders between segments, so scores add up.
@@ -261,7 +252,7 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(content.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = model.encode_all(next(columns_of(batch, "text")), n)
             flat = [entry for entries in found for entry in entries or ()]
             lengths = np.array([len(ids) // 4 for _, ids in flat], dtype=np.int32)
@@ -282,14 +273,17 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
         encode, f"doc_id {id_type}, n_tokens long, nbest array<struct<score: double, ids: array<int>>>")
 
 
-def decode_pieces(docs: DataFrame, ids: str | Column, model_path: str = DEFAULT_MODEL, name: str = "decoded") -> DataFrame:
-    """Add the text of a column of ids; null ids give a null text, no ids the empty text."""
+def decode_pieces(docs: DataFrame, ids: Column, model_path: str = DEFAULT_MODEL, doc_id: str = "doc_id") -> DataFrame:
+    """The texts of sequences of ids, as ``doc_id, decoded``; null ids give a null text, no ids the empty text."""
     content = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), ids.alias("ids"))
 
-    @F.arrow_udf(T.StringType())
-    def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(content.value)
-        for column in columns:
-            yield pa.array([None if v is None else model.decode(v) for v in column.to_pylist()], pa.string())
+        for batch in batches:
+            for start in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(start, DECODE_ROWS)
+                texts = [None if v is None else model.decode(v) for v in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["doc_id", "decoded"])
 
-    return docs.withColumn(name, decode(F.col(ids) if isinstance(ids, str) else ids))
+    return rows.mapInArrow(decode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded string")

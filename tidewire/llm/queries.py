@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
 from tidewire.llm.pieces import decode_pieces, encode_pieces
+from tidewire.llm.secret_scan import RULES, secret_spans, span_text
 from tidewire.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,7 +36,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three best segmentations of each text, and a digest of the text that decoding the best gives."""
-    encoded = encode_pieces(table(spark, sf_dir, "documents"))
-    decoded = decode_pieces(encoded, F.col("nbest")[0]["ids"])
-    return decoded.select("doc_id", "n_tokens", "nbest", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """The three best segmentations of each text."""
+    return encode_pieces(table(spark, sf_dir, "documents"))
+
+
+@query
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the text that decoding the best segmentation gives."""
+    encoded = encode_pieces(table(spark, sf_dir, "documents"), n=1)
+    return decode_pieces(encoded, F.col("nbest")[0]["ids"]).select("doc_id", F.sha2("decoded", 256).alias("text_sha256"))
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in RULES if r.base]
+    return found.select(
+        "doc_id",
+        *[F.expr(f"size(filter(secrets, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(span_text(F.filter("secrets", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        span_text(F.col("secrets")).alias("spans"))
