@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
+from tidewire.llm.near_duplicates import near_duplicates
 from tidewire.llm.pieces import decode_pieces, encode_pieces
 from tidewire.llm.secret_scan import RULES, secret_spans, span_text
 from tidewire.llm.toxicity import score_toxicity
@@ -56,3 +57,8 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.expr(f"size(filter(secrets, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in base],
         F.sha2(span_text(F.filter("secrets", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
         span_text(F.col("secrets")).alias("spans"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
