@@ -11,6 +11,7 @@ from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
 from tidewire.llm.near_duplicates import near_duplicates
 from tidewire.llm.pieces import decode_pieces, encode_pieces
+from tidewire.llm.quality import score_quality
 from tidewire.llm.secret_scan import RULES, secret_spans, span_text
 from tidewire.llm.toxicity import score_toxicity
 
@@ -62,3 +63,8 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
