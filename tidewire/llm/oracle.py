@@ -76,3 +76,37 @@ FROM docs LEFT JOIN joined USING (rid)
 """
 
 ORACLE["sentencepiece_round_trip"] = "SELECT doc_id, sha256(text) AS text_sha256 FROM documents"
+
+# DuckDB gives SHA-1 in hexadecimal; base32 is read off the bits.
+ORACLE["op2_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+     bits AS (
+         SELECT DISTINCT hex, array_to_string(list_transform(range(1, 41), lambda i: right(
+                    '000' || bin(CAST(instr('0123456789abcdef', hex[i]) - 1 AS UTINYINT)), 4)), '') AS b
+         FROM p),
+     digests AS (
+         SELECT hex, array_to_string(list_transform(range(0, 32), lambda k:
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), lambda j:
+                        CAST(b[k * 5 + j + 1] AS INTEGER) * CAST(pow(2, 4 - j) AS INTEGER)))::INTEGER]), '') AS payload_digest
+         FROM bits),
+     firsts AS (SELECT hex, min(page_id) AS first FROM p GROUP BY hex)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN digests USING (hex) JOIN firsts USING (hex)
+"""
+
+ORACLE["op8_embeddings"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+     links AS (
+         SELECT a.vec_id AS u, b.vec_id AS w FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+     reach AS (
+         SELECT vec_id AS node, vec_id AS seen FROM v
+         UNION
+         SELECT r.node, l.w FROM reach AS r JOIN links AS l ON r.seen = l.u),
+     least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+     degree AS (SELECT u, count(*) AS n_links FROM links GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON vec_id = node LEFT JOIN degree ON vec_id = u
+"""

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
+from tidewire.llm.embeddings import link_embeddings
 from tidewire.llm.near_duplicates import near_duplicates
 from tidewire.llm.pieces import decode_pieces, encode_pieces
 from tidewire.llm.quality import score_quality
 from tidewire.llm.secret_scan import RULES, secret_spans, span_text
 from tidewire.llm.toxicity import score_toxicity
+from tidewire.llm.warc import archive_folder, read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,3 +70,16 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = archive_folder(pages)
+    return read_archives(write_archives(pages, folder), folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(table(spark, sf_dir, "embeddings"))
