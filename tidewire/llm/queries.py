@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
 from tidewire.llm.embeddings import link_embeddings
+from tidewire.llm.license_scan import license_scan
 from tidewire.llm.near_duplicates import near_duplicates
 from tidewire.llm.pieces import decode_pieces, encode_pieces
 from tidewire.llm.quality import score_quality
@@ -83,3 +84,15 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source, language and thousands of the id are folders; every twentieth name is LICENSE."""
+    documents = table(spark, sf_dir, "documents")
+    number = F.col("doc_id")
+    folders = F.when(number % 40 == 0, F.concat_ws("/", "source", "lang")).otherwise(
+        F.concat_ws("/", "source", "lang", F.floor(number / 1000).cast("string")))
+    name = F.when(number % 20 == 0, F.concat(F.lit("LICENSE-"), number)).otherwise(F.concat(number, F.lit(".txt")))
+    files = documents.select(F.concat_ws("/", folders, name).alias("path"), "text")
+    return license_scan(files)
