@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.llm.chat import repair_conversations
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
 from tidewire.llm.embeddings import link_embeddings
@@ -96,3 +97,8 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(number % 20 == 0, F.concat(F.lit("LICENSE-"), number)).otherwise(F.concat(number, F.lit(".txt")))
     files = documents.select(F.concat_ws("/", folders, name).alias("path"), "text")
     return license_scan(files)
+
+
+@query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
