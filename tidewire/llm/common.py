@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIGITS, UPPER, LOWER = range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B)
 # Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space. UTF-8 keeps
@@ -46,3 +47,25 @@ def slices(batches: Iterator[pa.RecordBatch], name: str = "text", max_bytes: int
             if end > start:
                 yield batch.slice(start, end - start)
             start = end
+
+
+def carried(docs: DataFrame, keep: Sequence[str], text: str) -> list[Column]:
+    """Columns that an operator passes through, under names of its own; the text goes with its input."""
+    return [F.col(c).alias(f"__keep{k}") for k, c in enumerate(keep) if c != text]
+
+
+def carried_row(keep: Sequence[str], text: str) -> list[Column]:
+    """The columns of ``keep`` as one column ``row``, or nothing."""
+    fields = [F.col("text" if c == text else f"__keep{k}").alias(c) for k, c in enumerate(keep)]
+    return [F.struct(*fields).alias("row")] if fields else []
+
+
+def passed(batch: pa.RecordBatch, keep: Sequence[str]) -> tuple[list[pa.Array], list[str]]:
+    """The text, if it is kept, and the other columns passed through."""
+    names = (["text"] if keep else []) + [n for n in batch.schema.names if n.startswith("__keep")]
+    return [batch.column(batch.schema.get_field_index(n)) for n in names], names
+
+
+def passed_schema(rows: DataFrame, keep: Sequence[str]) -> list[T.StructField]:
+    return ([T.StructField("text", T.StringType())] if keep else []) + [
+        f for f in rows.schema.fields if f.name.startswith("__keep")]

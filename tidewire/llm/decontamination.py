@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewire.llm.common import WORD_BYTES, columns_of, words
+from tidewire.llm.common import (
+    WORD_BYTES, carried, carried_row, columns_of, passed, passed_schema, slices, words)
 from tidewire.session import settle
 
 WINDOW = 13
@@ -89,15 +91,15 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[dict[str, int
     return [{"start": int(points[bounds[a][0]]), "end": int(points[bounds[b - 1][1]])} for a, b in runs]
 
 
-def _scan_block(rows: DataFrame, items: list[tuple[str, list[bytes]]], window: int, last: bool) -> DataFrame:
+def _scan_block(rows: DataFrame, items: list[tuple[str, list[bytes]]], window: int, last: bool,
+                keep: Sequence[str]) -> DataFrame:
     """Add the hits of one block of items; after the last block texts give way to their hit stretches."""
     shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps(items))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
     runs_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(pickle.loads(shared.value), window)
-        for batch in batches:
+        for batch in slices(batches):
             counts, hits, ids, spans = [], [], [], []
             for text, old_ids, old_runs in zip(*columns_of(batch, "text", "item_ids", "runs")):
                 text_words = words(text)
@@ -108,16 +110,19 @@ def _scan_block(rows: DataFrame, items: list[tuple[str, list[bytes]]], window: i
                 ids.append(sorted(found.union(old_ids)))
                 spans.append((original_spans(text, runs) if runs else []) if last
                              else [{"start": a, "end": b} for a, b in runs])
-            at = batch.schema.get_field_index
-            keys = [batch.column(at("doc_id"))] + ([] if last else [batch.column(at("text"))])
+            # Texts are needed until the last block.
+            others, names = passed(batch, keep if last else ["text"])
             yield pa.RecordBatch.from_arrays(
-                [*keys, pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array(ids, pa.list_(pa.string())),
-                 pa.array(spans, runs_type)],
-                names=["doc_id", *([] if last else ["text"]), "n_words", "n_hit", "item_ids", "spans" if last else "runs"])
+                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()),
+                 pa.array(ids, pa.list_(pa.string())), pa.array(spans, runs_type), *others],
+                names=["doc_id", "n_words", "n_hit", "item_ids", "spans" if last else "runs", *names])
 
-    return rows.mapInArrow(
-        scan, f"doc_id {id_type}, {'' if last else 'text string, '}n_words long, n_hit long, item_ids array<string>, "
-              f"{'spans' if last else 'runs'} {_SPANS}")
+    runs = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    schema = T.StructType([
+        rows.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+        T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("spans" if last else "runs", runs),
+        *passed_schema(rows, keep if last else ["text"])])
+    return rows.mapInArrow(scan, schema)
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, max_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
@@ -132,7 +137,8 @@ def _blocks(benchmark: DataFrame, item: str, text: str, max_words: int) -> Itera
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                       max_words: int = MAX_WORDS, min_share: int = MIN_SHARE) -> DataFrame:
+                       max_words: int = MAX_WORDS, min_share: int = MIN_SHARE,
+                       keep: Sequence[str] = ()) -> DataFrame:
     """Occurrences of benchmark windows in whole texts.
 
     Returns ``doc_id, n_words, n_hit, item_ids, spans, contaminated``, one row per row of ``docs``: words,
@@ -146,15 +152,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
 
     Null or empty texts have no words and no hits; null or repeated ids are kept as they are; an item with
     a null id counts under the id ``''``, one without words never occurs, and repeated items count once.
-    An empty benchmark gives no hits. Other columns are ignored.
+    An empty benchmark gives no hits. The columns named in ``keep`` come back as fields of a column ``row``; others
+    are ignored.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumns(
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carried(docs, keep, text)).withColumns(
         {"item_ids": F.array().cast("array<string>"), "runs": F.array().cast(_SPANS)})
     blocks = _blocks(benchmark, item_id, item_text, max_words)
     items = next(blocks)
     for following in blocks:
-        rows = settle(_scan_block(rows, items, window, last=False))
+        rows = settle(_scan_block(rows, items, window, False, keep))
         items = following
-    found = _scan_block(rows, items, window, last=True)
-    return found.withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (F.lit(min_share) * F.col("n_hit") >= F.col("n_words")))
+    found = _scan_block(rows, items, window, True, keep)
+    contaminated = (F.col("n_hit") > 0) & (F.lit(min_share) * F.col("n_hit") >= F.col("n_words"))
+    return found.select("doc_id", "n_words", "n_hit", "item_ids", "spans", contaminated.alias("contaminated"),
+                        *carried_row(keep, text))

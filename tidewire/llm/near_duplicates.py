@@ -226,24 +226,8 @@ def _links(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFram
         rounds += 1
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
-                    threshold: float = THRESHOLD) -> DataFrame:
-    """Classes of texts that links of weighted Jaccard similarity ``threshold`` or more join.
-
-    Returns ``doc_id, class_id, kept``, one row per row of ``docs``: the smallest id of the class, and whether
-    this is it. A text's shingles are runs of ``size`` words (all its words, if it has fewer); the weight of
-    one is its count times the mean IDF of its words, rounded to a quarter of a power of two. Document
-    frequencies count all documents, in 2 ** 18 buckets of words.
-
-    Equal texts are one text from here on. Consistent weighted samples in 16 bands of 4 give buckets of
-    candidates; ``_links`` compares what can still join two classes, exactly; connected components join the
-    links. Only texts in shared buckets get a vector. Documents are read three times and not shuffled.
-
-    A null text is a class of its own, and so is a text without words, together with its equals. Null ids
-    do not count as smallest; a class of null ids has a null ``class_id``, and a null id is kept only if its text
-    is null. Repeated rows fall into one class, and those with its smallest id are all kept. Other columns
-    are ignored.
-    """
+def _classed(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float) -> DataFrame:
+    """``doc_id, key, class`` of every row: key of the text and smallest key of its class; null for null texts."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("key", F.md5("text"))
     ids = settle(rows.select("doc_id", "key"))
     texts = rows.filter(F.col("text").isNotNull())
@@ -262,10 +246,55 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     else:
         components = settle(connected_components(links)).withColumnsRenamed({"node": "key", "component": "class"})
         classed = lookup(ids, components, "key", "doc_id").withColumn("class", F.coalesce("class", "key"))
-    classed = settle(classed)
+    return settle(classed)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """Classes of texts that links of weighted Jaccard similarity ``threshold`` or more join.
+
+    Returns ``doc_id, class_id, kept``, one row per row of ``docs``: the smallest id of the class, and whether
+    this is it. A text's shingles are runs of ``size`` words (all its words, if it has fewer); the weight of
+    one is its count times the mean IDF of its words, rounded to a quarter of a power of two. Document
+    frequencies count all documents, in 2 ** 18 buckets of words.
+
+    Equal texts are one text from here on. Consistent weighted samples in 16 bands of 4 give buckets of
+    candidates; ``_links`` compares what can still join two classes, exactly; connected components join the
+    links. Only texts in shared buckets get a vector. Documents are read three times and not shuffled.
+
+    A null text is a class of its own, and so is a text without words, together with its equals. Null ids
+    do not count as smallest; a class of null ids has a null ``class_id``, and a null id is kept only if its text
+    is null. Repeated rows fall into one class, and those with its smallest id are all kept. Other columns
+    are ignored.
+    """
+    classed = _classed(docs, doc_id, text, size, threshold)
     classes = settle(classed.filter("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("n")).filter("n > 1").select("class", "class_id"))
     told = lookup(classed, classes.withColumn("several", F.lit(True)), "class", "doc_id")
     class_id = F.when(F.col("several"), F.col("class_id")).otherwise(F.col("doc_id"))
     return told.select("doc_id", class_id.alias("class_id"),
                        (F.col("several").isNull() | F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                       threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with one row of each class: that with the smallest id (null last, then by key of the text).
+
+    Rows with null texts all stay. Of rows that repeat the id and the text of a class's first one, one stays.
+    """
+    classed = _classed(docs, doc_id, text, size, threshold).filter("key is not null")
+    # Of the smallest structs, that without a null id comes first.
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
+    firsts = settle(classed.groupBy("class").agg(F.min(first).alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    keys = settle(lookup(classed, firsts.select("class", "first"), "class", "doc_id", "inner").groupBy("key").agg(
+        F.first("first").alias("first"),
+        F.count_if((F.col("key") == F.col("first.key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).alias("n")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("id"), F.md5(text).alias("key"))
+    told = lookup(rows, keys, "key", "id")
+    # The key of a null text is null and finds nothing.
+    chosen = told.filter(F.col("first").isNull() | (
+        (F.col("first.key") == F.col("key")) & F.col("id").eqNullSafe(F.col("first.doc_id"))))
+    if keys.filter("n > 1").isEmpty():
+        return chosen.select("row.*")
+    once = chosen.filter("n is null or n = 1").select("row")
+    return once.unionByName(chosen.filter("n > 1").dropDuplicates(["key"]).select("row")).select("row.*")

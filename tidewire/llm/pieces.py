@@ -23,6 +23,8 @@ NBEST = 3
 CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 150_000, 32, 10_000
 # Below the lowest score of a single character, as for an unknown character of a unigram model.
 UNKNOWN_PENALTY = 10.0
+# Pieces at or below this score (runs of spaces) are in the vocabulary to be decoded, not to be built.
+NEVER_BUILT = -1e8
 DECODE_ROWS = 500
 _SPACE_MARK = "▁"
 
@@ -51,7 +53,8 @@ class PieceModel:
         # Starts of pieces that are no pieces themselves have an empty entry.
         self.entries: dict[str, tuple] = {p[:k]: () for p in pieces for k in range(1, len(p))} | pieces
         self.pairs = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
-        self.unknown = min((s for p, (s, _) in pieces.items() if len(p) == 1), default=0.0) - UNKNOWN_PENALTY
+        single = [s for p, (s, _) in pieces.items() if len(p) == 1 and s > NEVER_BUILT]
+        self.unknown = min(single, default=0.0) - UNKNOWN_PENALTY
         # Cut before the spaces of a word, around line ends and, if no piece holds both, between letters and others.
         cuts = [r" *[^\W\d_]+| *(?:[^ \n\w]|[\d_])+| +|\n", r" *[^ \n]+| +|\n"]
         kept = [c for c in cuts if all(re.fullmatch(c, p) for p in pieces)]

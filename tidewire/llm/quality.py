@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewire.llm.common import columns_of, slices
+from tidewire.llm.common import carried, carried_row, columns_of, passed, passed_schema, slices
 from tidewire.llm.logistic import fit_logistic, sigmoid
 
 # Bounds of the samples that the model is fitted on, in rows.
@@ -151,7 +152,8 @@ def _matrix(values: list[bytes], width: int) -> np.ndarray:
 
 def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
                   source: str = "source", lang: str = "lang", n_chars: str = "n_chars", threshold: float = THRESHOLD,
-                  max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED) -> DataFrame:
+                  max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED,
+                  keep: Sequence[str] = ()) -> DataFrame:
     """Quality of all documents, as ``doc_id, content_score, metadata_score, score, accepted``.
 
     The content view sees byte trigrams of the whole text and its variety; the metadata view sees source,
@@ -165,12 +167,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", do
 
     Null texts count as empty, null metadata has buckets of its own, null or repeated ids are kept. An id
     with both labels counts as 0. Without labels of both classes all scores are the smoothed share of label 1.
-    Other columns are ignored.
+    The columns named in ``keep`` come back as fields of a column ``row``; others are ignored.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).cast("string").alias("source"),
-        F.col(lang).cast("string").alias("lang"), F.col(n_chars).cast("long").alias("n_chars"))
-    sample = _featured(_sample(rows, labels, label, doc_id, max_labelled, max_unlabelled)).collect()
+        F.col(lang).cast("string").alias("lang"), F.col(n_chars).cast("long").alias("n_chars"),
+        *carried(docs, keep, text))
+    sample = _featured(_sample(rows.select("doc_id", "text", "source", "lang", "n_chars"), labels, label, doc_id, max_labelled, max_unlabelled)).collect()
     # The same order in each run: by what the rows hold.
     sample.sort(key=lambda r: (zlib.crc32(r["content"]), r["content"], r["metadata"]))
     known, pool = [r for r in sample if r["label"] is not None], [r for r in sample if r["label"] is None]
@@ -185,10 +188,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", do
             found = model.scores(
                 np.array([content_features(t) for t in texts]),
                 np.array([metadata_features(s, g, n, (t or "").count("\n")) for s, g, n, t in zip(sources, langs, sizes, texts)]))
+            others, names = passed(batch, keep)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(found[:, k]) for k in range(3)]],
-                names=["doc_id", "content_score", "metadata_score", "score"])
-
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(score, f"doc_id {id_type}, content_score double, metadata_score double, score double")
-    return scored.withColumn("accepted", (F.col("score") >= threshold).cast("int"))
+                [batch.column(0), *[pa.array(found[:, k]) for k in range(3)], *others],
+                names=["doc_id", "content_score", "metadata_score", "score", *names])
+
+    schema = T.StructType([rows.schema["doc_id"], *[
+        T.StructField(c, T.DoubleType()) for c in ("content_score", "metadata_score", "score")], *passed_schema(rows, keep)])
+    return rows.mapInArrow(score, schema).select(
+        "doc_id", "content_score", "metadata_score", "score", (F.col("score") >= threshold).cast("int").alias("accepted"),
+        *carried_row(keep, text))

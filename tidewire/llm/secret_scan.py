@@ -118,7 +118,7 @@ def _starts(gaps: Column, found: Column) -> Column:
 
 def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id", text: str = "text",
                  keep: Sequence[str] = ()) -> DataFrame:
-    """Secrets in whole texts, as ``doc_id, secrets`` and the columns named in ``keep``.
+    """Secrets in whole texts, as ``doc_id, secrets`` and, as fields of a column ``row``, the columns named in ``keep``.
 
     ``secrets`` are structs ``start, rank, end, kind`` in order of start and then of the rules; offsets count
     code points, the end is exclusive. Per rule the matches are leftmost and do not overlap.
@@ -131,13 +131,12 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "
 
     Null and empty texts have no secrets; ids may be null or repeated; columns not named are ignored.
     """
-    wanted = dict.fromkeys([*keep])
-    rows = docs.select(
-        F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"),
-        *[F.col(c).alias(f"__keep_{c}") for c in wanted]).withColumn("text_key", F.xxhash64("__text"))
+    kept = [F.struct(*keep).alias("row")] if keep else []
+    rows = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), *kept).withColumn(
+        "text_key", F.xxhash64("__text"))
     found = settle(candidates(docs, rules, text))
     rows = lookup(rows, found, "text_key", "__id")
-    columns = ["__id", "__text", *[f"__keep_{c}" for c in wanted]]
+    columns = ["__id", "__text", *(["row"] if keep else [])]
     whole = {r.kind: f"__all_{r.kind}" for r in rules}
     values = {r.kind: f"__value_{r.kind}" for r in rules if r.group}
     gaps = {r.kind: f"__gaps_{r.kind}" for r in rules}
@@ -175,8 +174,7 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "
             F.lit(rule.kind).alias("kind")))).otherwise(F.array().cast(kind_of))
 
     joined = F.array_sort(F.concat(*[spans(r, k) for k, r in enumerate(rules)]))
-    return rows.select(F.col("__id").alias("doc_id"), joined.alias("secrets"),
-                       *[F.col(f"__keep_{c}").alias(c) for c in wanted])
+    return rows.select(F.col("__id").alias("doc_id"), joined.alias("secrets"), *(["row"] if keep else []))
 
 
 def span_text(secrets: Column) -> Column:
@@ -192,12 +190,13 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str =
     Texts without secrets stay as they are, null ones too. Of an assignment the keyword stays.
     """
     scanned = secret_spans(docs, rules, doc_id, text, keep=docs.columns)
-    hidden = F.col(text)
+    hidden = F.col("row")[text]
     for rule in rules:
         hidden = F.regexp_replace(hidden, rule.redact, rule.replacement)
     some = F.size("secrets") > 0
-    clean = scanned.withColumn("__clean", F.when(some, hidden).otherwise(F.col(text)))
+    clean = scanned.select("row", some.alias("some"), F.when(some, hidden).otherwise(F.col("row")[text]).alias("clean"))
+    size = F.when(F.col("some"), F.length("clean"))
     return clean.select(*[
-        F.col("__clean").alias(c) if c == text
-        else F.when(some, F.length("__clean")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == n_chars
-        else F.col(c) for c in docs.columns])
+        F.col("clean").alias(c) if c == text
+        else F.coalesce(size, F.col("row")[c]).cast(docs.schema[c].dataType).alias(c) if c == n_chars
+        else F.col("row")[c].alias(c) for c in docs.columns])
