@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node links its larger neighbours to the smallest
     neighbour it has, then its smaller neighbours to the smallest of them. Each step is an aggregate with
-    partial sums and a join on the node; the rounds grow with the logarithm of the nodes. Every step is
+    partial sums and a join on the node; the rounds grow with the logarithm of the nodes. Every round is
     stored in the shared folder. Links with a null end and links of a node to itself count for nothing.
     """
     edges = settle(edges.filter("u <> v").select(
@@ -40,7 +40,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         last = now
         both = _both_ways(edges)
         large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = settle(large.filter("u <> v").distinct())
+        large = large.filter("u <> v").distinct()
         least = _least(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))

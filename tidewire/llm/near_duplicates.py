@@ -13,6 +13,7 @@ from tidewire.llm.common import columns_of, slices
 from tidewire.llm.components import connected_components
 from tidewire.llm.hashing import WordHasher, mixed
 from tidewire.operators.lookup import lookup
+from tidewire.operators.ranking import first_per_group
 from tidewire.session import settle
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -25,7 +26,8 @@ STEPS, LEVEL_BITS = 4, 8
 _ZERO_LEVEL = 32
 _DRAW_BITS = 16
 _LONG = 20_000
-MAX_PIVOTS = 256
+# Pivots per bucket in the rounds after the first; the last number goes on.
+PIVOTS = (8, 128)
 _SHINGLE_FACTORS = mixed(np.arange(1, 4096, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -186,30 +188,31 @@ def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
     return both.mapInArrow(compare, "u string, v string")
 
 
-def _links(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame | None:
-    """Links that join all texts of a bucket that similar pairs of that bucket join.
+def _joined(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame | None:
+    """``key, component``: what links of similar pairs of a bucket join; None if there are none.
 
     Members of one component need no more comparison. In each round some members of every bucket that still
     holds several components, the pivots, are compared with all members of other components there, and leave
     that bucket. A bucket of similar texts ends with its first pivot; the others end when all
     pairs across components were compared. The first round, for all texts, takes one pivot per text.
     """
-    spark, links, rounds = members.sparkSession, None, 0
+    components, rounds = None, 0
     members = members.withColumn("component", F.col("key"))
     while True:
         states = members.groupBy("bucket").agg(
             (F.min("component") != F.max("component")).alias("mixed"))
         members = settle(members.join(states.filter("mixed").select("bucket"), "bucket", "left_semi"))
         if members.isEmpty():
-            return links
-        n = min(4 ** max(0, rounds - 1), MAX_PIVOTS)
-        waiting = members.select("bucket", F.struct("key", "component").alias("pivot"))
-        if n == 1:
-            pivots = waiting.groupBy("bucket").agg(F.array(F.min("pivot")).alias("pivots"))
+            return components
+        pivot = F.struct("key", "component")
+        if rounds == 0:
+            pivots = members.groupBy("bucket").agg(F.array(F.min(pivot)).alias("pivots"))
         else:
-            pivots = waiting.groupBy("bucket").agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, n).alias("pivots"))
+            n = PIVOTS[min(rounds, len(PIVOTS)) - 1]
+            pivots = first_per_group(members, ["bucket"], [F.col("key")], n).groupBy("bucket").agg(
+                F.collect_list(pivot).alias("pivots"))
         pivots = settle(pivots)
-        faced = lookup(members.select("bucket", "key", "component"), pivots, "bucket", "key", "inner")
+        faced = lookup(members, pivots, "bucket", "key", "inner")
         pairs = faced.select("key", "component", F.explode("pivots").alias("pivot")).filter(
             "component <> pivot.component").select(F.col("pivot.key").alias("u"), F.col("key").alias("v"))
         if rounds == 0:
@@ -219,10 +222,12 @@ def _links(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFram
             members = members.join(
                 pivots.select("bucket", F.explode("pivots.key").alias("key")), ["bucket", "key"], "left_anti")
         found = settle(_verified(settle(pairs), vectors, threshold))
-        links = found if links is None else links.union(found)
-        components = settle(connected_components(links)).withColumnsRenamed({"node": "key", "component": "now"})
-        members = lookup(members, components, "key", "bucket").withColumn(
-            "component", F.coalesce("now", "component")).drop("now")
+        if not found.isEmpty():
+            stars = components and components.select(F.col("key").alias("u"), F.col("component").alias("v"))
+            components = settle(connected_components(found if stars is None else found.union(stars))).withColumnsRenamed(
+                {"node": "key"})
+            members = lookup(members, components.withColumnRenamed("component", "now"), "key", "bucket").withColumn(
+                "component", F.coalesce("now", "component")).drop("now")
         rounds += 1
 
 
@@ -240,13 +245,11 @@ def _classed(docs: DataFrame, doc_id: str, text: str, size: int, threshold: floa
     vectors = settle(_vectors(
         lookup(texts, wanted, "key", "doc_id", "inner").select("key", "text").dropDuplicates(["key"]),
         frequencies, documents, size))
-    links = _links(members, vectors, threshold)
-    if links is None:
-        classed = ids.withColumn("class", F.col("key"))
-    else:
-        components = settle(connected_components(links)).withColumnsRenamed({"node": "key", "component": "class"})
-        classed = lookup(ids, components, "key", "doc_id").withColumn("class", F.coalesce("class", "key"))
-    return settle(classed)
+    components = _joined(members, vectors, threshold)
+    if components is None:
+        return settle(ids.withColumn("class", F.col("key")))
+    classed = lookup(ids, components.withColumnRenamed("component", "class"), "key", "doc_id")
+    return settle(classed.withColumn("class", F.coalesce("class", "key")))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -259,8 +262,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     frequencies count all documents, in 2 ** 18 buckets of words.
 
     Equal texts are one text from here on. Consistent weighted samples in 16 bands of 4 give buckets of
-    candidates; ``_links`` compares what can still join two classes, exactly; connected components join the
-    links. Only texts in shared buckets get a vector. Documents are read three times and not shuffled.
+    candidates; ``_joined`` compares what can still join two classes, exactly, and joins them by connected
+    components. Only texts in shared buckets get a vector. Documents are read three times and not shuffled.
 
     A null text is a class of its own, and so is a text without words, together with its equals. Null ids
     do not count as smallest; a class of null ids has a null ``class_id``, and a null id is kept only if its text
