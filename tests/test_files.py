@@ -106,8 +106,17 @@ def report_rows(spark, n=25):
 
 def test_report_on_disk_is_one_json_document(spark, tmp_path):
     lines = report_lines(report_rows(spark), NOW, ReportParams(data_source="x"))
-    sinks.write_report(lines.repartition(5), str(tmp_path / "r"))
-    document = json.loads(joined(tmp_path / "r" / "logical_date=2025-09-01"))
+    root = str(tmp_path / "r")
+    for run_type, minute in (("manual", 1), ("manual", 1), ("scheduled", 2)):
+        sinks.write_report(lines.repartition(5), root, run_type, F.lit(f"2025-09-03 01:0{minute}:03").cast("timestamp"))
+    found = files.list_documents(spark, root)
+    names = sorted(r["name"] for r in found.collect())
+    assert names == ["summary_2025-09-01_manual_01-01-03.json", "summary_2025-09-01_scheduled_01-02-03.json"]
+    path = files.report_path(found, "by_ds", "2025-09-01")
+    assert path.endswith(names[1])
+    text = "".join(r["value"] for r in files.read_documents(spark, path).orderBy("place").collect())
+    document = json.loads(joined(tmp_path / "r" / f"file_name={names[0]}"))
+    assert json.loads(text) == document
     assert document["reportMetadata"] == {
         "reportGeneratedAt": "2025-09-03T01:02:03.000000+00:00", "reportForDate": "2025-09-01", "articleCount": 25, "dataSource": "x"}
     assert [a["rank"] for a in document["articles"]] == list(range(1, 26))

@@ -60,7 +60,7 @@ def test_daily_run_and_rerun(spark, tmp_path, landed):
     trending, version = daily.read_trending(spark, store)
     assert [r["uri"] for r in trending.collect()] == ["c/a"] and version == 1
 
-    parts = sorted((tmp_path / "store" / "reports" / "logical_date=2025-09-02").glob("part-*"))
+    parts = sorted((tmp_path / "store" / "reports").glob("file_name=summary_2025-09-02_scheduled_*/part-*"))
     document = json.loads("".join(p.read_text() for p in parts))
     assert document["reportMetadata"]["articleCount"] == 4
     assert [a["rank"] for a in document["articles"]] == [1, 2, 3, 4] and document["articles"][0]["body"] == "body a1"

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -181,6 +182,20 @@ def test_near_repeats_against_all_pairs(spark):
         assert bin(sigs[i] ^ sigs[r["earliest"]]).count("1") <= 12
 
 
+def test_similar_repeats_against_all_pairs(spark):
+    rng = random.Random(8)
+    pool = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.sample(pool, rng.randint(1, 12))) for _ in range(150)] + ["", None, "  ", "a a b", "B a"]
+    texts += [t + " more" for t in texts[:60]] + ["hot one two three four"] * 30
+    texts += [f"hot one two three four five six seven eight x{i}" for i in range(60)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = {r["id"]: (r["earliest"], r["is_repeat"]) for r in dedup.similar_repeats(rows, "id", F.col("t")).collect()}
+    sets = [frozenset((t or "").lower().split()) for t in texts]
+    for i, a in enumerate(sets):
+        first = min(j for j, b in enumerate(sets) if a == b or 5 * len(a & b) >= 4 * len(a | b))
+        assert got[i] == (first, first < i)
+
+
 def test_first_of_each(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None), (6, "a")], "id int, t string")
     assert sorted(r["id"] for r in dedup.first_of_each(rows, "id", F.col("t")).collect()) == [1, 3, 4, 5]

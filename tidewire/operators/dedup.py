@@ -1,4 +1,4 @@
-"""Repeats: same url, similar text by SimHash, richest row of a group."""
+"""Repeats: same url, similar text by the words it shares or by SimHash, richest row of a group."""
 
 from __future__ import annotations
 
@@ -11,6 +11,9 @@ from tidewire.operators.lookup import lookup, rows_with_keys
 from tidewire.operators.ranking import first_rows_per_group
 from tidewire.session import settle
 
+SIMILARITY = 0.8
+# Sets that lead with one word meet in parts of this size.
+CROWD = 500
 BITS = 60
 BANDS = 10
 AGREEING = 8
@@ -59,7 +62,7 @@ def agreement_masks(bands: int = BANDS, agreeing: int = AGREEING) -> list[int]:
 
 
 def earliest_similar(sigs: DataFrame, key: str, bands: int = BANDS, agreeing: int = AGREEING) -> DataFrame:
-    """For each signature the smallest key among the rows that are at least 80 % similar to it.
+    """For each signature the smallest key among the rows with at least 8 of 10 equal stretches.
 
     Two signatures are similar if at least ``agreeing`` of their ``bands`` stretches are equal, which
     implies that at least 80 % of their bits are. Similar pairs share one of the masked values, so
@@ -78,12 +81,53 @@ def earliest_similar(sigs: DataFrame, key: str, bands: int = BANDS, agreeing: in
 
 
 def near_repeats(df: DataFrame, key: str, text: Column) -> DataFrame:
-    """(key, sig, earliest, is_repeat): a repeat has a similar row with a smaller key."""
+    """(key, sig, earliest, is_repeat): a repeat has a row of smaller key with 8 of 10 equal stretches.
+
+    A quick and partial test; ``similar_repeats`` finds all texts that share 80 % of their words.
+    """
     sigs = settle(signatures(df, key, text))
     marked = lookup(sigs, settle(earliest_similar(sigs, key)), "sig", spread_by=key, how="inner")
     return marked.withColumn("is_repeat", F.col("earliest") < F.col(key))
 
 
+def similar_repeats(df: DataFrame, key: str, text: Column, at_least: float = SIMILARITY) -> DataFrame:
+    """(key, earliest, is_repeat) by the Jaccard similarity of the sets of words.
+
+    ``earliest`` is the smallest key among the rows with a similarity of ``at_least`` to the row, itself
+    included. All of them are found: two such sets share one of the rarest words of either, namely of
+    the first ``n - ceil(at_least * n) + 1`` of its ``n`` words in the order of their frequency. Equal
+    sets are one set from the start. Sets meet by those words and sizes, and are then compared in
+    full; a word that many sets lead with is split into parts that each meet all others.
+    """
+    marked = df.select(key, F.array_sort(F.array_distinct(F.filter(words(text), lambda w: w != ""))).alias("words"))
+    keyed = settle(marked.select(key, F.md5(F.concat_ws(" ", "words")).alias("set_id"), "words"))
+    sets = settle(keyed.groupBy("set_id").agg(F.min(key).alias("first"), F.first("words").alias("words")))
+    single = sets.select("set_id", F.explode("words").alias("word"))
+    ordered = single.join(single.groupBy("word").agg(F.count("*").alias("n")), "word").groupBy("set_id").agg(
+        F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ordered"))
+    size = F.size("ordered")
+    leading = F.slice("ordered", 1, size - F.ceil(size * at_least - 1e-9).cast("int") + 1)
+    leads = settle(ordered.select("set_id", size.alias("size"), F.explode(leading["word"]).alias("word")))
+    crowds = leads.groupBy("word").agg(F.count("*").alias("crowd")).filter("crowd > 1").withColumn(
+        "parts", F.ceil(F.col("crowd") / CROWD).cast("int"))
+    met = settle(leads.join(crowds, "word"))
+    part = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
+    left = met.select("word", F.col("set_id").alias("a"), F.col("size").alias("a_size"), part.alias("part"))
+    right = met.select("word", F.col("set_id").alias("b"), F.col("size").alias("b_size"),
+                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    near_size = (F.col("b_size") >= F.col("a_size") * at_least) & (F.col("a_size") >= F.col("b_size") * at_least)
+    pairs = left.join(right, ["word", "part"]).filter((F.col("a") < F.col("b")) & near_size).select("a", "b").distinct()
+    whole = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("words").alias("a_words"), F.col("first").alias("a_first")), "a").join(
+        sets.select(F.col("set_id").alias("b"), F.col("words").alias("b_words"), F.col("first").alias("b_first")), "b")
+    shared = F.size(F.array_intersect("a_words", "b_words"))
+    similar = whole.filter(shared * (1 + at_least) >= (F.size("a_words") + F.size("b_words")) * at_least - 1e-9)
+    links = similar.select(F.col("a").alias("set_id"), F.col("b_first").alias("first")).unionByName(
+        similar.select(F.col("b").alias("set_id"), F.col("a_first").alias("first"))).unionByName(sets.select("set_id", "first"))
+    earliest = links.groupBy("set_id").agg(F.min("first").alias("earliest"))
+    told = lookup(keyed.select(key, "set_id"), settle(earliest), "set_id", spread_by=key, how="inner")
+    return told.select(key, "earliest", (F.col("earliest") < F.col(key)).alias("is_repeat"))
+
+
 def normal_url(url: Column) -> Column:
     """Url without scheme, ``www.``, fragment, tracking query and trailing slash, in lower case."""
     bare = F.regexp_replace(F.lower(F.trim(url)), r"^https?://(www\.)?", "")
@@ -117,7 +161,7 @@ def exact_repeats_dropped(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def repeats_dropped(df: DataFrame, key: str, url: str = "url", title: str = "title") -> DataFrame:
     """Rows without an earlier row of the same url or a similar title."""
-    similar = settle(near_repeats(df, key, F.col(title)).filter("is_repeat").select(key))
+    similar = settle(similar_repeats(df, key, F.col(title)).filter("is_repeat").select(key))
     return rows_with_keys(same_url_dropped(df, key, url), similar, key, "left_anti")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,20 +25,20 @@ def payload_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str = "left",
+def lookup(facts: DataFrame, dim: DataFrame, key: str, spread_by: str | Sequence[str], how: str = "left",
            max_bytes: int = MAX_BROADCAST_BYTES, spread: int = SPREAD) -> DataFrame:
     """Join ``facts`` to ``dim`` (unique ``key``).
 
     The size of ``dim`` is measured. Up to ``max_bytes`` it is broadcast, and the facts are not
     shuffled. Beyond that each key is split into ``spread`` slots: a fact picks its slot by
-    ``spread_by``, the dimension row is repeated once per slot, so a hot key is spread evenly.
+    ``spread_by`` (one column or several), the dimension row is repeated once per slot, so a hot key is spread evenly.
     ``dim`` should be stored or settled, because measuring it reads it once more.
     """
     if payload_bytes(dim) <= max_bytes:
         return facts.join(F.broadcast(dim), key, how)
     slots = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
     slotted_dim = dim.withColumn(_SLOT, slots)
-    slotted_facts = facts.withColumn(_SLOT, F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
+    slotted_facts = facts.withColumn(_SLOT, F.pmod(F.xxhash64(*([spread_by] if isinstance(spread_by, str) else spread_by)), F.lit(spread)).cast("int"))
     joined = slotted_facts.hint("merge").join(slotted_dim, [key, _SLOT], how)
     return joined.drop(_SLOT)
 

@@ -18,6 +18,17 @@ CANDIDATE_COLUMNS = ["id", "event_uri", "source_name", "published_at", "final_sc
 ARTICLE_FIELDS = ["rank", "score", "source", "title", "url", "publishedAt", "eventId", "body"]
 
 
+def near_dates(rows: DataFrame, logical_date: date | str) -> DataFrame:
+    """Only the folders of a stored table that can hold rows of the date.
+
+    The stored date may use another cutoff; it is off by one day at most.
+    """
+    if "logical_date" not in rows.columns:
+        return rows
+    day = F.lit(str(logical_date)).cast("date")
+    return rows.filter(F.col("logical_date").between(F.date_sub(day, 1), F.date_add(day, 1)))
+
+
 def report_candidates(scored: DataFrame, logical_date: date | str | None, p: ReportParams) -> DataFrame:
     """Scored rows of the day (or of every day), at most ``per_event`` per event, best first.
 
@@ -25,11 +36,7 @@ def report_candidates(scored: DataFrame, logical_date: date | str | None, p: Rep
     """
     rows = scored.filter(F.col("final_score_v2").isNotNull())
     if logical_date is not None:
-        rows = rows.filter(in_logical_day(rows, "published_at", logical_date, p.cutoff_hour))
-        if "logical_date" in rows.columns:
-            # The stored date may use another cutoff; it is off by one day at most.
-            day = F.lit(str(logical_date)).cast("date")
-            rows = rows.filter(F.col("logical_date").between(F.date_sub(day, 1), F.date_add(day, 1)))
+        rows = near_dates(rows, logical_date).filter(in_logical_day(rows, "published_at", logical_date, p.cutoff_hour))
     narrow = [c for c in CANDIDATE_COLUMNS if c in rows.columns]
     rows = rows.select(logical_date_bj(F.col("published_at"), p.cutoff_hour).alias("logical_date"), *narrow)
     return first_per_group(rows, ["logical_date", "event_uri"], [F.desc("final_score_v2"), F.col("id")], p.per_event)
@@ -53,7 +60,8 @@ def daily_report(scored: DataFrame, articles: DataFrame | None = None, logical_d
         ranked = numbered(picked, order, within="logical_date")
     if articles is not None:
         if logical_date is not None:
-            articles = articles.filter(in_logical_day(articles, "published_at", logical_date, p.cutoff_hour))
+            articles = near_dates(articles, logical_date).filter(
+                in_logical_day(articles, "published_at", logical_date, p.cutoff_hour))
         wide = [c for c in WIDE_COLUMNS if c in articles.columns]
         ranked = settle(ranked)
         ranked = ranked.join(rows_with_keys(articles.select("id", *wide), ranked, "id"), "id", "left")

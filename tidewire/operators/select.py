@@ -22,12 +22,12 @@ def resolve_sources(names: DataFrame, sources: DataFrame) -> DataFrame:
 def trusted_only(rows: DataFrame, source_column: str, trusted: DataFrame, enabled: bool = True) -> DataFrame:
     """Rows of trusted sources. No trusted uri leaves no row; switched off, all rows stay.
 
-    ``trusted`` has one row per uri, so that the join can also run from the left.
+    ``trusted`` has one row per uri, so that the join can also run from the left. A hot source is spread by whole rows.
     """
     if not enabled:
         return rows
     return lookup(rows, trusted.select(F.col("uri").alias(source_column)), source_column,
-                  spread_by=rows.columns[0], how="left_semi")
+                  spread_by=rows.columns, how="left_semi")
 
 
 def events_of_sources(events: DataFrame, trusted: DataFrame, enabled: bool = True) -> DataFrame:
@@ -45,7 +45,7 @@ def eligible_events(events: DataFrame, p: SelectionParams, as_of: Column | datet
     return events.filter(
         (F.col("lang") == p.language)
         & (F.col("total_article_count") >= p.min_articles)
-        & since(events, "event_date", as_of, hours or p.lookback_hours)
+        & since(events, "event_date", as_of, p.lookback_hours if hours is None else hours)
     )
 
 

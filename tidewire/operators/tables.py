@@ -35,14 +35,17 @@ def insert_new(batch: DataFrame, target: DataFrame, key: str, order: Sequence[Co
     return first_per_group(batch, [key], order).join(known, key, "left_anti")
 
 
-def newest_first(batch: DataFrame) -> list[Column]:
-    """An order for batches that carry none: newest first, then by a digest of the whole row, so
-    that a task that runs again picks the same row."""
+def batch_order(batch: DataFrame) -> list[Column]:
+    """The order in which rows arrived. For batches without ``arrival`` newest first, then by a digest
+    of the whole row, so that a task that runs again picks the same row."""
+    if "arrival" in batch.columns:
+        return [F.col("arrival")]
     return [F.desc("published_at"), F.md5(F.to_json(F.struct(*batch.columns)))]
 
 
 def one_per_key(batch: DataFrame, key: str = "id") -> DataFrame:
-    return first_per_group(batch, [key], newest_first(batch))
+    """The first row of each key. The choice is made on narrow rows where the order allows it."""
+    return first_per_group(batch, [key], batch_order(batch))
 
 
 def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "uri", stamp: str = "updated_at") -> DataFrame:
@@ -51,10 +54,10 @@ def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "uri", stam
     A key that occurs more than once in the updates takes the greatest (stamp, other columns).
     """
     values = [c for c in current.columns if c not in (key, stamp)]
-    newest = F.max(F.struct(F.lit(1).alias("is_update"), stamp, *values))
-    kept = F.struct(F.lit(0).alias("is_update"), stamp, *values)
-    both = current.select(key, kept.alias("row")).unionByName(
-        updates.groupBy(key).agg(newest.alias("row")))
+    def rows(df: DataFrame, is_update: int) -> DataFrame:
+        return df.select(key, F.struct(F.lit(is_update).alias("is_update"), stamp, *values).alias("row"))
+
+    both = rows(current, 0).unionByName(rows(updates, 1))
     picked = both.groupBy(key).agg(F.max("row").alias("row"))
     return picked.select(*[F.col(key) if c == key else F.col(f"row.{c}") for c in current.columns])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import os
 from collections.abc import Callable, Sequence
@@ -64,36 +65,39 @@ class ReportParams:
     data_source: str = "article scores"
 
 
-def cutoff_hour(getter: Callable[[str], object] | None = None) -> int:
-    """Beijing day boundary: the getter first, then BJ_CUTOFF_HOUR, then 6; bad values give 6."""
-    raw = None
-    if getter is not None:
-        try:
-            raw = getter("bj_cutoff_hour")
-        except Exception:
-            raw = None
-    if raw is None:
-        raw = os.environ.get("BJ_CUTOFF_HOUR", DEFAULT_CUTOFF_HOUR)
+# The names of the two settings that runs are configured by.
+CUTOFF_SETTING, CUTOFF_VARIABLE = "bj_cutoff_hour", "BJ_CUTOFF_HOUR"
+
+
+def parsed(value: object, parse: Callable[[object], object], default: object) -> object:
+    """A setting in its type; a value that cannot be read counts as the default."""
     try:
-        hour = int(raw)
+        return parse(value)
     except (TypeError, ValueError):
-        return DEFAULT_CUTOFF_HOUR
-    return hour if hour in range(24) else DEFAULT_CUTOFF_HOUR
+        return default
+
+
+def _hour(value: object) -> int:
+    hour = int(value)
+    if hour not in range(24):
+        raise ValueError(f"no hour of the day: {hour}")
+    return hour
+
+
+def cutoff_hour(getter: Callable[[str], object] | None = None) -> int:
+    """Beijing day boundary: what the getter says, else the environment, else 6. A getter may fail."""
+    said = None
+    with contextlib.suppress(Exception):
+        said = getter(CUTOFF_SETTING) if getter else None
+    return parsed(os.environ.get(CUTOFF_VARIABLE) if said is None else said, _hour, DEFAULT_CUTOFF_HOUR)
 
 
 def whitelist_setting(enabled_text: str | None, trusted_text: str | None) -> tuple[bool, list[str]]:
-    """(use the whitelist, trusted source names) from the two configured JSON texts.
+    """(use the whitelist, trusted source names) from two JSON texts.
 
-    An unreadable switch means on; an empty or unreadable list turns the whitelist off.
+    The switch is on unless it reads as off; it takes a list with names to be used.
     """
-    try:
-        enabled = bool(json.loads((enabled_text or "true").lower()))
-    except ValueError:
-        enabled = True
-    if not enabled:
-        return False, []
-    try:
-        names = json.loads(trusted_text or "[]")
-    except ValueError:
-        return False, []
-    return (True, names) if isinstance(names, list) and names else (False, [])
+    on = parsed((enabled_text or "true").lower(), json.loads, True)
+    names = parsed(trusted_text, json.loads, [])
+    used = bool(on) and isinstance(names, list) and len(names) > 0
+    return used, names if used else []

@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.functions.timecols import logical_date_bj
+from tidewire.functions.timecols import instant, logical_date_bj
 from tidewire.operators import report, scoring, select, tables
+from tidewire.operators.lookup import rows_with_keys
 from tidewire.params import ReportParams, ScoringParams, SelectionParams
 from tidewire.schemas import ARTICLE_SCORES, ARTICLES, TRENDING
 from tidewire.session import build_session, settle, use_utc
 from tidewire.sources import landing, sinks
 
+# Rows that cannot be stored, and unreadable lines with their text.
+REJECTS = T.StructType([*ARTICLES.fields, T.StructField("kind", T.StringType()), T.StructField("line", T.StringType())])
 STORED_SCORES = T.StructType([*ARTICLE_SCORES.fields, T.StructField("logical_date", T.DateType())])
 
 
@@ -72,31 +75,46 @@ def read_trending(spark: SparkSession, store: Store) -> tuple[DataFrame, int]:
 
 def refresh_trending(spark: SparkSession, store: Store, path: str, now: datetime | str, p: SelectionParams) -> None:
     """Upsert the landed concepts into a new version of the table."""
+    note_unreadable(spark, store, landing.landed_trending(spark, path), "trending line")
     current, version = read_trending(spark, store)
     updates = select.top_trending(landing.read_trending(spark, path, now), p).select(current.columns)
     sinks.write_version(tables.upsert_latest(current, updates), store.trending, version + 1)
 
 
+def note_unreadable(spark: SparkSession, store: Store, landed: DataFrame, kind: str) -> None:
+    """Keep the text of unreadable lines among the rejects."""
+    lines = landing.unreadable(landed, kind)
+    empty = spark.createDataFrame([], REJECTS)
+    sinks.append_table(empty.unionByName(lines, allowMissingColumns=True), store.rejects)
+
+
 def store_articles(spark: SparkSession, store: Store, flat: DataFrame) -> None:
-    """Append the new rows of a batch, and its rejects. A second run of the same batch adds no
-    article; rejects have no key and are noted again."""
+    """Append the new rows of a batch, of each id the first to arrive, and its rejects. A second run of
+    the same batch adds no article; rejects have no key and are noted again."""
     kept, bad = tables.split_rejects(settle(flat))
     known = read_table(spark, store.articles, ARTICLES)
-    fresh = tables.insert_new(kept, known, "id", tables.newest_first(kept))
+    fresh = tables.insert_new(kept, known, "id", tables.batch_order(kept))
     sinks.append_table(fresh.select(ARTICLES.fieldNames()), store.articles, by="logical_date")
-    sinks.append_table(bad, store.rejects)
+    empty = spark.createDataFrame([], REJECTS)
+    marked = bad.select(*[c for c in ARTICLES.fieldNames() if c in bad.columns]).withColumn("kind", F.lit("article"))
+    sinks.append_table(empty.unionByName(marked, allowMissingColumns=True), store.rejects)
 
 
 def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: str, now: datetime | str,
            p: SelectionParams, trusted: DataFrame | None = None, cutoff_hour: int = 6) -> None:
     """Store the newest articles of the selected events."""
+    note_unreadable(spark, store, landing.landed_events(spark, events_path), "event line")
     events = settle(select.select_events(landing.read_events(spark, events_path), p, now, trusted))
-    flat = landing.flatten_articles(
-        landing.read_articles(spark, articles_path).filter(F.col(landing.CORRUPT).isNull()), now, cutoff_hour)
+    landed = landing.read_articles(spark, articles_path)
+    note_unreadable(spark, store, landed, "article line")
+    flat = landing.flatten_articles(landed.filter(F.col(landing.CORRUPT).isNull()), now, cutoff_hour)
     sized = settle(select.attach_event_size(flat, events))
     without_id = sized.filter(F.col("id").isNull())
-    newest = select.latest_per_event(tables.one_per_key(sized.filter(F.col("id").isNotNull())), p.articles_per_event)
-    store_articles(spark, store, newest.unionByName(without_id))
+    # Of each id the first to arrive, then the newest of each event: both on narrow rows, bodies are fetched once.
+    narrow = sized.filter(F.col("id").isNotNull()).select("id", "event_uri", "published_at", "arrival")
+    newest = select.latest_per_event(tables.one_per_key(narrow), p.articles_per_event).select("id", "arrival")
+    chosen = rows_with_keys(sized, settle(newest), "arrival")
+    store_articles(spark, store, chosen.unionByName(without_id))
 
 
 def score_new(spark: SparkSession, store: Store, now: datetime | str, p: ScoringParams, cutoff_hour: int = 6) -> None:
@@ -114,12 +132,13 @@ def score_new(spark: SparkSession, store: Store, now: datetime | str, p: Scoring
     sinks.append_table(dated, store.scores, by="logical_date")
 
 
-def write_day_report(spark: SparkSession, store: Store, day: date | str, now: datetime | str, p: ReportParams) -> None:
-    """Write the report of one date; a date without scored articles leaves no file."""
+def write_day_report(spark: SparkSession, store: Store, day: date | str, now: datetime | str, p: ReportParams,
+                     run_type: str = "scheduled") -> None:
+    """Write the report of one date under the name of its run; a date without scored articles leaves none."""
     scored = tables.with_flag_defaults(read_table(spark, store.scores, STORED_SCORES))
     rows = settle(report.daily_report(scored, read_table(spark, store.articles, ARTICLES), day, p))
     if not rows.isEmpty():
-        sinks.write_report(report.report_lines(rows, now, p), store.reports)
+        sinks.write_report(report.report_lines(rows, now, p), store.reports, run_type, instant(now))
 
 
 def run_day(spark: SparkSession, store: Store, landed: str, day: date | str, now: datetime | str,

@@ -157,6 +157,19 @@ best AS (
 near AS (SELECT {key}, sig, earliest FROM sigs JOIN best USING (sig))"""
 
 
+def similar_views(source: str, key: str, text: str) -> str:
+    """CTE ``near_sets`` (key, earliest): all pairs of word sets compared."""
+    return f"""
+word_sets AS (
+  SELECT {key}, list_sort(list_distinct(list_filter(string_split_regex(lower({text}), '[ \\t\\r\\n]+'), lambda x: x <> ''))) AS w FROM {source}),
+folded AS (SELECT w, min({key}) AS first FROM word_sets GROUP BY w),
+pairs AS (
+  SELECT a.w AS w, min(b.first) AS earliest FROM folded a JOIN folded b
+    ON 5 * len(b.w) >= 4 * len(a.w) AND 5 * len(a.w) >= 4 * len(b.w)
+      AND 9 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w)) GROUP BY a.w),
+near_sets AS (SELECT {key}, earliest FROM word_sets JOIN pairs USING (w))"""
+
+
 def title_url_views() -> str:
     return """
 pg AS (
@@ -193,13 +206,17 @@ sims AS (SELECT vec_id, sum(x * y) / (sqrt(sum(x * x)) * sqrt(sum(y * y))) AS si
 latest AS (SELECT max(ts) AS t FROM events),
 s AS (SELECT event_id, 0.4::DOUBLE * (value / 500) + 0.4::DOUBLE * similarity
     + 0.2::DOUBLE * exp(-((epoch_us(t) - epoch_us(ts)) / 3600000000.0::DOUBLE) / 24) AS score
-  FROM events JOIN sims ON event_id = vec_id, latest)
+  FROM events JOIN sims ON event_id % (SELECT count(*) FROM embeddings) = vec_id, latest)
 SELECT event_id, round(score, 6) AS score FROM s WHERE score > 0.2""",
     "daily_report": view_of(f"SELECT {REPORT} FROM report WHERE logical_date = '2024-01-10'"),
     "daily_report_all_days": view_of(f"SELECT {REPORT} FROM report"),
     "daily_report_top_k": view_of(f"SELECT {REPORT} FROM report WHERE rank <= 100"),
     "report_order": view_of("SELECT row_number() OVER (ORDER BY final_score_v2 DESC, id) AS rank, id, final_score_v2 FROM scored"),
     "report_json": view_of("""
+SELECT '2024-02-01T00:00:00.000000+00:00' AS "reportGeneratedAt", logical_date AS "reportForDate",
+  count(*) OVER (PARTITION BY logical_date) AS "articleCount", rank, score, r.source, title, url, "publishedAt", "eventId", md5(text) AS body_md5
+FROM report r LEFT JOIN documents ON CAST(id AS BIGINT) % (SELECT count(*) FROM documents) = doc_id"""),
+    "report_json_top_k": view_of("""
 SELECT '2024-02-01T00:00:00.000000+00:00' AS "reportGeneratedAt", logical_date AS "reportForDate",
   count(*) OVER (PARTITION BY logical_date) AS "articleCount", rank, score, source, title, url, "publishedAt", "eventId"
 FROM report WHERE rank <= 100"""),
@@ -241,15 +258,13 @@ SELECT event_uri, id, total_articles_in_event FROM (
   SELECT *, row_number() OVER (PARTITION BY event_uri ORDER BY published_at DESC, id) AS rn FROM articles WHERE total_articles_in_event >= 3)
 WHERE rn <= 3"""),
     "source_whitelist": """
-SELECT doc_id, source FROM documents WHERE source IN ('src1', 'src3', 'src5', 'src7')
-  AND source IN (SELECT source FROM documents WHERE lang = 'en')""",
+SELECT doc_id, source FROM documents WHERE source IN ('src1', 'src3', 'src5', 'src7')""",
     "top_trending_by_type": view_of("""
 , t AS (SELECT uri, ['person', 'org', 'loc', 'wiki'][CAST(regexp_extract(uri, '([0-9]+)', 1) AS INTEGER) % 4 + 1] AS type, score FROM trending)
 SELECT uri, type, round(score, 6) AS score FROM t WHERE type <> 'wiki' ORDER BY score DESC, uri LIMIT 20"""),
     "insert_ignore": view_of("SELECT id, title FROM articles WHERE published_at >= TIMESTAMP '2024-01-15'"),
     "upsert_latest": view_of("""
-, parts AS (SELECT 'c/' || k AS uri, value AS score, ts AS updated_at FROM ev
-  WHERE ts < TIMESTAMP '2024-01-15' OR (event_type = 'click' AND value > 100))
+, parts AS (SELECT 'c/' || k AS uri, value AS score, ts AS updated_at FROM ev)
 SELECT uri, round(score, 6) AS score, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM (
   SELECT *, row_number() OVER (PARTITION BY uri ORDER BY updated_at DESC, score DESC) AS rn FROM parts) WHERE rn = 1"""),
     "unscored_queue": view_of(
@@ -325,8 +340,14 @@ SELECT count(*) AS n_candidates, count(*) FILTER (lang = 'en') AS n_cards, count
     "near_dup_simhash": "WITH " + signature_views("documents", "doc_id", "text")
                         + " SELECT doc_id, earliest, earliest < doc_id AS is_repeat FROM near",
     "url_dedup": "WITH " + title_url_views() + " SELECT page_id, url FROM pages WHERE page_id IN (SELECT page_id FROM firsts)",
-    "url_or_title_dedup": "WITH " + title_url_views() + "," + signature_views("pg", "page_id", "title")
-                          + " SELECT page_id FROM near WHERE earliest = page_id AND page_id IN (SELECT page_id FROM firsts)",
+    "similar_documents": "WITH " + similar_views("documents", "doc_id", "text")
+                         + " SELECT doc_id, earliest, earliest < doc_id AS is_repeat FROM near_sets",
+    "similar_title_url": "WITH " + title_url_views() + """,
+both_texts AS (SELECT page_id, title || ' ' || regexp_replace(url, '[/:?#=&._-]+', ' ', 'g') AS text FROM pg),"""
+                         + similar_views("both_texts", "page_id", "text")
+                         + " SELECT page_id, earliest, earliest < page_id AS is_repeat FROM near_sets",
+    "url_or_title_dedup": "WITH " + title_url_views() + "," + similar_views("pg", "page_id", "title")
+                          + " SELECT page_id FROM near_sets WHERE earliest = page_id AND page_id IN (SELECT page_id FROM firsts)",
     "richest_per_group": """
 SELECT event, doc_id, n FROM (SELECT source || '/' || lang AS event, doc_id, length(text) AS n,
     row_number() OVER (PARTITION BY source, lang ORDER BY length(text) DESC, doc_id) AS rn FROM documents) WHERE rn = 1""",
@@ -338,8 +359,10 @@ SELECT event, doc_id, n FROM (SELECT source || '/' || lang AS event, doc_id, len
 ranked AS (SELECT row_number() OVER (ORDER BY has_bang DESC, score DESC, id) AS pick_no, event_uri, id, has_bang FROM one)
 SELECT * FROM ranked WHERE pick_no <= 10"""),
     "truncate_and_cap": view_of("""
-SELECT id, substr(text, 1, 800) AS body, final_score_v2 FROM scored JOIN documents ON scored.id = CAST(doc_id AS VARCHAR), latest
-WHERE published_at >= t - INTERVAL 744 HOUR ORDER BY final_score_v2 DESC, id LIMIT 60"""),
+SELECT id, substr(text, 1, 800) AS body, final_score_v2
+FROM recent LEFT JOIN documents ON CAST(id AS BIGINT) % (SELECT count(*) FROM documents) = doc_id
+ORDER BY final_score_v2 DESC, id LIMIT 60"""),
+    "candidate_window": view_of("SELECT id, final_score_v2 FROM recent"),
     "score_threshold": view_of("SELECT id, final_score_v2 FROM scored WHERE final_score_v2 > 0.6::DOUBLE"),
     "picks_by_index": """
 WITH d AS (SELECT source, doc_id, doc_id // 20 AS position FROM documents)
@@ -363,9 +386,10 @@ SELECT doc_id, substr(text, 1, 8) AS title, substr(text, 1, 12) AS subtitle, sub
 SELECT doc_id, array_to_string(list_slice(list_filter(list_transform(string_split(replace(replace(text, '.', '；'), '；', '。'), '。'),
   lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(12288))), lambda x: x <> ''), 1, 3), '|') AS points FROM documents""",
     "hashtag_fix": """
-WITH t AS (SELECT doc_id, CASE WHEN doc_id % 9 <> 8 THEN list_slice([lang, '#' || source, source, '#a', 'b', '#c', 'd'], 1, doc_id % 8) END AS tags FROM documents),
-m AS (SELECT doc_id, tags, list_transform(tags, lambda x: CASE WHEN starts_with(x, '#') THEN x ELSE '#' || x END) AS marked FROM t)
-SELECT doc_id, false AS is_valid, array_to_string(CASE WHEN tags IS NULL THEN ['#新闻', '#时政']
+WITH t AS (SELECT doc_id, CASE WHEN doc_id % 9 <> 8 THEN list_slice([lang, '#' || source, source, '#a', 'b', '#c', 'd'], 1, doc_id % 8) END AS part, doc_id % 10 = 3 AS ok,
+  CASE WHEN doc_id % 10 = 3 THEN ['#' || lang, '#' || source, '#x'] ELSE part END AS tags FROM documents),
+m AS (SELECT doc_id, ok, tags, list_transform(tags, lambda x: CASE WHEN starts_with(x, '#') THEN x ELSE '#' || x END) AS marked FROM t)
+SELECT doc_id, ok AS is_valid, array_to_string(CASE WHEN tags IS NULL THEN ['#新闻', '#时政']
   WHEN len(marked) < 2 THEN list_concat(marked, ['#新闻', '#时政']) ELSE list_slice(marked, 1, 5) END, ' ') AS tags FROM m""",
     "prompt_text": """
 SELECT 'doc' || doc_id AS name, md5('From doc' || doc_id || ':' || chr(10) || '---' || chr(10) || text || chr(10) || '---' || chr(10)) AS prompt_md5,
@@ -404,14 +428,37 @@ SELECT 'ev-' || user_id AS uri, CASE WHEN user_id % 4 = 0 THEN 'deu' ELSE 'eng'
   strftime(date_trunc('second', last_ts), '%Y-%m-%d %H:%M:%S.%f') AS event_date FROM sizes WHERE user_id % 20 IN (1, 2)"""),
     "read_landed_trending": view_of("""
 SELECT 'c/' || k AS uri, round(max(value), 6) AS score, '2024-02-01 00:00:00.000000' AS updated_at FROM ev GROUP BY k"""),
-    "report_sink": view_of('SELECT logical_date, rank, "eventId", url FROM report'),
+    "report_sink": view_of("""
+SELECT 'summary_' || logical_date || run || '.json' AS name, rank, "eventId", url
+FROM report, (VALUES ('_manual_10-00-00'), ('_scheduled_22-00-00')) runs(run)"""),
+    "report_found": view_of("""
+, n AS (SELECT count(*) AS n FROM report WHERE logical_date = '2024-01-10')
+SELECT rank + 1 AS line_no, 'summary_2024-01-10_scheduled_22-00-00.json' AS name, "eventId", rank FROM report WHERE logical_date = '2024-01-10' UNION ALL
+SELECT 1, 'summary_2024-01-10_scheduled_22-00-00.json', NULL, NULL UNION ALL
+SELECT n + 2, 'summary_2024-01-10_scheduled_22-00-00.json', NULL, NULL FROM n"""),
+    "landed_rejects": view_of("""
+SELECT k || ' line' AS kind, '{"uri": "broken ' || doc_id AS value FROM documents, (VALUES ('article'), ('event'), ('trending')) kinds(k) UNION ALL
+SELECT 'event', uri FROM event_objects UNION ALL
+SELECT 'trending', uri FROM (SELECT uri FROM trending ORDER BY trending.score DESC, uri LIMIT 200)"""),
+    "first_of_batch": view_of("SELECT id, title FROM articles"),
+    "schema_check": """
+SELECT c AS column_name, (SELECT count(*) FROM events) AS n
+FROM (VALUES ('body'), ('published_at'), ('collected_at'), ('source_importance'), ('total_articles_in_event'), ('concepts'),
+  ('published_at_imputed'), ('logical_date')) v(c)""",
+    "now_prev_date": """
+WITH d AS (SELECT max(CAST(ts + INTERVAL 8 HOUR AS DATE)) - INTERVAL 1 DAY AS d FROM events)
+SELECT strftime(d, '%Y-%m-%d') AS prev_date, count(*) AS n FROM events, d WHERE CAST(ts + INTERVAL 8 HOUR AS DATE) = d GROUP BY 1""",
     "briefing_sink": """
-SELECT strftime(TIMESTAMP '2024-01-01 22:00:00' + to_hours(length(text) % 24) + INTERVAL 8 HOUR, '%Y-%m-%d_%H-%M-%S') || '_daily_briefing.md' AS file_name,
-  sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS n_lines FROM documents GROUP BY 1""",
+SELECT strftime(TIMESTAMP '2024-01-02 06:00:00' + to_minutes(CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER)), '%Y-%m-%d_%H-%M-%S')
+  || '_daily_briefing.md' AS file_name, md5(text) AS text_md5
+FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) AS rn FROM documents) WHERE rn = 1""",
     "daily_append": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, '## ' || event_type || ' ' || event_id AS text FROM events",
     "stage_sink": view_of("SELECT id, event_uri, final_score_v2 FROM scored WHERE logical_date = DATE '2024-01-10'"),
     "digest_sink": """
-SELECT lang AS digest, sum(length(text) - length(replace(text, chr(10), '')) + 6)::BIGINT AS n_lines, count(*) AS n_reports FROM documents GROUP BY lang""",
+WITH d AS (SELECT lang AS digest, string_agg('# Report: ' || doc_id || chr(10) || chr(10) || text || chr(10) || chr(10) || '---' || chr(10) || chr(10), ''
+    ORDER BY doc_id) AS t FROM documents GROUP BY lang),
+l AS (SELECT digest, string_split(left(t, length(t) - 1), chr(10)) AS lines FROM d)
+SELECT digest, unnest(range(1, len(lines) + 1)) AS line_no, md5(unnest(lines)) AS line_md5 FROM l""",
     "table_versions": """
 SELECT count(*) FILTER (CAST(ts AS DATE) <> DATE '2024-01-10') AS n_rows, 1 AS version FROM events UNION ALL SELECT 0, 2""",
     "replaced_dates": view_of("""

@@ -14,6 +14,7 @@ from tidewire.functions import text as X
 from tidewire.functions import timecols as TC
 from tidewire.functions.concepts import concept_uris, mentions_any, uri_set
 from tidewire.operators import cards, dedup, monitor, ranking, report, scoring, select, tables
+from tidewire.operators.lookup import lookup
 from tidewire.params import ReportParams, SelectionParams
 from tidewire.plans import daily
 from tidewire.plans import driver_views as V
@@ -126,18 +127,21 @@ def unscorable_rows(spark, sf):
 
 @query
 def legacy_score(spark, sf):
-    """The earlier formula: hot from activity, similarity from the vectors by position."""
+    """The earlier formula: hot from activity, similarity from the vectors in turn."""
     topic = topic_vector(spark, sf)
     sims = V.table(spark, sf, "embeddings").select("vec_id", S.cosine(F.col("embedding"), topic).alias("similarity"))
-    rows = V.table(spark, sf, "events").join(sims, F.col("event_id") == F.col("vec_id"))
+    events = V.table(spark, sf, "events")
+    n = sims.count()
+    rows = lookup(events.withColumn("vec_id", F.col("event_id") % n), sims, "vec_id", spread_by="event_id", how="inner")
     score = S.legacy_score(F.col("value") / 500, F.col("similarity"), F.col("ts"), TC.instant(V.as_of(spark, sf)))
     return cards.above(rows.withColumn("score", score), 0.2).select("event_id", r6("score", "score"))
 
 
 def topic_vector(spark, sf) -> Column:
-    """Mean of the vectors with label 0, as a literal of 64 numbers."""
+    """Mean of the vectors with label 0, as a literal of as many numbers as a vector has."""
     vectors = V.table(spark, sf, "embeddings").filter("label = 0")
-    means = vectors.agg(*[F.avg(F.get("embedding", F.lit(i)).cast("double")).alias(f"d{i}") for i in range(64)]).first()
+    size = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    means = vectors.agg(*[F.avg(F.get("embedding", F.lit(i)).cast("double")).alias(f"d{i}") for i in range(size)]).first()
     return F.array(*[F.lit(m) for m in means])
 
 
@@ -175,18 +179,41 @@ def report_order(spark, sf):
     return ranking.numbered(V.scores(spark, sf).select("id", "final_score_v2"), order)
 
 
+def bodied_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles with the text of a document in turn as their body."""
+    docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("no"), F.col("text").alias("body"))
+    n = docs.count()
+    return V.articles(spark, sf).withColumn("no", F.col("id").cast("long") % n).join(docs, "no", "left").drop("no")
+
+
+ARTICLE_JSON = "rank long, score double, source string, title string, url string, publishedAt string, eventId string, body string"
+HEAD_JSON = ("reportMetadata struct<reportGeneratedAt: string, reportForDate: string, articleCount: long, dataSource: string>, "
+             "articles array<string>")
+
+
 @query
 def report_json(spark, sf):
-    """Report documents of the top 100 per date, read back from their JSON text."""
+    """Whole report documents of all dates, bodies included, read back from their JSON lines."""
+    rows = settle(report.daily_report(V.scores(spark, sf), bodied_articles(spark, sf)))
+    lines = settle(report.report_lines(rows, GENERATED_AT))
+    heads = lines.filter("line_no = 0").select(
+        "logical_date", F.from_json(F.concat("line", F.lit("]}")), HEAD_JSON)["reportMetadata"].alias("h")).select("logical_date", "h.*")
+    items = lines.filter(F.contains("line", F.lit('"eventId"'))).select(
+        "logical_date", F.from_json(F.regexp_replace("line", "^,", ""), ARTICLE_JSON).alias("a")).select("logical_date", "a.*")
+    return items.join(heads, "logical_date").select(
+        "reportGeneratedAt", "reportForDate", "articleCount", "rank", "score", "source", "title", "url", "publishedAt", "eventId",
+        F.md5("body").alias("body_md5"))
+
+
+@query
+def report_json_top_k(spark, sf):
+    """Report documents of the top 100 per date as single JSON texts, read back."""
     rows = report.daily_report(V.scores(spark, sf), V.articles(spark, sf), None, ReportParams(limit=100))
     docs = report.report_documents(rows, GENERATED_AT, 100)
-    article = "rank int, score double, source string, title string, url string, publishedAt string, eventId string, body string"
-    schema = ("reportMetadata struct<reportGeneratedAt: string, reportForDate: string, articleCount: int, dataSource: string>, "
-              f"articles array<struct<{article.replace(' ', ': ').replace(',:', ',')}>>")
-    parsed = docs.select(F.from_json("document", schema).alias("d")).select(
+    parsed = docs.select(F.from_json("document", HEAD_JSON.replace("array<string>", f"array<struct<{ARTICLE_JSON}>>")).alias("d")).select(
         F.col("d.reportMetadata.*"), F.explode("d.articles").alias("a"))
-    return parsed.select("reportGeneratedAt", "reportForDate", F.col("articleCount").cast("long").alias("articleCount"),
-                         F.col("a.rank").cast("long").alias("rank"), "a.score", "a.source", "a.title", "a.url", "a.publishedAt", "a.eventId")
+    return parsed.select("reportGeneratedAt", "reportForDate", "articleCount", "a.rank", "a.score", "a.source", "a.title", "a.url",
+                         "a.publishedAt", "a.eventId")
 
 
 @query
@@ -336,7 +363,7 @@ def latest_articles_per_event(spark, sf):
 def source_whitelist(spark, sf):
     """Documents of trusted sources; names resolve through a source dimension."""
     docs = V.table(spark, sf, "documents")
-    dim = docs.filter("lang = 'en'").select(F.concat(F.lit("name of "), "source").alias("name"), F.col("source").alias("uri")).distinct()
+    dim = docs.select(F.concat(F.lit("name of "), "source").alias("name"), F.col("source").alias("uri")).distinct()
     names = dim.filter(F.col("uri").isin("src1", "src3", "src5", "src7")).select("name").unionByName(
         docs.select(F.concat(F.lit("unknown "), "lang").alias("name")).distinct())
     trusted = select.resolve_sources(names, dim)
@@ -370,7 +397,7 @@ def upsert_latest(spark, sf):
 
     first = part("ts < timestamp_ntz'2024-01-15 00:00:00'")
     current = tables.upsert_latest(first.limit(0), first)
-    return tables.upsert_latest(current, part("ts >= timestamp_ntz'2024-01-15 00:00:00' AND event_type = 'click' AND value > 100")).select(
+    return tables.upsert_latest(current, part("ts >= timestamp_ntz'2024-01-15 00:00:00'")).select(
         "uri", r6("score", "score"), stamp("updated_at"))
 
 
@@ -556,6 +583,20 @@ def near_dup_simhash(spark, sf):
     return dedup.near_repeats(rows, "doc_id", F.col("text")).select("doc_id", "earliest", "is_repeat")
 
 
+@query
+def similar_documents(spark, sf):
+    """Documents with an earlier one that shares 80 % of the words."""
+    return dedup.similar_repeats(V.documents(spark, sf), "doc_id", F.col("text"))
+
+
+@query
+def similar_title_url(spark, sf):
+    """Pages with an earlier one that shares 80 % of the words of title and url."""
+    rows = V.table(spark, sf, "pages").select("page_id", F.concat_ws(
+        " ", F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.regexp_replace("url", "[/:?#=&._-]+", " ")).alias("text"))
+    return dedup.similar_repeats(rows, "page_id", F.col("text"))
+
+
 @query
 def url_dedup(spark, sf):
     return dedup.same_url_dropped(V.table(spark, sf, "pages"), "page_id").select("page_id", "url")
@@ -596,10 +637,16 @@ def card_picks(spark, sf):
 
 @query
 def truncate_and_cap(spark, sf):
-    """Candidates of the last day by score, at most 60, with the clipped text of the same number."""
+    """Candidates of the last day by score, at most 60, with clipped bodies."""
     rows = V.scores(spark, sf).select("id", "published_at", "final_score_v2")
-    bodies = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("body"))
-    return cards.candidates(rows.join(bodies, "id"), V.as_of(spark, sf), 800, 60, hours=24 * 31).select("id", "body", "final_score_v2")
+    bodies = bodied_articles(spark, sf).select("id", "body")
+    return cards.candidates(rows.join(bodies, "id"), V.as_of(spark, sf), 800, 60).select("id", "body", "final_score_v2")
+
+
+@query
+def candidate_window(spark, sf):
+    """All rows of the last day."""
+    return cards.recent(V.scores(spark, sf), V.as_of(spark, sf), 24).select("id", "final_score_v2")
 
 
 @query
@@ -626,8 +673,10 @@ def card_parse(spark, sf):
 
 @query
 def card_cleanup(spark, sf):
-    """Clipped fields, repaired tags, one card per title and subtitle."""
-    rows = cards.clean_cards(cards.parse_cards(V.briefings(spark, sf)))
+    """Clipped fields, repaired tags, one card per title and subtitle. Every card occurs again, later and with other content."""
+    parsed = cards.parse_cards(V.briefings(spark, sf))
+    again = parsed.withColumns({"pos": F.col("pos") + 100, "content": F.lit("again")})
+    rows = cards.clean_cards(parsed.unionByName(again))
     return rows.select("name", F.col("card_no").cast("long").alias("card_no"), "title", "subtitle",
                        F.length("content").cast("long").alias("content_length"), F.array_join("tags", " ").alias("tags"))
 
@@ -660,8 +709,10 @@ def summary_points(spark, sf):
 @query
 def hashtag_fix(spark, sf):
     rows = V.table(spark, sf, "documents").select("doc_id", "lang", "source")
+    valid = F.array(F.concat(F.lit("#"), "lang"), F.concat(F.lit("#"), "source"), F.lit("#x"))
     some = F.array("lang", F.concat(F.lit("#"), "source"), "source", F.lit("#a"), F.lit("b"), F.lit("#c"), F.lit("d"))
     tags = F.when(F.col("doc_id") % 9 != 8, F.slice(some, 1, (F.col("doc_id") % 8).cast("int")))
+    tags = F.when(F.col("doc_id") % 10 == 3, valid).otherwise(tags)
     return rows.select("doc_id", X.tags_valid(tags).alias("is_valid"), F.array_join(X.tags_fixed(tags), " ").alias("tags"))
 
 
@@ -742,6 +793,54 @@ def ingest_landed_files(spark, sf):
     return rows.select("id", "title", "source_name", stamp("published_at"), day_text("logical_date"), "published_at_imputed")
 
 
+@query
+def landed_rejects(spark, sf):
+    """Good and broken lines of each kind: what is stored, and the broken lines among the rejects."""
+    landed, store = scratch(spark, "landed"), daily.Store(scratch(spark, "store"))
+    broken = V.table(spark, sf, "documents").select(F.concat(F.lit('{"uri": "broken '), "doc_id").alias("value"))
+    article_lines(spark, sf).unionByName(broken).write.text(f"{landed}/articles")
+    event = F.to_json(F.struct("uri", "lang", F.col("total_article_count").alias("totalArticleCount"),
+                               F.date_format("event_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("eventDate")))
+    V.event_objects(spark, sf).select(event.alias("value")).unionByName(broken).write.text(f"{landed}/events")
+    item = F.to_json(F.struct("uri", F.lit("org").alias("type"), F.struct(F.struct("score").alias("news")).alias("trendingScore")))
+    V.trending(spark, sf).select(item.alias("value")).unionByName(broken).write.text(f"{landed}/trending")
+    daily.refresh_trending(spark, store, f"{landed}/trending", GENERATED_AT, SelectionParams())
+    daily.ingest(spark, store, f"{landed}/articles", f"{landed}/events", V.as_of(spark, sf), SelectionParams(articles_per_event=2))
+    rejects = daily.read_table(spark, store.rejects, daily.REJECTS).select("kind", F.col("line").alias("value"))
+    concepts, _ = daily.read_trending(spark, store)
+    events = landing.read_events(spark, f"{landed}/events").select(F.lit("event").alias("kind"), F.col("uri").alias("value"))
+    return rejects.unionByName(events).unionByName(concepts.select(F.lit("trending").alias("kind"), F.col("uri").alias("value")))
+
+
+@query
+def first_of_batch(spark, sf):
+    """Every article in two files of one batch, newer and under another title in the second: the first file wins."""
+    folder, store = scratch(spark, "landed"), daily.Store(scratch(spark, "store"))
+    rows = V.plain_articles(spark, sf)
+    for name, hours, suffix in (("a", 0, ""), ("b", 2, " again")):
+        at = F.date_format(F.col("published_at").cast("timestamp") + F.make_dt_interval(hours=F.lit(hours)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        rows.select(F.to_json(F.struct(F.col("id").alias("uri"), F.concat("title", F.lit(suffix)).alias("title"), at.alias(
+            "dateTimePub"))).alias("value")).coalesce(1).write.text(f"{folder}/{name}")
+    daily.store_articles(spark, store, landing.flatten_articles(landing.read_articles(spark, f"{folder}/*"), GENERATED_AT))
+    return daily.read_table(spark, store.articles, schemas.ARTICLES).select("id", "title")
+
+
+@query
+def schema_check(spark, sf):
+    """Columns of the landed articles that differ from the stored table, one line each."""
+    lines = schemas.schema_differences(V.plain_articles(spark, sf), schemas.ARTICLES)
+    counts = V.plain_articles(spark, sf).agg(F.count("*").alias("n"))
+    return counts.select(F.explode(F.array(*[F.lit(x.split(":")[0]) for x in lines])).alias("column_name"), "n")
+
+
+@query
+def now_prev_date(spark, sf):
+    """The previous date as seen from the latest event, and how many events fall on it."""
+    now = TC.now_prev_logical_date_str(V.as_of(spark, sf))
+    rows = V.table(spark, sf, "events").filter(F.date_format(TC.utc_to_bj(F.col("ts")), "yyyy-MM-dd") == now)
+    return rows.groupBy(now.alias("prev_date")).agg(F.count("*").alias("n"))
+
+
 @query
 def incremental_ingest(spark, sf):
     """The file stream over two arrivals, the second with all articles again."""
@@ -800,23 +899,48 @@ def read_landed_trending(spark, sf):
 
 @query
 def report_sink(spark, sf):
-    """Whole reports written as line files and read back."""
+    """Whole reports of two runs, one of them twice, found by listing and read back: every article under its file's name."""
+    folder = written_reports(spark, sf)
+    found = files.list_documents(spark, folder).filter(files.is_report(F.col("name")))
+    lines = files.read_documents(spark, folder).filter(F.contains("value", F.lit('"eventId"')))
+    article = F.from_json(F.regexp_replace("value", "^,", ""), ARTICLE_JSON)
+    return lines.join(found, "path").select("name", article.alias("a")).select("name", "a.rank", "a.eventId", "a.url")
+
+
+def written_reports(spark: SparkSession, sf: str) -> str:
     folder = scratch(spark, "reports")
-    rows = settle(report.daily_report(V.scores(spark, sf), V.articles(spark, sf)))
-    sinks.write_report(report.report_lines(rows, GENERATED_AT), folder)
-    lines = spark.read.text(folder).filter(F.contains("value", F.lit('"eventId"')))
-    article = F.from_json(F.regexp_replace("value", "^,", ""), "rank int, eventId string, url string")
-    return lines.select(day_text("logical_date"), article.alias("a")).select(
-        "logical_date", F.col("a.rank").cast("long").alias("rank"), "a.eventId", "a.url")
+    lines = settle(report.report_lines(settle(report.daily_report(V.scores(spark, sf), V.articles(spark, sf))), GENERATED_AT))
+    for run_type, at in (("manual", "2024-02-01 10:00:00"), ("manual", "2024-02-01 10:00:00"), ("scheduled", "2024-02-01 22:00:00")):
+        sinks.write_report(lines, folder, run_type, F.lit(at).cast("timestamp"))
+    return folder
+
+
+@query
+def report_found(spark, sf):
+    """The newest report of a date among written ones, whole: its lines in order."""
+    found = files.list_documents(spark, written_reports(spark, sf))
+    path = files.report_path(found, "by_ds", DAY)
+    lines = ranking.numbered(files.read_documents(spark, path), [F.col("place")], name="line_no")
+    article = F.from_json(F.regexp_replace("value", "^,", ""), ARTICLE_JSON)
+    return lines.select("line_no", F.lit(path.rsplit("=", 1)[1]).alias("name"), article["eventId"].alias("eventId"), F.when(
+        F.contains("value", F.lit('"eventId"')), article["rank"]).alias("rank"))
 
 
 @query
 def briefing_sink(spark, sf):
-    """Briefings under the file name of their run; lines per file."""
+    """One briefing per source under the file name of its run, found by listing and read back whole."""
     folder = scratch(spark, "briefings")
-    run_at = F.lit("2024-01-01 22:00:00").cast("timestamp") + F.make_dt_interval(hours=F.length("text") % 24)
-    sinks.write_briefings(V.table(spark, sf, "documents").select("text"), folder, run_at)
-    return spark.read.text(folder).groupBy("file_name").agg(F.count("*").alias("n_lines"))
+    number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
+    first = dedup.richest_per_group(V.table(spark, sf, "documents"), "source", "doc_id", "text")
+    run_at = F.lit("2024-01-01 22:00:00").cast("timestamp") + F.make_dt_interval(mins=number)
+    rows = settle(first.select("text", run_at.alias("run_at")))
+    for _ in range(2):
+        sinks.write_briefings(rows, folder, F.col("run_at"))
+    found = files.briefing_files(files.list_documents(spark, folder), "by_date", "2024-01-02")
+    texts = files.read_texts(spark, [f"{r['path']}/*" for r in found.select("path").collect()])
+    whole = texts.select(F.regexp_extract("path", "=([^/]+)/[^/]+$", 1).alias("file_name"), F.left(
+        "text", F.length("text") - 1).alias("text"))
+    return whole.select("file_name", F.md5("text").alias("text_md5"))
 
 
 @query
@@ -841,12 +965,15 @@ def stage_sink(spark, sf):
 
 @query
 def digest_sink(spark, sf):
-    """Digests written as line files; lines per digest."""
+    """Digests written as line files, one of them twice: every line in its place."""
     folder = scratch(spark, "digests")
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang", "doc_id")
-    sinks.write_digest(files.build_digest(docs, [F.col("doc_id")], F.col("lang")), folder)
-    return spark.read.text(folder).groupBy("digest").agg(
-        F.count("*").alias("n_lines"), F.count_if(F.startswith("value", F.lit("# Report: "))).alias("n_reports"))
+    blocks = settle(files.build_digest(docs, [F.col("doc_id")], F.col("lang")))
+    sinks.write_digest(blocks, folder)
+    sinks.write_digest(blocks.filter("digest = 'de'"), folder)
+    lines = files.read_documents(spark, folder).withColumn("digest", F.regexp_extract("path", "digest=([^/]+)$", 1))
+    placed = ranking.numbered(lines.select("digest", "place", "value"), [F.col("place")], within="digest", name="line_no")
+    return placed.select("digest", "line_no", F.md5("value").alias("line_md5"))
 
 
 @query

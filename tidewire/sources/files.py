@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.timecols import since
 from tidewire.operators.ranking import numbered
+from tidewire.sources.sinks import NAME
 
 REPORT_STRATEGIES = ("by_ds", "latest_any", "by_ds_then_latest")
 BRIEFING_STRATEGIES = ("latest_any", "by_date", "latest_daily_single")
@@ -22,6 +23,24 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
                         F.col("modificationTime").alias("modified_at"))
 
 
+def list_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """path, name and modification time of the documents that the sinks write: folders of part files."""
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    path = F.regexp_extract("path", f"^(.*/{NAME}=[^/]+)/[^/]+$", 1)
+    return parts.select(path.alias("path"), F.col("modificationTime").alias("modified_at")).filter("path <> ''").groupBy(
+        "path").agg(F.max("modified_at").alias("modified_at")).select(
+            "path", F.element_at(F.split("path", f"/{NAME}="), -1).alias("name"), "modified_at")
+
+
+def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The lines of documents: ``path, place, value``. In the order of ``place`` they are the text of one."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths if isinstance(paths, str) else list(paths))
+    file = F.col("_metadata.file_path")
+    place = F.struct(F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("line"))
+    return lines.select(F.regexp_extract(file, "^(.*)/[^/]+$", 1).alias("path"), place.alias("place"), "value")
+
+
 def read_texts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Whole texts with path and name."""
     rows = spark.read.text(list(paths), wholetext=True)

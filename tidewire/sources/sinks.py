@@ -5,31 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.timecols import briefing_file_name
+from tidewire.functions.timecols import briefing_file_name, report_file_name
 
+# Documents of any size are folders ``file_name=<name>`` of part files, which in name order are the text.
+NAME = "file_name"
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """Report lines as text, one folder per logical date.
 
-    The part files of a folder, in name order, are the JSON document. A report without articles has
-    no lines, so that no folder appears.
+def _write_documents(named: DataFrame, path: str) -> None:
+    """One folder per document. A run that writes the same names again replaces their content."""
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(NAME).text(path)
+
+
+def write_report(lines: DataFrame, path: str, run_type: str, run_at: Column) -> None:
+    """Report lines as documents, each under the file name of its date and run.
+
+    Another run has another name. A report without articles has no lines, so that no folder appears.
     """
-    ordered = lines.repartitionByRange("logical_date", "line_no").sortWithinPartitions("logical_date", "line_no")
-    ordered.select("logical_date", "line").write.mode("append").partitionBy("logical_date").text(path)
+    named = lines.select(report_file_name(F.col("logical_date"), F.lit(run_type), run_at).alias(NAME), "line_no", "line")
+    ordered = named.repartitionByRange(NAME, "line_no").sortWithinPartitions(NAME, "line_no")
+    _write_documents(ordered.select(NAME, "line"), path)
 
 
 def write_digest(blocks: DataFrame, path: str) -> None:
-    """Digest blocks as text, one folder per digest; the part files in name order are the digest."""
+    """Digest blocks as text, one folder per digest; the part files in name order are the digest.
+
+    A digest that is written again is replaced.
+    """
     ordered = blocks.repartitionByRange("digest", "position").sortWithinPartitions("digest", "position")
     # The text sink ends each row with a line break, so the last one of the block is left out.
     text = F.left("block", F.length("block") - 1).alias("block")
-    ordered.select("digest", text).write.mode("append").partitionBy("digest").text(path)
+    ordered.select("digest", text).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "digest").text(path)
 
 
 def write_briefings(briefings: DataFrame, path: str, run_at: Column) -> None:
-    """Briefing texts under the file name of their run, as the partition ``file_name``."""
-    named = briefings.withColumn("file_name", briefing_file_name(run_at))
-    named.select("file_name", "text").write.mode("append").partitionBy("file_name").text(path)
+    """Briefing texts as documents under the file name of their run."""
+    named = briefings.select(briefing_file_name(run_at).alias(NAME), "text")
+    _write_documents(named.hint("rebalance", NAME), path)
 
 
 def write_stage(df: DataFrame, path: str, day: str, stage: str) -> str:
@@ -41,7 +53,7 @@ def write_stage(df: DataFrame, path: str, day: str, stage: str) -> str:
 
 def append_daily(texts: DataFrame, path: str) -> None:
     """Texts appended to the folder of their ``date``."""
-    texts.select("date", "text").write.mode("append").partitionBy("date").text(path)
+    texts.select("date", "text").hint("rebalance", "date").write.mode("append").partitionBy("date").text(path)
 
 
 def append_table(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -55,7 +67,7 @@ def append_table(df: DataFrame, path: str, by: str | None = None) -> None:
 
 def replace_dates(df: DataFrame, path: str, by: str = "logical_date") -> None:
     """Replace only the partitions that occur in ``df``; it must not read from ``path``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def write_version(df: DataFrame, path: str, version: int) -> str:

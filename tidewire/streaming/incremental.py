@@ -10,22 +10,26 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewire.params import ScoringParams
-from tidewire.plans.daily import Store, score_new, store_articles
+from tidewire.plans.daily import Store, note_unreadable, score_new, store_articles
 from tidewire.schemas import LANDED_ARTICLE
-from tidewire.session import use_utc
-from tidewire.sources.landing import flatten_articles
+from tidewire.session import settle, use_utc
+from tidewire.sources import landing
 
 
 def ingest_available(spark: SparkSession, store: Store, landed: str, checkpoint: str, now: datetime | str,
                      cutoff_hour: int = 6) -> StreamingQuery:
     """Append the articles of all new files. A replayed batch adds nothing, because stored ids win."""
     def append(batch: DataFrame, _: int) -> None:
-        store_articles(batch.sparkSession, store, flatten_articles(batch, now, cutoff_hour))
+        landed_rows = settle(landing.parsed_lines(landing.arrived_lines(batch), LANDED_ARTICLE))
+        note_unreadable(batch.sparkSession, store, landed_rows, "article line")
+        good = landed_rows.filter(F.col(landing.CORRUPT).isNull())
+        store_articles(batch.sparkSession, store, landing.flatten_articles(good, now, cutoff_hour))
 
-    stream = use_utc(spark).readStream.schema(LANDED_ARTICLE).json(landed)
+    stream = use_utc(spark).readStream.text(landed).select("value", "_metadata")
     return (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
