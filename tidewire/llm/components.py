@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.lookup import lookup
 from tidewire.session import settle
 
 
@@ -17,6 +18,12 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
 
+def _pointed(edges: DataFrame, which: str) -> DataFrame:
+    """The ends ``v`` of some links, linked to the smallest neighbour of ``u``; the links of a hub are spread."""
+    met = lookup(edges.filter(which), settle(_least(edges)), "u", spread_by="v", how="inner")
+    return settle(met.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
     return row["n"], row["x"]
@@ -27,8 +34,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node links its larger neighbours to the smallest
     neighbour it has, then its smaller neighbours to the smallest of them. Each step is an aggregate with
-    partial sums and a join on the node; the rounds grow with the logarithm of the nodes. Every round is
-    stored in the shared folder. Links with a null end and links of a node to itself count for nothing.
+    partial sums and a lookup of its result, in which the links of a hub are spread; the rounds grow with the
+    logarithm of the nodes. Every step is stored in the shared folder. Links with a null end and links of a node to itself count for nothing.
     """
     edges = settle(edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -39,12 +46,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         last = now
         both = _both_ways(edges)
-        large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
-        least = _least(large)
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            least.select("u", F.col("m").alias("v")))
-        edges = settle(small.filter("u <> v").distinct())
+        large = _pointed(both, "v > u")
+        small = _pointed(large, "v < u")
+        edges = settle(small.union(_least(large).select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
     # Every node but the smallest of its component now points at it.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
