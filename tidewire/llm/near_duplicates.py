@@ -6,14 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import columns_of, slices
 from tidewire.llm.components import connected_components
 from tidewire.llm.hashing import WordHasher, mixed
 from tidewire.operators.lookup import lookup
-from tidewire.operators.ranking import first_per_group
 from tidewire.session import settle
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -22,12 +21,15 @@ BANDS, ROWS = 16, 4
 # Document frequencies of words are counted in so many hash buckets.
 FREQUENCY_BITS = 18
 # Weights are powers of 2 ** (1 / STEPS); a shingle and its level share one 64-bit value.
-STEPS, LEVEL_BITS = 4, 8
+STEPS, LEVEL_BITS = 4, 7
 _ZERO_LEVEL = 32
 _DRAW_BITS = 16
 _LONG = 20_000
-# Pivots per bucket in the rounds after the first; the last number goes on.
-PIVOTS = (8, 128)
+# A pair is compared in full if so much of the agreement of samples that the threshold lets expect is there:
+# at the threshold itself that fails with probability 3e-5.
+MIN_AGREEMENT = 0.75
+# Members of a bucket are considered in blocks of this many.
+BLOCK = 256
 _SHINGLE_FACTORS = mixed(np.arange(1, 4096, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -99,17 +101,16 @@ class WeightedSampler:
     Sample j of shingle k with weight w draws r, c from Gamma(2, 1) and beta from U(0, 1), the same in every
     text; t = floor(ln w / r + beta) and ln a = ln c - r (t - beta + 1). The shingle of the least a, with its
     t, is the sample. Draws come from a table of 2 ** 16 rows, which a hash of shingle and sample picks; as
-    weights have few levels, ln a and t are tabled too.
+    weights have few levels, ln a is tabled too.
     """
 
     def __init__(self, samples: int = BANDS * ROWS):
         random = np.random.default_rng(7)
         size = 1 << _DRAW_BITS
         r, c, beta = random.gamma(2, 1, size), random.gamma(2, 1, size), random.random(size)
-        log_weight = np.log(WEIGHTS)[:, None]
-        self.t = np.floor(log_weight / r + beta).astype(np.int32)
-        self.log_a = (np.log(c) - r * (self.t - beta + 1)).astype(np.float32).ravel()
-        self.t = self.t.ravel()
+        self.r, self.beta, self.log_weight = r, beta, np.log(WEIGHTS)
+        self.log_a = np.concatenate([
+            (np.log(c) - r * (np.floor(w / r + beta) - beta + 1)).astype(np.float32) for w in self.log_weight])
         self.factors = (mixed(np.arange(1, samples + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 
     def __call__(self, vector: np.ndarray) -> np.ndarray:
@@ -122,7 +123,9 @@ class WeightedSampler:
             log_a = self.log_a[draw]
             at = log_a.argmin(axis=1)
             row = np.arange(len(at))
-            value = shingle[at] + self.t[draw[row, at]].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            drawn, weight = draw[row, at] & ((1 << _DRAW_BITS) - 1), self.log_weight[draw[row, at] >> _DRAW_BITS]
+            t = np.floor(weight / self.r[drawn] + self.beta[drawn]).astype(np.int64)
+            value = shingle[at] + t.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             if least is None:
                 least, found = log_a[row, at], value
             else:
@@ -146,17 +149,23 @@ def _signatures(rows: DataFrame, frequencies: np.ndarray, documents: int, size:
         vectors, sampler = ShingleVectors(*shared.value, size), WeightedSampler()
         for batch in slices(batches):
             keys, texts = columns_of(batch, "key", "text")
-            kept, bands = [], []
+            kept, bands, marks, weights = [], [], [], []
             for key, vector in zip(keys, vectors(texts)):
                 if len(vector):
                     kept.append(key)
-                    bands.append(band_keys(sampler(vector)))
+                    samples = sampler(vector)
+                    bands.append(band_keys(samples))
+                    marks.append((mixed(samples) >> np.uint64(56)).astype(np.uint8).view(np.int8))
+                    weights.append(weights_of(vector).sum())
             flat = np.concatenate(bands) if bands else np.zeros(0, dtype=np.int64)
-            offsets = pa.array(np.arange(len(kept) + 1, dtype=np.int32) * BANDS)
+            small = np.concatenate(marks) if marks else np.zeros(0, dtype=np.int8)
+            offsets = np.arange(len(kept) + 1, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kept, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["key", "bands"])
+                [pa.array(kept, pa.string()), pa.ListArray.from_arrays(pa.array(offsets * BANDS), pa.array(flat)),
+                 pa.ListArray.from_arrays(pa.array(offsets * (BANDS * ROWS)), pa.array(small)), pa.array(weights, pa.float64())],
+                names=["key", "bands", "marks", "weight"])
 
-    return rows.select("key", "text").mapInArrow(sign, "key string, bands array<long>")
+    return rows.select("key", "text").mapInArrow(sign, "key string, bands array<long>, marks array<tinyint>, weight double")
 
 
 def _vectors(rows: DataFrame, frequencies: np.ndarray, documents: int, size: int) -> DataFrame:
@@ -188,47 +197,134 @@ def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
     return both.mapInArrow(compare, "u string, v string")
 
 
+def _plausible(other: Column, threshold: float) -> Column:
+    """Whether a row's text and another can reach the threshold by their weights, and probably do by their samples."""
+    agree = F.aggregate(
+        F.zip_with("marks", other["marks"], lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    weights = F.col("weight"), other["weight"]
+    return (F.least(*weights) >= F.greatest(*weights) * (threshold - 1e-9)) & (
+        agree >= int(MIN_AGREEMENT * threshold * BANDS * ROWS))
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of a bucket in blocks of about ``BLOCK``; each block meets each other one and itself."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = lookup(members, settle(sizes), "bucket", "key", "inner").withColumn(
+        "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    met = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    dealt = met.withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")}).drop("with", "blocks")
+    return dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def _met(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[tuple[list[dict], list[dict], np.ndarray]]:
+    """For each two blocks their rows and the agreement of samples of the pairs worth a comparison, else -1.
+
+    These are of different components, plausible, and in no earlier band together.
+    """
+    least = int(MIN_AGREEMENT * threshold * BANDS * ROWS)
+
+    def met(rows: list[dict]) -> tuple[list[dict], list[dict], np.ndarray] | None:
+        i, j, band = rows[0]["i"], rows[0]["j"], rows[0]["band"]
+        left = [r for r in rows if r["block"] == i]
+        right = left if i == j else [r for r in rows if r["block"] == j]
+        if not left or not right:
+            return None
+        (ca, ma, wa, ba), (cb, mb, wb, bb) = (
+            [np.array([r[c] for r in side]) for c in ("component", "marks", "weight", "bands")] for side in (left, right))
+        agree = np.zeros((len(left), len(right)), dtype=np.int16)
+        for k in range(ma.shape[1]):
+            agree += ma[:, k][:, None] == mb[:, k]
+        worth = (agree >= least) & (ca[:, None] != cb) & (
+            np.minimum(wa[:, None], wb) >= np.maximum(wa[:, None], wb) * (threshold - 1e-9))
+        for k in range(band):
+            worth &= ba[:, k][:, None] != bb[:, k]
+        return left, right, np.where(np.triu(worth) if i == j else worth, agree, -1)
+
+    held: list[dict] = []
+    last: tuple | None = None
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            for row in batch.slice(start, 256).to_pylist():
+                group = (row["bucket"], row["i"], row["j"])
+                if held and group != last:
+                    if (found := met(held)) is not None:
+                        yield found
+                    held = []
+                last = group
+                held.append(row)
+    if held and (found := met(held)) is not None:
+        yield found
+
+
+def _block_links(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """Links ``u, v`` that join all components which similar pairs of a bucket join, found block against block.
+
+    Samples alone tell which members have a partner worth a comparison; only these are dealt out with their
+    vectors. Within two blocks the most agreeing pairs are compared first, and components that a link
+    joined need no other, so what comes out grows with the members, not with the pairs.
+    """
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, right, agree in _met(batches, threshold):
+            some = [left[k] for k in np.nonzero((agree >= 0).any(axis=1))[0]] + [
+                right[k] for k in np.nonzero((agree >= 0).any(axis=0))[0]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r["bucket"] for r in some], pa.int64()), pa.array([r["key"] for r in some], pa.string())],
+                names=["bucket", "key"])
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, right, agree in _met(batches, threshold):
+            a, b = ([np.frombuffer(r["vector"], np.uint64) for r in side] for side in (left, right))
+            joined: dict[str, str] = {}
+
+            def root(component: str) -> str:
+                while component in joined:
+                    component = joined[component]
+                return component
+
+            u, v = np.nonzero(agree >= 0)
+            found = []
+            for k in np.argsort(-agree[u, v], kind="stable"):
+                x, y = root(left[u[k]]["component"]), root(right[v[k]]["component"])
+                if x != y and weighted_jaccard(a[u[k]], b[v[k]]) >= threshold:
+                    joined[max(x, y)] = min(x, y)
+                    found.append((left[u[k]]["key"], right[v[k]]["key"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string())], names=["u", "v"])
+
+    wanted = settle(_dealt(members).mapInArrow(partners, "bucket long, key string").distinct())
+    chosen = settle(members.join(wanted, ["bucket", "key"], "left_semi").join(vectors, "key"))
+    return _dealt(chosen).mapInArrow(links, "u string, v string")
+
+
 def _joined(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame | None:
     """``key, component``: what links of similar pairs of a bucket join; None if there are none.
 
-    Members of one component need no more comparison. In each round some members of every bucket that still
-    holds several components, the pivots, are compared with all members of other components there, and leave
-    that bucket. A bucket of similar texts ends with its first pivot; the others end when all
-    pairs across components were compared. The first round, for all texts, takes one pivot per text.
+    Members of one component need no more comparison. First every text meets one pivot, the smallest of
+    its buckets that is plausible; then, in the buckets that still hold several components, all pairs
+    across components are considered, block against block. A pair is compared in full if it is
+    plausible by the weights and the samples of its texts.
     """
-    components, rounds = None, 0
-    members = members.withColumn("component", F.col("key"))
-    while True:
-        states = members.groupBy("bucket").agg(
-            (F.min("component") != F.max("component")).alias("mixed"))
-        members = settle(members.join(states.filter("mixed").select("bucket"), "bucket", "left_semi"))
-        if members.isEmpty():
-            return components
-        pivot = F.struct("key", "component")
-        if rounds == 0:
-            pivots = members.groupBy("bucket").agg(F.array(F.min(pivot)).alias("pivots"))
-        else:
-            n = PIVOTS[min(rounds, len(PIVOTS)) - 1]
-            pivots = first_per_group(members, ["bucket"], [F.col("key")], n).groupBy("bucket").agg(
-                F.collect_list(pivot).alias("pivots"))
-        pivots = settle(pivots)
-        faced = lookup(members, pivots, "bucket", "key", "inner")
-        pairs = faced.select("key", "component", F.explode("pivots").alias("pivot")).filter(
-            "component <> pivot.component").select(F.col("pivot.key").alias("u"), F.col("key").alias("v"))
-        if rounds == 0:
-            pairs = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    components = None
+    members = settle(members.withColumn("component", F.col("key")))
+    for pivots in (True, False):
+        if pivots:
+            side = ["key", "marks", "weight"]
+            firsts = settle(members.groupBy("bucket").agg(F.min_by(F.struct(*side), "key").alias("pivot")))
+            faced = lookup(members, firsts, "bucket", "key", "inner").filter(
+                (F.col("key") != F.col("pivot.key")) & _plausible(F.col("pivot"), threshold))
+            pairs = settle(faced.groupBy(F.col("key").alias("v")).agg(F.min("pivot.key").alias("u")))
+            found = settle(_verified(pairs, vectors, threshold))
         else:
-            pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-            members = members.join(
-                pivots.select("bucket", F.explode("pivots.key").alias("key")), ["bucket", "key"], "left_anti")
-        found = settle(_verified(settle(pairs), vectors, threshold))
+            states = members.groupBy("bucket").agg((F.min("component") != F.max("component")).alias("mixed"))
+            members = settle(members.join(states.filter("mixed").select("bucket"), "bucket", "left_semi"))
+            found = settle(_block_links(members, vectors, threshold))
         if not found.isEmpty():
             stars = components and components.select(F.col("key").alias("u"), F.col("component").alias("v"))
             components = settle(connected_components(found if stars is None else found.union(stars))).withColumnsRenamed(
                 {"node": "key"})
             members = lookup(members, components.withColumnRenamed("component", "now"), "key", "bucket").withColumn(
                 "component", F.coalesce("now", "component")).drop("now")
-        rounds += 1
+    return components
 
 
 def _classed(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float) -> DataFrame:
@@ -237,11 +333,13 @@ def _classed(docs: DataFrame, doc_id: str, text: str, size: int, threshold: floa
     ids = settle(rows.select("doc_id", "key"))
     texts = rows.filter(F.col("text").isNotNull())
     frequencies, documents = word_frequencies(texts), ids.filter("key is not null").count()
-    signatures = _signatures(texts, frequencies, documents, size).groupBy("key").agg(F.first("bands").alias("bands"))
-    buckets = settle(signatures.select("key", F.explode("bands").alias("bucket")))
+    signatures = settle(_signatures(texts, frequencies, documents, size).dropDuplicates(["key"]))
+    buckets = signatures.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = settle(buckets.join(shared, "bucket", "left_semi"))
     wanted = settle(members.select("key").distinct().withColumn("wanted", F.lit(True)))
+    # The key is unique on the right, so no key is hot.
+    members = members.join(signatures.select("key", "bands", "marks", "weight"), "key")
     vectors = settle(_vectors(
         lookup(texts, wanted, "key", "doc_id", "inner").select("key", "text").dropDuplicates(["key"]),
         frequencies, documents, size))
@@ -262,8 +360,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     frequencies count all documents, in 2 ** 18 buckets of words.
 
     Equal texts are one text from here on. Consistent weighted samples in 16 bands of 4 give buckets of
-    candidates; ``_joined`` compares what can still join two classes, exactly, and joins them by connected
-    components. Only texts in shared buckets get a vector. Documents are read three times and not shuffled.
+    candidates; ``_joined`` compares what can still join two classes and is plausible by the samples, exactly,
+    and joins it by connected components. Only texts in shared buckets get a vector. Documents are read three times and not shuffled.
 
     A null text is a class of its own, and so is a text without words, together with its equals. Null ids
     do not count as smallest; a class of null ids has a null ``class_id``, and a null id is kept only if its text
