@@ -1,11 +1,13 @@
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewire.params import ReportParams, ScoringParams, SelectionParams
-from tidewire.plans import daily
+from tidewire.plans import daily, driver_views
+from tidewire.session import released, settle
 from tidewire.streaming.incremental import run_incremental
 
 NOW = datetime(2025, 9, 2, 12, tzinfo=timezone.utc)
@@ -105,3 +107,20 @@ def test_incremental_runs(spark, tmp_path):
     assert scores.count() == 3 and scores.agg(F.count_distinct("scored_as_of")).first()[0] == 2
     run_incremental(spark, *args, NOW + timedelta(hours=7))
     assert spark.read.parquet(store.scores).count() == 3
+
+
+def test_run_leaves_no_intermediate_tables(spark, tmp_path):
+    with released(spark):
+        inside = settle(spark.range(5))
+        path = inside.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+        assert inside.count() == 5 and os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_views_follow_their_input(spark, tmp_path):
+    root = str(tmp_path)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.limit(100).write.parquet(f"{root}/events.parquet")
+    assert driver_views.scores(spark, root).count() == 100
+    events.limit(300).write.mode("overwrite").parquet(f"{root}/events.parquet")
+    assert driver_views.scores(spark, root).count() == 300

@@ -31,6 +31,9 @@ def concept_uris(df: DataFrame, column: str = "concepts") -> Column:
     raise TypeError(f"{column} must be JSON text, array<struct<uri,...>> or array<string>, not {kind}")
 
 
+LONG_LIST = 50
+
+
 def uri_set(uris: Column) -> Column:
     """Distinct uris without NULLs; NULL input gives an empty array."""
     none = F.array().cast("array<string>")
@@ -41,4 +44,7 @@ def mentions_any(uris: Column, listed: Sequence[str]) -> Column:
     """True if the array holds one of the listed uris. ``arrays_overlap`` says NULL on NULL elements."""
     if not listed:
         return F.lit(False)
+    if len(listed) > LONG_LIST:
+        # A long list becomes one hash set, which every uri is looked up in.
+        return F.coalesce(F.exists(uris, lambda u: u.isin(list(listed))), F.lit(False))
     return F.coalesce(F.arrays_overlap(uris, F.array(*[F.lit(u) for u in listed])), F.lit(False))

@@ -17,7 +17,7 @@ from tidewire.operators import report, scoring, select, tables
 from tidewire.operators.lookup import rows_with_keys
 from tidewire.params import ReportParams, ScoringParams, SelectionParams
 from tidewire.schemas import ARTICLE_SCORES, ARTICLES, TRENDING
-from tidewire.session import build_session, settle, use_utc
+from tidewire.session import build_session, released, settle, use_utc
 from tidewire.sources import landing, sinks
 
 # Rows that cannot be stored, and unreadable lines with their text.
@@ -144,13 +144,14 @@ def write_day_report(spark: SparkSession, store: Store, day: date | str, now: da
 def run_day(spark: SparkSession, store: Store, landed: str, day: date | str, now: datetime | str,
             scoring_params: ScoringParams | None = None, selection: SelectionParams | None = None,
             report_params: ReportParams | None = None, trusted: DataFrame | None = None) -> None:
-    """One daily run over ``landed/{trending,events,articles}``."""
+    """One daily run over ``landed/{trending,events,articles}``. Its intermediate tables go with it."""
     use_utc(spark)
     chosen, wanted = selection or SelectionParams(), report_params or ReportParams()
-    refresh_trending(spark, store, f"{landed}/trending", now, chosen)
-    ingest(spark, store, f"{landed}/articles", f"{landed}/events", now, chosen, trusted, wanted.cutoff_hour)
-    score_new(spark, store, now, scoring_params or ScoringParams(), wanted.cutoff_hour)
-    write_day_report(spark, store, day, now, wanted)
+    with released(spark):
+        refresh_trending(spark, store, f"{landed}/trending", now, chosen)
+        ingest(spark, store, f"{landed}/articles", f"{landed}/events", now, chosen, trusted, wanted.cutoff_hour)
+        score_new(spark, store, now, scoring_params or ScoringParams(), wanted.cutoff_hour)
+        write_day_report(spark, store, day, now, wanted)
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -29,12 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_LANDED: dict[tuple[str, ...], tuple[str, StructType]] = {}
+
+
+def state_of(spark: SparkSession, sf_dir: str, name: str = "events") -> str:
+    """Size and time of a table's files: another state is another table, though the path is the same."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{name}.parquet")
+    row = files.agg(F.sum("length").alias("size"), F.max("modificationTime").alias("at"), F.count("*").alias("n")).first()
+    return f"{row['n']} {row['size']} {row['at']}"
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A table that is built on first use in a session, or again if its files are gone."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A table that is built on first use in a session, or again if its files are gone or its input changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, state_of(spark, sf_dir))
     if key in _LANDED:
         path, schema = _LANDED[key]
         try:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,8 +65,27 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(settle_at(df))
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables that are settled inside are deleted at the end. No lazy result may leave the block."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def settle_at(df: DataFrame) -> str:
     """The path of the settled table. The folder belongs to the session, so it can go with it."""
     path = f"{shared_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return path
