@@ -208,3 +208,27 @@ def test_licenses(spark):
     assert said[None, "file"]["licence"] == "Apache-2.0" and ("z.py", None) in said and ("many/3.py", None) in said
     assert sum(r["path"] == "a/b/c/x.py" for r in rows) == 2
     assert license_scan(table.limit(0)).count() == 0
+
+
+def test_licenses_inside_long_lines(spark):
+    """Notices amid the words of one line, over a line break with words on both sides, and with words between."""
+    def amid(notice: str, words: int) -> str:
+        return prose(5, words) + " " + notice + " " + prose(6, words)
+
+    files = [("p/LICENSE", amid("Licensed under the MIT License", 12)), ("p/q/x.py", prose(7, 40)),
+             ("long.txt", amid("This work is licensed under the GNU General Public License, version 3", 3000)),
+             ("few.txt", "see here that it is Licensed under the MIT License as ever before"),
+             ("broken.txt", "first line\n" + amid("Licensed under the Apache\nLicense, Version 2.0", 200)),
+             ("between.txt", amid("Licensed under the terms of the GNU General Public License, version 3", 100)),
+             ("part.txt", amid("under the MIT License", 100)), ("plain.txt", amid("nothing", 3000)),
+             ("list.txt", amid("license version license version", 100)), ("other.txt", amid("Licensed under the Foo Terms", 100))]
+    table = spark.createDataFrame(files, "path string, text string")
+    said = {r["path"]: r for r in license_scan(table).collect()}
+    assert len(said) == len(files)
+    for path, licence in (("p/LICENSE", "MIT"), ("long.txt", "GPL-3.0"), ("few.txt", "MIT"), ("broken.txt", "Apache-2.0")):
+        assert (said[path]["licence"], said[path]["origin"], said[path]["score"]) == (licence, "file", 1.0)
+    assert said["broken.txt"]["line"] == files[4][1].split("Licensed")[0].count("\n")
+    assert said["between.txt"]["licence"] == "GPL-3.0" and said["part.txt"]["licence"] == "MIT"
+    assert (said["p/q/x.py"]["licence"], said["p/q/x.py"]["folder"]) == ("MIT", "p")
+    assert said["plain.txt"]["licence"] is None and said["list.txt"]["licence"] is None
+    assert said["other.txt"]["licence"] is None
