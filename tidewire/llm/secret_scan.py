@@ -22,7 +22,8 @@ _MASK_BITS = 62
 class Rule:
     """``pattern`` is searched from left to right; a match counts if ``group`` has ``min_length`` characters.
 
-    ``redact`` matches the part to hide, for ``replacement``.
+    ``redact`` matches the part to hide, for ``replacement``. A ``block`` is hidden before the other kinds, whose
+    replacements could cut it up.
     """
 
     kind: str
@@ -32,10 +33,24 @@ class Rule:
     min_length: int = 1
     base: bool = False
     replacement: str = "[secret]"
+    block: bool = False
 
 
 _KEYWORD = r"""(?i:password|passwd|secret|token|api_?key)"""
 _BETWEEN = r"""["']?\x20*[:=]\x20*["']?"""
+# A private key runs to its END line if no other line of dashes comes before it, or else over its headers and base64 lines: of 16
+# characters, with a digit, sign or later capital, or any last one. Lines may be indented, quoted, commented, or broken by a written \n.
+# Possessive repeats keep no states for long bodies.
+_BEGIN = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_TO_END = "[^-]*+(?:-{1,4}+(?!-)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+_BREAKS = r"""(?:[\x20\t"',;#>*|/+]*+(?:\r\n?+|\n|\\[rn]))++[\x20\t"'#>*|/+]*+"""
+_LINE_END = r"""={0,3}+(?=[\x20\t"',;+]*+(?![^\r\n\\]))"""
+_LONG = "[A-Za-z0-9+/]{16,}+={0,3}+"
+_KEY_LINES = (
+    rf"(?:{_BREAKS}(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n\\]*+)*+"
+    rf"(?:{_BREAKS}(?:{_LONG}|(?=[A-Za-z]*+[0-9+/=]|[A-Za-z][a-z]*+[A-Z])[A-Za-z0-9+/]++{_LINE_END})|[\x20\t]*+{_LONG})++"
+    rf"(?:{_BREAKS}[A-Za-z0-9+/]++{_LINE_END})?+")
+_PRIVATE_KEY = f"{_BEGIN}(?:{_TO_END}|(?:{_KEY_LINES})?+)"
 # The base kinds in their order, then the kinds that the index adds.
 RULES = (
     Rule("assign", f"({_KEYWORD}){_BETWEEN}([A-Za-z0-9+/_.=-]+)",
@@ -44,7 +59,7 @@ RULES = (
     Rule("hex", "[0-9a-f]{16,}", "[0-9a-f]{16,}", min_length=16, base=True),
     Rule("github", "gh[opsu]_[A-Za-z0-9]{36,}", "gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abps]-[A-Za-z0-9-]{10,}", "xox[abps]-[A-Za-z0-9-]{10,}"),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", _PRIVATE_KEY, _PRIVATE_KEY, block=True),
 )
 
 
@@ -187,11 +202,11 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str =
                    n_chars: str = "n_chars") -> DataFrame:
     """All rows and columns of ``docs`` with secrets replaced in the text and its length brought up to date.
 
-    Texts without secrets stay as they are, null ones too. Of an assignment the keyword stays.
+    Texts without secrets stay as they are, null ones too. Of an assignment the keyword stays, of a private key nothing.
     """
     scanned = secret_spans(docs, rules, doc_id, text, keep=docs.columns)
     hidden = F.col("row")[text]
-    for rule in rules:
+    for rule in sorted(rules, key=lambda r: not r.block):
         hidden = F.regexp_replace(hidden, rule.redact, rule.replacement)
     some = F.size("secrets") > 0
     clean = scanned.select("row", some.alias("some"), F.when(some, hidden).otherwise(F.col("row")[text]).alias("clean"))
