@@ -164,6 +164,18 @@ def test_pieces_against_all_segmentations(model):
             assert model.decode(ids) == text
 
 
+def test_ties_of_repeated_words(model):
+    """Equal losses of repeated words are settled by the ids, read from the end."""
+    rng = random.Random(9)
+    for _ in range(150):
+        word = "".join(rng.choice("athesionr") for _ in range(rng.randint(2, 4)))
+        other = "".join(rng.choice("athesionr") for _ in range(2))
+        text = " ".join(rng.choice([[word] * 3, [word, other, word], [other, word, word]]))
+        for n in (2, 3, 5):
+            got = [(s, np.frombuffer(ids, "<i4").tolist()) for s, ids in model.encode_all([text], n)[0]]
+            assert got == [(s, list(ids)) for s, ids in _paths(model, " " + text, n)], text
+
+
 def test_pieces_of_documents(spark, model):
     texts = [None, "", " ", "  two  spaces\t\r\n\n", "▁ mark", "é" * 3000, "word " * 20_000, "\x00\U0010ffff", "it's a b-c_d 12.5%"]
     docs = documents(spark, list(enumerate(texts)) + [(3, texts[3]), (None, "null id")], extra="nbest")

@@ -64,7 +64,8 @@ class PieceModel:
         self.batch = BatchLattice({p: (score, ids[0]) for p, (score, ids) in pieces.items()})
         self.known: dict[str, tuple[bytes, float, float]] = {}
         self.earlier: dict[str, tuple[bytes, float, float]] = {}
-        self.known_n_best: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
+        self.known_n_best: dict[tuple[str, int], tuple[list[float], list[bytes], list[int]]] = {}
+        self.known_order: dict[str, bool] = {}
 
     def arcs_from(self, segment: str, i: int) -> list[tuple[int, float, tuple[int, ...]]]:
         """The pieces that start at a position: end, score, ids."""
@@ -115,12 +116,28 @@ class PieceModel:
                 heapq.heappush(heap, (-(best[i] + (score + behind)), path + (ids,), i, score + behind))
         return found
 
-    def kept_n_best(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    def kept_n_best(self, segment: str, n: int) -> tuple[list[float], list[bytes], list[int]]:
+        """Of the best ``n``: losses, ids as 32-bit integers, and places in the order of ids from the end."""
         found = self.known_n_best.get((segment, n))
         if found is None:
             if len(self.known_n_best) >= CACHE_SEGMENTS // 10:
                 self.known_n_best.clear()
-            found = self.known_n_best[segment, n] = self.n_best(segment, n)
+            best = self.n_best(segment, n)
+            backward = [ids[::-1] for _, ids in best]
+            ordered = sorted(backward)
+            found = self.known_n_best[segment, n] = (
+                [best[0][0] - score for score, _ in best], [np.array(ids, "<i4").tobytes() for _, ids in best],
+                [ordered.index(ids) for ids in backward])
+        return found
+
+    def second_precedes(self, segment: str) -> bool:
+        """Whether the ids of the second best, read from the end, come before those of the best."""
+        found = self.known_order.get(segment)
+        if found is None:
+            if len(self.known_order) >= CACHE_SEGMENTS:
+                self.known_order.clear()
+            best, second = [ids[::-1] for _, ids in self.n_best(segment, 2)]
+            found = self.known_order[segment] = second < best
         return found
 
     def learn(self, segments: Iterable[str]) -> None:
@@ -185,7 +202,7 @@ class PieceModel:
         """All paths pass the borders between segments, so scores add up.
 
         A segmentation among the best n can deviate only in the n - 1 segments whose second best loses
-        least; the others keep their best.
+        least; the others keep their best. Equal scores go by the ids, read from the end.
         """
         if not segments:
             return [(0.0, b"")]
@@ -197,35 +214,63 @@ class PieceModel:
         found = [(total, b"".join(spelled))]
         if n == 1:
             return found
-        losses = np.array(costs)
-        order = np.argsort(losses, kind="stable")[: n - 1]
-        chosen = sorted(int(k) for k in order if losses[k] < np.inf)
+        chosen = self._deviating(segments, np.array(costs), n)
         choices = [self.kept_n_best(segments[k], n) for k in chosen]
-        for loss, ranks in least_losses([[c[0][0] - score for score, _ in c] for c in choices], n)[1:]:
+        for loss, ranks in least_losses([c[0] for c in choices], n, [c[2] for c in choices])[1:]:
             changed = list(spelled)
             for k, choice, rank in zip(chosen, choices, ranks):
-                changed[k] = np.array(choice[rank][1], "<i4").tobytes()
+                changed[k] = choice[1][rank]
             found.append((total - loss, b"".join(changed)))
         return found
 
+    def _deviating(self, segments: list[str], losses: np.ndarray, n: int) -> list[int]:
+        """The ``n - 1`` segments whose second best loses least, by position.
+
+        Among equal losses, read from the end, a change to smaller ids is best made late and one to larger ids early.
+        """
+        order = np.argsort(losses, kind="stable")[: n - 1]
+        order = order[losses[order] < np.inf].tolist()
+        if not order:
+            return []
+        limit = losses[order[-1]]
+        tied = np.flatnonzero(losses == limit).tolist()
+        sure = [k for k in order if losses[k] < limit]
+        wanted = len(order) - len(sure)
+        if len(tied) > wanted:
+            late, rest = [], []
+            for k in reversed(tied):
+                (late if self.second_precedes(segments[k]) else rest).append(k)
+                if len(late) == wanted:
+                    break
+            tied = (late + rest[::-1])[:wanted]
+        return sorted(sure + tied)
+
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids; control pieces are silent, broken byte sequences become U+FFFD."""
         raw = b"".join([self.spelled.get(i, b"") for i in ids])
         return (raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace")
 
 
-def least_losses(losses: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` combinations of one entry per list with the least sums; each list ascends from zero."""
-    heap: list[tuple[float, tuple[int, ...]]] = [(0.0, (0,) * len(losses))]
+def least_losses(losses: list[list[float]], n: int,
+                 places: list[list[int]] | None = None) -> list[tuple[float, tuple[int, ...]]]:
+    """The ``n`` combinations of one entry per list with the least sums; each list ascends from zero.
+
+    Equal sums go by the ``places`` of the entries (by default their ranks), read from the last list.
+    """
+    def key(ranks: tuple[int, ...]) -> tuple[int, ...]:
+        return tuple(p[r] for p, r in zip(places, ranks))[::-1] if places else ranks[::-1]
+
+    start = (0,) * len(losses)
+    heap: list[tuple[float, tuple[int, ...], tuple[int, ...]]] = [(0.0, key(start), start)]
     found: list[tuple[float, tuple[int, ...]]] = []
     while heap and len(found) < n:
-        loss, ranks = heapq.heappop(heap)
+        loss, _, ranks = heapq.heappop(heap)
         found.append((loss, ranks))
         last = max((k for k, r in enumerate(ranks) if r), default=0)
         for k in range(last, len(ranks)):
             if ranks[k] + 1 < len(losses[k]):
                 raised = (*ranks[:k], ranks[k] + 1, *ranks[k + 1:])
-                heapq.heappush(heap, (sum(each[r] for each, r in zip(losses, raised)), raised))
+                heapq.heappush(heap, (sum(each[r] for each, r in zip(losses, raised)), key(raised), raised))
     return found
 
 
@@ -243,7 +288,9 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
     are spelled as byte pieces, so that decoding returns the text exactly.
 
     Texts are cut where no piece crosses (before the spaces of a word, around line ends). Per segment a
-    Viterbi pass gives forward scores and A* reads segmentations backward under them; tasks keep the best
+    Viterbi pass gives the best path and how much the second best loses. These losses choose the at most ``n - 1``
+    segments in which the best ``n`` can deviate; only there, and to settle equal losses, A* reads segmentations
+    backward under forward scores, with ``n`` 1 nowhere. Equal scores go by the ids, read from the end. Tasks keep the best
     path of recent segments, up to a bound. The vocabulary (a file of fixed size, read on the driver)
     goes to the executors; documents are not shuffled.
 
