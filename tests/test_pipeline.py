@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire.params import ReportParams, ScoringParams, SelectionParams
-from tidewire.plans import daily, driver_views
+from tidewire.plans import daily, driver_views, queries
 from tidewire.session import released, settle
 from tidewire.streaming.incremental import run_incremental
 
@@ -124,3 +124,15 @@ def test_views_follow_their_input(spark, tmp_path):
     assert driver_views.scores(spark, root).count() == 100
     events.limit(300).write.mode("overwrite").parquet(f"{root}/events.parquet")
     assert driver_views.scores(spark, root).count() == 300
+
+
+def test_first_of_batch_by_folder(spark, tmp_path, monkeypatch):
+    """Both folders are written by many tasks, and the first folder wins for every article."""
+    rows = spark.range(200).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("t"), "id").alias("title"),
+                                   F.lit("2024-01-01 00:00:00").cast("timestamp").alias("published_at")).repartition(4)
+    monkeypatch.setattr(driver_views, "plain_articles", lambda spark, sf: rows)
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: str(tmp_path / name))
+    found = {r["id"]: r["title"] for r in queries.first_of_batch(spark, "").collect()}
+    assert found == {str(i): f"t{i}" for i in range(200)}
+    for name in "ab":
+        assert len(list((tmp_path / "landed" / name).glob("part-*"))) == 4

@@ -814,13 +814,13 @@ def landed_rejects(spark, sf):
 
 @query
 def first_of_batch(spark, sf):
-    """Every article in two files of one batch, newer and under another title in the second: the first file wins."""
+    """Every article in two folders of one batch, newer and under another title in the second: the first folder wins."""
     folder, store = scratch(spark, "landed"), daily.Store(scratch(spark, "store"))
     rows = V.plain_articles(spark, sf)
     for name, hours, suffix in (("a", 0, ""), ("b", 2, " again")):
         at = F.date_format(F.col("published_at").cast("timestamp") + F.make_dt_interval(hours=F.lit(hours)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
         rows.select(F.to_json(F.struct(F.col("id").alias("uri"), F.concat("title", F.lit(suffix)).alias("title"), at.alias(
-            "dateTimePub"))).alias("value")).coalesce(1).write.text(f"{folder}/{name}")
+            "dateTimePub"))).alias("value")).write.text(f"{folder}/{name}")
     daily.store_articles(spark, store, landing.flatten_articles(landing.read_articles(spark, f"{folder}/*"), GENERATED_AT))
     return daily.read_table(spark, store.articles, schemas.ARTICLES).select("id", "title")
 
