@@ -110,3 +110,71 @@ WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM v JOIN least ON vec_id = node LEFT JOIN degree ON vec_id = u
 """
+
+ORACLE["op11_infilling"] = r"""
+WITH t AS (
+         SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                sha256('1:' || doc_id) AS h
+         FROM documents),
+     d AS (
+         SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                          OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                     WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+         FROM t),
+     p AS (
+         SELECT doc_id, text, n, form, array_to_string(u[1 : least(x, y)], '') AS a,
+                array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') AS b, array_to_string(u[greatest(x, y) + 1 : n], '') AS c
+         FROM d)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+                        ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def _values(strict: bool, terms: str) -> str:
+    return ", ".join(f"('{t}', {str(strict).lower()})" for t in terms.split())
+
+
+ORACLE["op13_urls"] = rf"""
+WITH rules(host_end, path_start, verdict) AS (VALUES
+         ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+     terms(term, strict) AS (VALUES
+         {_values(True, "bestiality casino escorts jackpot pills porn slots viagra xxx")},
+         {_values(False, "adult bet bonus cheap discount farm free hot loan lucky poker sex spam win")}),
+     u AS (
+         SELECT row_number() OVER () AS rid, page_id, coalesce(url, '') AS url,
+                translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+         FROM pages),
+     p AS (
+         SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+     h AS (
+         SELECT rid, page_id, low, regexp_extract(rest, '^[^/?#]*') AS raw_host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+         FROM p),
+     k AS (
+         SELECT rid, page_id, low, path, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+         FROM h),
+     ruled AS (
+         SELECT rid, arg_max(host_end || path_start, length(host_end || path_start)) AS rule,
+                arg_max(verdict, length(host_end || path_start)) AS verdict
+         FROM k JOIN rules ON (host = host_end OR ends_with(host, '.' || host_end)) AND starts_with(path, path_start)
+         GROUP BY rid),
+     hits AS (
+         SELECT rid, strict, term, len(list_filter(range(1, length(low) - length(term) + 2), lambda i:
+                    substr(low, i, length(term)) = term
+                    AND NOT regexp_matches(substr('.' || low || '.', i, 1), '[a-z0-9]|[^\x00-\x7F]')
+                    AND NOT regexp_matches(substr('.' || low || '.', i + length(term) + 1, 1), '[a-z0-9]|[^\x00-\x7F]'))) AS n
+         FROM k JOIN terms ON contains(low, term)),
+     weights AS (
+         SELECT rid, count(*) FILTER (strict AND n > 0) AS n_strict, count(*) FILTER (NOT strict AND n > 0) AS n_soft,
+                CAST(sum(n) AS BIGINT) AS n_hits
+         FROM hits GROUP BY rid)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(n_strict, 0) AS n_strict, coalesce(n_soft, 0) AS n_soft, coalesce(n_hits, 0) AS n_hits
+FROM k LEFT JOIN ruled USING (rid) LEFT JOIN weights USING (rid)
+"""

@@ -11,12 +11,14 @@ from tidewire.llm.chat import repair_conversations
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
 from tidewire.llm.embeddings import link_embeddings
+from tidewire.llm.infilling import fill_in_middle, restored
 from tidewire.llm.license_scan import license_scan
 from tidewire.llm.near_duplicates import near_duplicates
 from tidewire.llm.pieces import decode_pieces, encode_pieces
 from tidewire.llm.quality import score_quality
 from tidewire.llm.secret_scan import RULES, secret_spans, span_text
 from tidewire.llm.toxicity import score_toxicity
+from tidewire.llm.url_filter import judge_urls
 from tidewire.llm.warc import archive_folder, read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +104,19 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(table(spark, sf_dir, "pages"))
+    return judged.select(
+        "page_id", "host", "path", "rule", "verdict", F.size("strict_terms").cast("long").alias("n_strict"),
+        F.size("soft_terms").cast("long").alias("n_soft"), "n_hits")
