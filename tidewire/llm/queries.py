@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.llm.alignment import align_tokens, link_strengths
 from tidewire.llm.chat import repair_conversations
 from tidewire.llm.common import table
 from tidewire.llm.decontamination import find_contamination
@@ -114,6 +115,14 @@ def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokens(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return link_strengths(aligned.withColumn("groups_sha256", digest)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"))
