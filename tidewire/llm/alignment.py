@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -25,6 +27,14 @@ PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 # Ids of a pair are packed into one integer.
 _SHIFT = 32
 _SPACE_MARK = "▁"
+# Places that tokens of neither side cross: before a space between another character and a visible Latin one. Byte-level
+# words never hold a space behind their start, and pieces are checked when they are read.
+_CUT = re.compile("(?<=[^ ])(?= [!-~À-ɏ])")
+# What stands between two such places. New ones are read one behind the other, so many characters at a time.
+_STRETCH = re.compile(" [!-~À-ɏ](?s:.*)(?<! )")
+JOINED_LENGTH = 50_000
+# Stretches that a worker keeps with their ids, up to a length; twice at most, as what was not used lately may go.
+KEPT_STRETCHES, KEPT_LENGTH = 100_000, 64
 
 Vocabulary = tuple[Callable[[list[str]], list[list[int]]], list[bytes]]
 
@@ -55,14 +65,90 @@ def piece_level(content: bytes) -> Vocabulary:
     spelled = [
         bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(_SPACE_MARK, " ").encode()
         for i, piece in enumerate(map(model.id_to_piece, range(model.get_piece_size())))]
+    if any(_SPACE_MARK in p.lstrip(_SPACE_MARK) for p in map(model.id_to_piece, range(len(spelled)))):
+        raise ValueError("the pieces cross word boundaries")
     return lambda texts: model.encode(texts, num_threads=1), spelled
 
 
-def _flat(ids: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Reader:
+    """Ids of both vocabularies for whole texts, put together from those of the different stretches in them."""
+
+    def __init__(self, first: Vocabulary, second: Vocabulary):
+        (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = first, second
+        self.sizes_a, self.sizes_b = (
+            np.array([len(s) for s in spelled], dtype=np.int64) for spelled in (self.bytes_a, self.bytes_b))
+        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.earlier: dict[str, tuple[bytes, bytes, bool]] = {}
+
+    def _learn(self, stretches: set[str]) -> None:
+        if len(self.known) > KEPT_STRETCHES:
+            self.known, self.earlier = {}, self.known
+        joined: list[str] = []
+        size = 0
+        for stretch in stretches.difference(self.known):
+            entry = self.earlier.get(stretch)
+            if entry is not None:
+                self.known[stretch] = entry
+            elif _STRETCH.fullmatch(stretch):
+                joined.append(stretch)
+                size += len(stretch)
+                if size > JOINED_LENGTH:
+                    self._learn_joined(joined)
+                    joined, size = [], 0
+            else:
+                self._learn_each([stretch])
+        if joined:
+            self._learn_joined(joined)
+
+    def _learn_joined(self, new: list[str]) -> None:
+        """No token crosses from one stretch into the next, so they are read as one text."""
+        text = "".join(new)
+        raw = text.encode()
+        bounds = np.cumsum([len(s.encode()) for s in new])
+        sides = []
+        for ids, spelled, sizes in ((self.encode_a([text])[0], self.bytes_a, self.sizes_a),
+                                    (self.encode_b([text[1:]])[0], self.bytes_b, self.sizes_b)):
+            flat = np.array(ids, "<i4")
+            ends = np.cumsum(sizes[flat])
+            last = np.searchsorted(ends, bounds)
+            if b"".join([spelled[i] for i in ids]) != raw or (ends[last] != bounds).any():
+                return self._learn_each(new)
+            packed, cuts = flat.tobytes(), (4 * (last + 1)).tolist()
+            sides.append([packed[start:end] for start, end in zip([0, *cuts], cuts)])
+        self.known.update(zip(new, zip(*sides, [True] * len(new))))
+
+    def _learn_each(self, new: list[str]) -> None:
+        for stretch, a, b in zip(new, self.encode_a(new), self.encode_b([s[1:] for s in new])):
+            raw = stretch.encode()
+            spelled = b"".join([self.bytes_a[i] for i in a]) == raw == b"".join([self.bytes_b[i] for i in b])
+            self.known[stretch] = np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes(), spelled
+
+    def read(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids as 32-bit integers; none for empty texts and for those that either side does not spell."""
+        cut = [_CUT.split(" " + text) if text else [] for text in texts]
+        stretches = set(chain.from_iterable(cut))
+        self._learn(stretches)
+        a, b = [b""] * len(texts), [b""] * len(texts)
+        for k, parts in enumerate(cut):
+            if parts:
+                ids_a, ids_b, spelled = zip(*map(self.known.__getitem__, parts))
+                if all(spelled):
+                    a[k], b[k] = b"".join(ids_a), b"".join(ids_b)
+        for stretch in [s for s in stretches if len(s) > KEPT_LENGTH]:
+            del self.known[stretch]
+        return a, b
+
+
+@lru_cache(maxsize=1)
+def reader(byte_file: str, piece_file: bytes) -> Reader:
+    """Set up once per worker."""
+    return Reader(byte_level(byte_file), piece_level(piece_file))
+
+
+def _flat(ids: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in a row, the text of each, and the byte behind each, counted over all texts."""
-    lengths = np.array([len(i) for i in ids], dtype=np.int64)
-    flat = np.fromiter((t for i in ids for t in i), dtype=np.int64, count=int(lengths.sum()))
-    return flat, np.repeat(np.arange(len(ids)), lengths), np.cumsum(sizes[flat])
+    flat = np.frombuffer(b"".join(ids), "<i4")
+    return flat, np.repeat(np.arange(len(ids)), [len(i) // 4 for i in ids]), np.cumsum(sizes[flat])
 
 
 def overlaps(a_doc: np.ndarray, a_starts: np.ndarray, b_doc: np.ndarray, b_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,18 +157,17 @@ def overlaps(a_doc: np.ndarray, a_starts: np.ndarray, b_doc: np.ndarray, b_start
     Of two tokens that share bytes the later start lies in the other token, or both start together. So the token of
     the other side that covers a start, found by ``merge_asof``, gives every pair in one direction or the other.
     """
-    a = pd.DataFrame({"at": a_starts, "doc": a_doc, "a": np.arange(len(a_starts))})
-    b = pd.DataFrame({"at": b_starts, "doc": b_doc, "b": np.arange(len(b_starts))})
-    in_b = pd.merge_asof(a, b, on="at", by="doc")
-    in_a = pd.merge_asof(b, a, on="at", by="doc")
+    a, b = np.arange(len(a_starts)), np.arange(len(b_starts))
+    left, right = pd.DataFrame({"at": a_starts, "doc": a_doc}), pd.DataFrame({"at": b_starts, "doc": b_doc})
+    in_b = pd.merge_asof(left, right.assign(other=b), on="at", by="doc")["other"].to_numpy()
+    in_a = pd.merge_asof(right, left.assign(other=a), on="at", by="doc")["other"].to_numpy()
     # Pairs that start together were found from both sides.
-    new = a_starts[in_a["a"].to_numpy()] < b_starts
-    return (np.concatenate([in_b["a"].to_numpy(), in_a["a"].to_numpy()[new]]),
-            np.concatenate([in_b["b"].to_numpy(), in_a["b"].to_numpy()[new]]))
+    new = a_starts[in_a] < b_starts
+    return np.concatenate([a, in_a[new]]), np.concatenate([in_b, b[new]])
 
 
 def _group_texts(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray, n_docs: int,
-                 group_doc: np.ndarray, a_words: list[list[str]], b_words: list[list[str]]) -> list[str]:
+                 group_doc: np.ndarray, a_words: np.ndarray, b_words: np.ndarray) -> list[str]:
     """Per text its groups as ``a1,a2|b1;a3|b2``. Groups are numbered over all texts, in order."""
     n_groups = len(group_doc)
     last_of_doc = np.ones(n_groups, dtype=bool)
@@ -93,28 +178,29 @@ def _group_texts(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_gr
     a_of, b_of = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
     a_through, b_before = np.cumsum(a_of), np.cumsum(b_of) - b_of
     parts = np.empty(len(a_ids) + len(b_ids), dtype=object)
-    a_table, b_table = np.array(a_words, dtype=object), np.array(b_words, dtype=object)
-    parts[np.arange(len(a_ids)) + b_before[a_group]] = a_table[a_last.astype(int), a_ids]
-    parts[np.arange(len(b_ids)) + a_through[b_group]] = b_table[np.where(b_last, 1 + last_of_doc[b_group], 0), b_ids]
+    parts[np.arange(len(a_ids)) + b_before[a_group]] = a_words[a_last.astype(int), a_ids]
+    parts[np.arange(len(b_ids)) + a_through[b_group]] = b_words[np.where(b_last, 1 + last_of_doc[b_group], 0), b_ids]
     ends = np.cumsum(np.bincount(group_doc, weights=a_of + b_of, minlength=n_docs)).astype(np.int64)
     whole = parts.tolist()
     return ["".join(whole[start:end]) for start, end in zip([0, *ends.tolist()], ends.tolist())]
 
 
 @lru_cache(maxsize=4)
-def _words(n: int, *ends: str) -> list[list[str]]:
-    return [[f"{i}{end}" for i in range(n)] for end in ends]
+def _words(n: int, *ends: str) -> np.ndarray:
+    return np.array([[f"{i}{end}" for i in range(n)] for end in ends], dtype=object)
 
 
-def _aligned(texts: list[str], first: Vocabulary, second: Vocabulary) -> tuple[list, ...]:
+def _by_text(codes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes in order within each text; texts come in order already."""
+    kinds, places = np.unique(codes, return_inverse=True)
+    places = np.sort(docs * len(kinds) + places)
+    return (kinds[places % len(kinds)], places // len(kinds)) if len(kinds) else (codes, docs)
+
+
+def _aligned(texts: list[str], both: Reader) -> tuple[list, ...]:
     """Columns of :func:`align_tokens` behind the id."""
-    (encode_a, bytes_a), (encode_b, bytes_b) = first, second
-    ids_a, ids_b = encode_a([" " + t for t in texts]), encode_b(texts)
-    for k, text in enumerate(texts):
-        wanted = (" " + text).encode()
-        if not text or b"".join([bytes_a[i] for i in ids_a[k]]) != wanted or b"".join([bytes_b[i] for i in ids_b[k]]) != wanted:
-            ids_a[k], ids_b[k] = [], []
-    sizes_a, sizes_b = (np.array([len(s) for s in spelled], dtype=np.int64) for spelled in (bytes_a, bytes_b))
+    ids_a, ids_b = both.read(texts)
+    sizes_a, sizes_b = both.sizes_a, both.sizes_b
     a, a_doc, a_ends = _flat(ids_a, sizes_a)
     b, b_doc, b_ends = _flat(ids_b, sizes_b)
     at_a, at_b = overlaps(a_doc, a_ends - sizes_a[a], b_doc, b_ends - sizes_b[b])
@@ -125,15 +211,13 @@ def _aligned(texts: list[str], first: Vocabulary, second: Vocabulary) -> tuple[l
     cuts, first_link = np.unique(a_ends[at_a], return_index=True)
     group_doc = link_doc[first_link]
     groups = _group_texts(a, np.searchsorted(cuts, a_ends), b, np.searchsorted(cuts, b_ends), len(texts), group_doc,
-                          _words(len(bytes_a), ",", "|"), _words(len(bytes_b), ",", ";", ""))
-    codes = (a[at_a] << _SHIFT) | b[at_b]
-    order = np.lexsort((codes, link_doc))
-    codes, docs = codes[order], link_doc[order]
+                          _words(len(sizes_a), ",", "|"), _words(len(sizes_b), ",", ";", ""))
+    codes, docs = _by_text((a[at_a].astype(np.int64) << _SHIFT) | b[at_b], link_doc)
     starts = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (docs[1:] != docs[:-1]))[:len(codes)])
     counts = np.diff(np.append(starts, len(codes)))
     lists = np.concatenate([[0], np.cumsum(np.bincount(docs[starts], minlength=len(texts)))]).astype(np.int32)
     return (
-        [len(i) for i in ids_a], [len(i) for i in ids_b], np.bincount(group_doc, minlength=len(texts)),
+        [len(i) // 4 for i in ids_a], [len(i) // 4 for i in ids_b], np.bincount(group_doc, minlength=len(texts)),
         np.bincount(link_doc, minlength=len(texts)), groups,
         pa.ListArray.from_arrays(pa.array(lists), pa.array(codes[starts])),
         pa.ListArray.from_arrays(pa.array(lists), pa.array(counts, pa.int64())))
@@ -159,10 +243,10 @@ def align_tokens(docs: DataFrame, byte_path: str = BYTE_VOCABULARY, piece_path:
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = byte_level(files.value[0]), piece_level(files.value[1])
+        both = reader(*files.value)
         kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
         for batch in slices(batches, max_bytes=1_000_000):
-            columns = _aligned([t or "" for t in next(columns_of(batch, "text"))], first, second)
+            columns = _aligned([t or "" for t in next(columns_of(batch, "text"))], both)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)]],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "pair_links"])
