@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,6 +37,22 @@ def columns_of(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
     return (batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names)
 
 
+def release_memory() -> None:
+    """Give back what earlier tasks of this worker freed: Spark keeps workers, and allocators keep pages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def small_batches(spark: SparkSession, max_bytes: int = 8 << 20) -> SparkSession:
+    """Let batches that go to Python workers hold ``max_bytes`` at most; a session that asks for less keeps its setting."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > max_bytes:
+        spark.conf.set(name, f"{max_bytes}b")
+    return spark
+
+
 def slices(batches: Iterator[pa.RecordBatch], name: str = "text", max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Batches cut into stretches of about ``max_bytes`` of one text column, so that what is built of them stays small."""
     for batch in batches:
@@ -49,6 +66,13 @@ def slices(batches: Iterator[pa.RecordBatch], name: str = "text", max_bytes: int
             start = end
 
 
+def short_slices(batches: Iterator[pa.RecordBatch], name: str = "text", max_bytes: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Shorter stretches for what takes many times their bytes; memory is given back before and after them."""
+    release_memory()
+    yield from slices(batches, name, max_bytes)
+    release_memory()
+
+
 def carried(docs: DataFrame, keep: Sequence[str], text: str) -> list[Column]:
     """Columns that an operator passes through, under names of its own; the text goes with its input."""
     return [F.col(c).alias(f"__keep{k}") for k, c in enumerate(keep) if c != text]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.llm.common import (
-    WORD_BYTES, carried, carried_row, columns_of, passed, passed_schema, slices, words)
+    WORD_BYTES, carried, carried_row, columns_of, passed, passed_schema, short_slices, words)
 from tidewire.session import settle
 
 WINDOW = 13
@@ -99,7 +99,7 @@ def _scan_block(rows: DataFrame, items: list[tuple[str, list[bytes]]], window: i
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(pickle.loads(shared.value), window)
-        for batch in slices(batches):
+        for batch in short_slices(batches):
             counts, hits, ids, spans = [], [], [], []
             for text, old_ids, old_runs in zip(*columns_of(batch, "text", "item_ids", "runs")):
                 text_words = words(text)

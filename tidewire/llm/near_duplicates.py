@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import columns_of, slices
+from tidewire.llm.common import columns_of, short_slices
 from tidewire.llm.components import connected_components
 from tidewire.llm.hashing import WordHasher, mixed
 from tidewire.operators.lookup import lookup
@@ -37,7 +37,7 @@ def word_frequencies(rows: DataFrame) -> np.ndarray:
     """In how many documents each bucket of words occurs. The result has 2 ** FREQUENCY_BITS entries at any size."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, total = WordHasher(), np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
-        for batch in slices(batches):
+        for batch in short_slices(batches):
             hashes, borders = hasher(next(columns_of(batch, "text")))
             bucket = (hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
             owner = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
@@ -147,7 +147,7 @@ def _signatures(rows: DataFrame, frequencies: np.ndarray, documents: int, size:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, sampler = ShingleVectors(*shared.value, size), WeightedSampler()
-        for batch in slices(batches):
+        for batch in short_slices(batches):
             keys, texts = columns_of(batch, "key", "text")
             kept, bands, marks, weights = [], [], [], []
             for key, vector in zip(keys, vectors(texts)):
@@ -173,7 +173,7 @@ def _vectors(rows: DataFrame, frequencies: np.ndarray, documents: int, size: int
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = ShingleVectors(*shared.value, size)
-        for batch in slices(batches):
+        for batch in short_slices(batches):
             keys, texts = columns_of(batch, "key", "text")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.string()), pa.array([v.tobytes() for v in vectors(texts)], pa.binary())],
@@ -188,7 +188,7 @@ def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
         vectors.select(F.col("key").alias("u"), F.col("vector").alias("a")), "u").select("u", "v", "a", "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "a"):
+        for batch in short_slices(batches, "a"):
             a, b = columns_of(batch, "a", "b")
             similar = [weighted_jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= threshold
                        for x, y in zip(a, b)]

@@ -13,14 +13,16 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import columns_of, slices
+from tidewire.llm.common import columns_of, short_slices
 from tidewire.llm.lattice import BatchLattice
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 3
-# Recent segments of each task that keep their best path, twice at most; segments up to BATCH_LENGTH
-# characters are solved side by side, up to BATCH_ROWS of a length at once.
-CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 150_000, 32, 10_000
+# Segments of each task that keep their best path; when there are more, only those that came up again stay.
+# Segments up to BATCH_LENGTH characters are solved side by side, up to BATCH_ROWS of a length at once.
+CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 200_000, 32, 4_000
+# Of segments whose other segmentations were asked for, so many.
+CACHE_OTHERS = 15_000
 # Below the lowest score of a single character, as for an unknown character of a unigram model.
 UNKNOWN_PENALTY = 10.0
 # Pieces at or below this score (runs of spaces) are in the vocabulary to be decoded, not to be built.
@@ -62,10 +64,9 @@ class PieceModel:
             raise ValueError("the pieces cross word boundaries")
         self.segments = re.compile(kept[0]).findall
         self.batch = BatchLattice({p: (score, ids[0]) for p, (score, ids) in pieces.items()})
-        self.known: dict[str, tuple[bytes, float, float]] = {}
-        self.earlier: dict[str, tuple[bytes, float, float]] = {}
         self.known_n_best: dict[tuple[str, int], tuple[list[float], list[bytes], list[int]]] = {}
         self.known_order: dict[str, bool] = {}
+        self._clear()
 
     def arcs_from(self, segment: str, i: int) -> list[tuple[int, float, tuple[int, ...]]]:
         """The pieces that start at a position: end, score, ids."""
@@ -83,10 +84,19 @@ class PieceModel:
 
     def arcs(self, segment: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For each position the pieces that end there: start, score, ids."""
-        ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(len(segment) + 1)]
-        for i in range(len(segment)):
-            for j, score, ids in self.arcs_from(segment, i):
-                ending[j].append((i, score, ids))
+        size, get = len(segment), self.entries.get
+        ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
+        for i in range(size):
+            entry, j = get(segment[i]), i + 1
+            if not entry:
+                ending[j].append((i, self.unknown, tuple([self.byte_ids[b] for b in segment[i].encode()])))
+            while entry is not None:
+                if entry:
+                    ending[j].append((i, *entry))
+                j += 1
+                if j > size:
+                    break
+                entry = get(segment[i:j])
         return ending
 
     @staticmethod
@@ -94,7 +104,7 @@ class PieceModel:
         """Viterbi scores: the best way from the start to each position."""
         best = [0.0]
         for arcs in ending[1:]:
-            best.append(max(best[i] + score for i, score, _ in arcs))
+            best.append(max([best[i] + score for i, score, _ in arcs]))
         return best
 
     def n_best(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -120,7 +130,7 @@ class PieceModel:
         """Of the best ``n``: losses, ids as 32-bit integers, and places in the order of ids from the end."""
         found = self.known_n_best.get((segment, n))
         if found is None:
-            if len(self.known_n_best) >= CACHE_SEGMENTS // 10:
+            if len(self.known_n_best) >= CACHE_OTHERS:
                 self.known_n_best.clear()
             best = self.n_best(segment, n)
             backward = [ids[::-1] for _, ids in best]
@@ -140,32 +150,68 @@ class PieceModel:
             found = self.known_order[segment] = second < best
         return found
 
-    def learn(self, segments: Iterable[str]) -> None:
-        """Find the best paths of new segments side by side; what was not used lately may go."""
+    def _clear(self) -> None:
+        """Known segments are numbered; of each there are score, loss of the second best, and where its ids start."""
+        self.known: dict[str, int] = {}
+        self.again = np.zeros(0, dtype=bool)
+        self.scores, self.losses = np.zeros(0), np.zeros(0)
+        self.starts, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<i4")
+
+    def _forget(self) -> None:
+        """Keep the segments that came up again since the last time, if these are few enough."""
+        kept, names = np.flatnonzero(self.again), list(self.known)
+        if len(kept) > CACHE_SEGMENTS // 2:
+            return self._clear()
+        self.known = {names[k]: number for number, k in enumerate(kept.tolist())}
+        self.again = np.zeros(len(kept), dtype=bool)
+        self.scores, self.losses = self.scores[kept], self.losses[kept]
+        starts, sizes = self.starts[kept], self.starts[kept + 1] - self.starts[kept]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.ids = self.ids[np.repeat(starts - self.starts[:-1], sizes) + np.arange(self.starts[-1])]
+
+    def numbers(self, segments: list[str]) -> np.ndarray:
+        """The numbers of segments; new ones are solved first. If they become too many, some are forgotten before."""
         if len(self.known) > CACHE_SEGMENTS:
-            self.known, self.earlier = {}, self.known
-        new: dict[int, list[str]] = {}
-        for segment in set(segments).difference(self.known):
-            entry = self.earlier.get(segment)
-            if entry is not None:
-                self.known[segment] = entry
-            elif len(segment) <= BATCH_LENGTH:
-                new.setdefault(len(segment), []).append(segment)
-        for group in new.values():
+            self._forget()
+        earlier = len(self.known)
+        found = list(map(self.known.get, segments))
+        if None in found:
+            self._solve({s for s, k in zip(segments, found) if k is None})
+            found = list(map(self.known.__getitem__, segments))
+        numbers = np.array(found, dtype=np.int64)
+        self.again[numbers[numbers < earlier]] = True
+        return numbers
+
+    def _solve(self, new: set[str]) -> None:
+        """Find the best paths of new segments, those of one length side by side."""
+        groups: dict[int, list[str]] = {}
+        for segment in new:
+            groups.setdefault(len(segment) if len(segment) <= BATCH_LENGTH else 0, []).append(segment)
+        alone, solved, spelled = groups.pop(0, []), [], []
+        scores, losses = [self.scores], [self.losses]
+        for group in groups.values():
             for k in range(0, len(group), BATCH_ROWS):
                 chunk = group[k:k + BATCH_ROWS]
-                ok, spelled, scores, losses = self.batch.best(chunk)
-                self.known.update(
-                    (t, e) for t, k, e in zip(chunk, ok.tolist(), zip(spelled, scores.tolist(), losses.tolist())) if k)
-
-    def best(self, segment: str) -> tuple[bytes, float, float]:
-        """Ids (as 32-bit integers), score, and how much the second best loses; kept for recent segments."""
-        entry = self.known.get(segment)
-        if entry is None:
+                ok, ids, chunk_scores, chunk_losses = self.batch.best(chunk)
+                if not ok.all():
+                    alone += [t for t, fine in zip(chunk, ok.tolist()) if not fine]
+                    chunk, ids = ([t for t, fine in zip(each, ok.tolist()) if fine] for each in (chunk, ids))
+                solved += chunk
+                spelled += ids
+                scores.append(chunk_scores[ok])
+                losses.append(chunk_losses[ok])
+        for segment in alone:
             each = [self._best(p) for p in self.parts(segment)]
-            entry = self.known[segment] = (
-                b"".join([e[0] for e in each]), sum([e[1] for e in each]), min([e[2] for e in each]))
-        return entry
+            solved.append(segment)
+            spelled.append(b"".join([e[0] for e in each]))
+            scores.append(np.array([sum([e[1] for e in each])]))
+            losses.append(np.array([min([e[2] for e in each])]))
+        self.known.update(zip(solved, range(len(self.known), len(self.known) + len(solved))))
+        self.again = np.concatenate([self.again, np.zeros(len(solved), dtype=bool)])
+        self.scores, self.losses = np.concatenate(scores), np.concatenate(losses)
+        ends = len(self.ids) + np.cumsum([len(s) // 4 for s in spelled])
+        self.starts = np.concatenate([self.starts, ends.astype(np.int64)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(spelled), "<i4")])
 
     def parts(self, segment: str) -> list[str]:
         """The segment cut between neighbours that no piece holds together."""
@@ -193,34 +239,45 @@ class PieceModel:
         return np.array(list(chain.from_iterable(reversed(path))), "<i4").tobytes(), first[-1], first[-1] - second[-1]
 
     def encode_all(self, texts: list[str | None], n: int) -> list[list[tuple[float, bytes]] | None]:
-        """The best ``n`` segmentations of whole texts, as score and ids; None for None."""
+        """The best ``n`` segmentations of whole texts, as score and ids; None for None.
+
+        All paths pass the borders between segments, so scores add up.
+        """
         cut = [self.segments(" " + text) if text else [] for text in texts]
-        self.learn(chain.from_iterable(cut))
-        return [None if text is None else self._encode(segments, n) for text, segments in zip(texts, cut)]
+        numbers = self.numbers(list(chain.from_iterable(cut)))
+        starts, sizes = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        whole = self.ids[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])].tobytes()
+        scores, losses, before = self.scores[numbers].tolist(), self.losses[numbers], (4 * before).tolist()
+        found: list[list[tuple[float, bytes]] | None] = []
+        at = 0
+        for text, segments in zip(texts, cut):
+            end = at + len(segments)
+            best = (sum(scores[at:end], 0.0), whole[before[at]:before[end]])
+            found.append(None if text is None else [best] if n == 1 or not segments else [
+                best, *self._others(best, segments, losses[at:end], before[at:end + 1], n)])
+            at = end
+        return found
 
-    def _encode(self, segments: list[str], n: int) -> list[tuple[float, bytes]]:
-        """All paths pass the borders between segments, so scores add up.
+    def _others(self, best: tuple[float, bytes], segments: list[str], losses: np.ndarray, places: list[int],
+                n: int) -> list[tuple[float, bytes]]:
+        """The segmentations behind the best; ``places`` tell where the ids of each segment start.
 
-        A segmentation among the best n can deviate only in the n - 1 segments whose second best loses
-        least; the others keep their best. Equal scores go by the ids, read from the end.
+        One among the best n can deviate only in the n - 1 segments whose second best loses least; the others
+        keep their best. Equal scores go by the ids, read from the end.
         """
-        if not segments:
-            return [(0.0, b"")]
-        entries = list(map(self.known.get, segments))
-        if None in entries:
-            entries = [e or self.best(s) for e, s in zip(entries, segments)]
-        spelled, scores, costs = zip(*entries)
-        total = sum(scores)
-        found = [(total, b"".join(spelled))]
-        if n == 1:
-            return found
-        chosen = self._deviating(segments, np.array(costs), n)
+        total, whole = best
+        chosen = self._deviating(segments, losses, n)
         choices = [self.kept_n_best(segments[k], n) for k in chosen]
+        # The stretches of ids around the chosen segments stay as they are.
+        kept, behind = [], 0
+        for k in chosen:
+            kept.append(whole[behind:places[k] - places[0]])
+            behind = places[k + 1] - places[0]
+        found = []
         for loss, ranks in least_losses([c[0] for c in choices], n, [c[2] for c in choices])[1:]:
-            changed = list(spelled)
-            for k, choice, rank in zip(chosen, choices, ranks):
-                changed[k] = choice[1][rank]
-            found.append((total - loss, b"".join(changed)))
+            parts = chain.from_iterable(zip(kept, [choice[1][rank] for choice, rank in zip(choices, ranks)]))
+            found.append((total - loss, b"".join([*parts, whole[behind:]])))
         return found
 
     def _deviating(self, segments: list[str], losses: np.ndarray, n: int) -> list[int]:
@@ -228,14 +285,14 @@ class PieceModel:
 
         Among equal losses, read from the end, a change to smaller ids is best made late and one to larger ids early.
         """
-        order = np.argsort(losses, kind="stable")[: n - 1]
-        order = order[losses[order] < np.inf].tolist()
-        if not order:
+        least = np.partition(losses, n - 2)[: n - 1] if len(losses) > n - 1 else losses
+        least = least[least < np.inf]
+        if not len(least):
             return []
-        limit = losses[order[-1]]
+        limit = least.max()
         tied = np.flatnonzero(losses == limit).tolist()
-        sure = [k for k in order if losses[k] < limit]
-        wanted = len(order) - len(sure)
+        sure = np.flatnonzero(losses < limit).tolist()
+        wanted = len(least) - len(sure)
         if len(tied) > wanted:
             late, rest = [], []
             for k in reversed(tied):
@@ -302,7 +359,7 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel(content.value)
-        for batch in slices(batches):
+        for batch in short_slices(batches, max_bytes=1_000_000):
             found = model.encode_all(next(columns_of(batch, "text")), n)
             flat = [entry for entries in found for entry in entries or ()]
             lengths = np.array([len(ids) // 4 for _, ids in flat], dtype=np.int32)

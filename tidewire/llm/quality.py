@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import carried, carried_row, columns_of, passed, passed_schema, slices
+from tidewire.llm.common import carried, carried_row, columns_of, passed, passed_schema, short_slices
 from tidewire.llm.logistic import fit_logistic, sigmoid
 
 # Bounds of the samples that the model is fitted on, in rows.
@@ -122,7 +122,7 @@ def fit_quality(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_c
 def _featured(rows: DataFrame) -> DataFrame:
     """Both views' features of sample rows, as float32 bytes."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in short_slices(batches):
             texts, sources, langs, sizes, labels = columns_of(batch, "text", "source", "lang", "n_chars", "label")
             a = [content_features(t).astype(np.float32).tobytes() for t in texts]
             b = [metadata_features(s, g, n, (t or "").count("\n")).astype(np.float32).tobytes()
@@ -183,7 +183,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", do
     model = fit_quality(parts[0], parts[1], np.array([r["label"] for r in known], dtype=float), parts[2], parts[3])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in short_slices(batches):
             texts, sources, langs, sizes = columns_of(batch, "text", "source", "lang", "n_chars")
             found = model.scores(
                 np.array([content_features(t) for t in texts]),
