@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +13,10 @@ from tidewire.operators.ranking import first_rows_per_group
 from tidewire.session import settle
 
 SIMILARITY = 0.8
-# Sets that lead with one word meet in parts of this size.
+# Sets that are entered under one word meet in parts of this size.
 CROWD = 500
+# Parity maps of a set, 64 bits each.
+PARITY_MAPS = 4
 BITS = 60
 BANDS = 10
 AGREEING = 8
@@ -90,41 +93,98 @@ def near_repeats(df: DataFrame, key: str, text: Column) -> DataFrame:
     return marked.withColumn("is_repeat", F.col("earliest") < F.col(key))
 
 
+def ordered_sets(df: DataFrame, key: str, text: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``key, set_id``, and the different sets of words: ``set_id, number, first, size, words, bits``.
+
+    ``words`` come rarest first, ties in their own order, ``first`` is the smallest key of the set and ``bits``
+    its parity map: each word flips one bit, so that two sets differ in at least as many words as their maps in bits.
+    """
+    marked = df.select(key, F.array_sort(F.array_distinct(F.filter(words(text), lambda w: w != ""))).alias("words"))
+    keyed = settle(marked.select(key, F.md5(F.concat_ws(" ", "words")).alias("set_id"), "words"))
+    sets = settle(keyed.groupBy("set_id").agg(F.min(key).alias("first"), F.first("words").alias("words")).withColumn(
+        "number", F.monotonically_increasing_id()))
+    single = sets.select("number", F.explode("words").alias("word"))
+    counts = settle(single.groupBy("word").agg(F.count("*").alias("n")))
+    place = F.pmod(F.xxhash64("word"), F.lit(64 * PARITY_MAPS))
+    flips = [F.bit_xor(F.when(F.floor(place / 64) == k, F.expr("shiftleft(1L, cast(pmod(xxhash64(word), 64) as int))")))
+             for k in range(PARITY_MAPS)]
+    ordered = lookup(single, counts, "word", "number", "inner").groupBy("number").agg(
+        F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ordered"), F.array(*flips).alias("bits"))
+    whole = sets.select("set_id", "number", "first").join(ordered, "number")
+    bits = F.transform("bits", lambda b: F.coalesce(b, F.lit(0).cast("long")))
+    return keyed.select(key, "set_id"), settle(whole.select(
+        "set_id", "number", "first", F.size("ordered").alias("size"), F.col("ordered")["word"].alias("words"), bits.alias("bits")))
+
+
+def least_shared(a_size: Column, b_size: Column, at_least: float) -> Column:
+    """How many words two sets share at least, if they are similar."""
+    return F.ceil((a_size + b_size) * (at_least / (1 + at_least)) - 1e-9).cast("int")
+
+
+def similar_candidates(sets: DataFrame, at_least: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
+    """Pairs ``a, b`` of set numbers that may be similar; all that are similar are among them.
+
+    In the order of rarity two similar sets share a word so early that enough others can follow it on both sides. The
+    smaller set is entered under its first words, as many as a partner of its own size leaves open; the larger one asks
+    under its first words for each class of sizes that a partner can have, with as many as that class leaves open. So
+    only sets of near sizes meet. Where they meet, the places of the word bound the words they share from above, and
+    their parity maps bound the words they differ in from below; a pair that fails either bound never leaves the join.
+    A word under which many sets are entered is split into parts that each meet all that ask for it.
+    """
+    size = F.col("size")
+    step = -math.log(at_least)
+    size_class = lambda n: F.floor(F.log(n) / step + 1e-9).cast("int")
+    narrow = ["number", "size", *[F.col("bits")[k].alias(f"bits{k}") for k in range(PARITY_MAPS)]]
+
+    def under(rows: DataFrame, kind: Column, open_places: Column) -> DataFrame:
+        each = rows.select(*narrow, kind.alias("kind"), F.posexplode(F.slice("words", 1, open_places)).alias("place", "word"))
+        return each.withColumn("meeting", F.xxhash64("word", "kind")).drop("word", "kind")
+
+    entered = under(sets, size_class(size), size - least_shared(size, size, at_least) + 1)
+    smallest = F.ceil(size * at_least - 1e-9).cast("int")
+    asking = sets.withColumn("kind", F.explode(F.sequence(size_class(smallest), size_class(size))))
+    # The smallest size of the class, or somewhat less; the partner is no smaller than that.
+    partner = F.least(size, F.greatest(smallest, F.floor(F.exp(F.col("kind") * step)).cast("int") - 1))
+    asked = under(asking, F.col("kind"), size - least_shared(size, partner, at_least) + 1)
+
+    crowds = settle(entered.groupBy("meeting").agg(F.count("*").alias("n")).filter(F.col("n") > crowd).select(
+        "meeting", F.ceil(F.col("n") / crowd).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    left = lookup(entered, crowds, "meeting", "number").withColumn("part", F.pmod(F.xxhash64("number"), parts).cast("int")).drop("parts")
+    right = lookup(asked, crowds, "meeting", "number").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    a, b = left.alias("a"), right.alias("b")
+    shared = least_shared(F.col("a.size"), F.col("b.size"), at_least)
+    ordered = (F.col("a.size") < F.col("b.size")) | (
+        (F.col("a.size") == F.col("b.size")) & (F.col("a.number") < F.col("b.number")))
+    follow = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
+    differ = sum((F.bit_count(F.col(f"a.bits{k}").bitwiseXOR(F.col(f"b.bits{k}"))) for k in range(PARITY_MAPS)), F.lit(0))
+    bound = (follow >= shared) & (differ <= F.col("a.size") + F.col("b.size") - 2 * shared)
+    met = a.join(b, (F.col("a.meeting") == F.col("b.meeting")) & (F.col("a.part") == F.col("b.part")) & ordered & bound)
+    return met.select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
+
+
 def similar_repeats(df: DataFrame, key: str, text: Column, at_least: float = SIMILARITY) -> DataFrame:
     """(key, earliest, is_repeat) by the Jaccard similarity of the sets of words.
 
     ``earliest`` is the smallest key among the rows with a similarity of ``at_least`` to the row, itself
-    included. All of them are found: two such sets share one of the rarest words of either, namely of
-    the first ``n - ceil(at_least * n) + 1`` of its ``n`` words in the order of their frequency. Equal
-    sets are one set from the start. Sets meet by those words and sizes, and are then compared in
-    full; a word that many sets lead with is split into parts that each meet all others.
+    included. All of them are found: see ``similar_candidates``. Equal sets are one set from the start; only the
+    words of candidates are fetched, and compared in full. A row without words is alike to all such rows.
     """
-    marked = df.select(key, F.array_sort(F.array_distinct(F.filter(words(text), lambda w: w != ""))).alias("words"))
-    keyed = settle(marked.select(key, F.md5(F.concat_ws(" ", "words")).alias("set_id"), "words"))
-    sets = settle(keyed.groupBy("set_id").agg(F.min(key).alias("first"), F.first("words").alias("words")))
-    single = sets.select("set_id", F.explode("words").alias("word"))
-    ordered = single.join(single.groupBy("word").agg(F.count("*").alias("n")), "word").groupBy("set_id").agg(
-        F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ordered"))
-    size = F.size("ordered")
-    leading = F.slice("ordered", 1, size - F.ceil(size * at_least - 1e-9).cast("int") + 1)
-    leads = settle(ordered.select("set_id", size.alias("size"), F.explode(leading["word"]).alias("word")))
-    crowds = leads.groupBy("word").agg(F.count("*").alias("crowd")).filter("crowd > 1").withColumn(
-        "parts", F.ceil(F.col("crowd") / CROWD).cast("int"))
-    met = settle(leads.join(crowds, "word"))
-    part = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
-    left = met.select("word", F.col("set_id").alias("a"), F.col("size").alias("a_size"), part.alias("part"))
-    right = met.select("word", F.col("set_id").alias("b"), F.col("size").alias("b_size"),
-                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    near_size = (F.col("b_size") >= F.col("a_size") * at_least) & (F.col("a_size") >= F.col("b_size") * at_least)
-    pairs = left.join(right, ["word", "part"]).filter((F.col("a") < F.col("b")) & near_size).select("a", "b").distinct()
-    whole = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("words").alias("a_words"), F.col("first").alias("a_first")), "a").join(
-        sets.select(F.col("set_id").alias("b"), F.col("words").alias("b_words"), F.col("first").alias("b_first")), "b")
+    keyed, sets = ordered_sets(df, key, text)
+    pairs = settle(similar_candidates(sets, at_least))
+    side = lambda name: sets.select(*[F.col(c).alias(n) for c, n in (
+        ("number", name), ("set_id", f"{name}_set"), ("words", f"{name}_words"), ("first", f"{name}_first"))])
+    whole = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("a_words", "b_words"))
-    similar = whole.filter(shared * (1 + at_least) >= (F.size("a_words") + F.size("b_words")) * at_least - 1e-9)
-    links = similar.select(F.col("a").alias("set_id"), F.col("b_first").alias("first")).unionByName(
-        similar.select(F.col("b").alias("set_id"), F.col("a_first").alias("first"))).unionByName(sets.select("set_id", "first"))
-    earliest = links.groupBy("set_id").agg(F.min("first").alias("earliest"))
-    told = lookup(keyed.select(key, "set_id"), settle(earliest), "set_id", spread_by=key, how="inner")
+    similar = settle(whole.filter(shared >= least_shared(F.size("a_words"), F.size("b_words"), at_least)).select(
+        "a_set", "b_set", "a_first", "b_first"))
+    links = similar.select(F.col("a_set").alias("set_id"), F.col("b_first").alias("first")).unionByName(
+        similar.select(F.col("b_set").alias("set_id"), F.col("a_first").alias("first")))
+    nearest = links.groupBy("set_id").agg(F.min("first").alias("linked"))
+    # Rows of a set of their own need its first key, all others also that of their links.
+    firsts = settle(keyed.groupBy("set_id").agg(F.min(key).alias("first")).join(nearest, "set_id", "left").select(
+        "set_id", F.least("first", "linked").alias("earliest")))
+    told = lookup(keyed, firsts, "set_id", spread_by=key, how="inner")
     return told.select(key, "earliest", (F.col("earliest") < F.col(key)).alias("is_repeat"))
 
 
