@@ -7,29 +7,47 @@ import json
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions.timecols import instant, logical_date_bj
 from tidewire.operators import report, scoring, select, tables
+from tidewire.operators.keys import BUCKETS, KeyTable, insert_new_keys
+from tidewire.operators.ledger import INGESTED, SCORED, SCORING, Ledger, batch_name
 from tidewire.operators.lookup import rows_with_keys
 from tidewire.params import ReportParams, ScoringParams, SelectionParams
 from tidewire.schemas import ARTICLE_SCORES, ARTICLES, TRENDING
 from tidewire.session import build_session, released, settle, use_utc
 from tidewire.sources import landing, sinks
+from tidewire.sources.tablefiles import drop_partitions, read_table
 
 # Rows that cannot be stored, and unreadable lines with their text.
-REJECTS = T.StructType([*ARTICLES.fields, T.StructField("kind", T.StringType()), T.StructField("line", T.StringType())])
-STORED_SCORES = T.StructType([*ARTICLE_SCORES.fields, T.StructField("logical_date", T.DateType())])
+REJECTS = T.StructType([*ARTICLES.fields, *[T.StructField(n, T.StringType()) for n in ("line", "batch", "kind")]])
+STORED_ARTICLES = T.StructType([*ARTICLES.fields, T.StructField("batch", T.StringType())])
+STORED_SCORES = T.StructType([
+    *ARTICLE_SCORES.fields, T.StructField("logical_date", T.DateType()), T.StructField("run", T.StringType())])
+SET_ASIDE = T.StructType([*ARTICLE_SCORES.fields, T.StructField("run", T.StringType())])
 
 
 @dataclass(frozen=True)
 class Store:
-    """Where the tables of a pipeline live. ``articles`` and ``scores`` are partitioned by logical date."""
+    """Where the tables of a pipeline live.
+
+    ``articles`` are partitioned by logical date and batch, ``scores`` by logical date and scoring run; ``ledger`` tells
+    which batches are stored and scored.
+    """
 
     root: str
+    key_buckets: int = BUCKETS
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
+    @property
+    def keys(self) -> str:
+        return f"{self.root}/article_keys"
 
     @property
     def articles(self) -> str:
@@ -56,16 +74,6 @@ class Store:
         return f"{self.root}/reports"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, empty if nothing was written yet. Columns that older files lack are NULL."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def read_trending(spark: SparkSession, store: Store) -> tuple[DataFrame, int]:
     """The newest version of the concept table and its number (0: none yet)."""
     versions = read_table(spark, store.trending, T.StructType([*TRENDING.fields, T.StructField("v", T.IntegerType())]))
@@ -75,38 +83,55 @@ def read_trending(spark: SparkSession, store: Store) -> tuple[DataFrame, int]:
 
 def refresh_trending(spark: SparkSession, store: Store, path: str, now: datetime | str, p: SelectionParams) -> None:
     """Upsert the landed concepts into a new version of the table."""
-    note_unreadable(spark, store, landing.landed_trending(spark, path), "trending line")
+    note_unreadable(spark, store, landing.landed_trending(spark, path), "trending line", batch_name("trending", now))
     current, version = read_trending(spark, store)
     updates = select.top_trending(landing.read_trending(spark, path, now), p).select(current.columns)
     sinks.write_version(tables.upsert_latest(current, updates), store.trending, version + 1)
 
 
-def note_unreadable(spark: SparkSession, store: Store, landed: DataFrame, kind: str) -> None:
-    """Keep the text of unreadable lines among the rejects."""
-    lines = landing.unreadable(landed, kind)
+def note_rejects(spark: SparkSession, store: Store, rows: DataFrame, kind: str, batch: str) -> None:
+    """Keep what cannot be stored. Batch and kind name its partition, so a batch that is read again replaces its own."""
     empty = spark.createDataFrame([], REJECTS)
-    sinks.append_table(empty.unionByName(lines, allowMissingColumns=True), store.rejects)
+    marked = empty.unionByName(rows.withColumns({"kind": F.lit(kind), "batch": F.lit(batch)}), allowMissingColumns=True)
+    sinks.replace_partitions(marked, store.rejects, ["batch", "kind"])
 
 
-def store_articles(spark: SparkSession, store: Store, flat: DataFrame) -> None:
-    """Append the new rows of a batch, of each id the first to arrive, and its rejects. A second run of
-    the same batch adds no article; rejects have no key and are noted again."""
+def note_unreadable(spark: SparkSession, store: Store, landed: DataFrame, kind: str, batch: str) -> None:
+    """Keep the text of unreadable lines among the rejects."""
+    note_rejects(spark, store, landing.unreadable(landed, kind).select("line"), kind, batch)
+
+
+def store_articles(spark: SparkSession, store: Store, flat: DataFrame, batch: str | None = None,
+                   now: datetime | str = "1970-01-01T00:00:00Z") -> None:
+    """Append the new rows of a batch, of each id the first to arrive, and its rejects.
+
+    A batch that the ledger holds as ingested changes nothing. One that was interrupted is stored anew: its own
+    partitions go first, and keys that it brought itself are not known ones.
+    """
+    name, ledger = batch or batch_name(), Ledger(spark, store.ledger)
+    if ledger.has(name):
+        return
+    keys = KeyTable(spark, store.keys, "id", store.key_buckets)
+    drop_partitions(spark, store.articles, "batch", [name])
+    keys.rebuild(read_table(spark, store.articles, STORED_ARTICLES).select("id", "batch"))
     kept, bad = tables.split_rejects(settle(flat))
-    known = read_table(spark, store.articles, ARTICLES)
-    fresh = tables.insert_new(kept, known, "id", tables.batch_order(kept))
-    sinks.append_table(fresh.select(ARTICLES.fieldNames()), store.articles, by="logical_date")
-    empty = spark.createDataFrame([], REJECTS)
-    marked = bad.select(*[c for c in ARTICLES.fieldNames() if c in bad.columns]).withColumn("kind", F.lit("article"))
-    sinks.append_table(empty.unionByName(marked, allowMissingColumns=True), store.rejects)
+    fresh = insert_new_keys(kept, keys, name).select(ARTICLES.fieldNames()).withColumn("batch", F.lit(name))
+    sinks.append_table(fresh, store.articles, by=["logical_date", "batch"])
+    keys.add(read_table(spark, store.articles, STORED_ARTICLES).filter(F.col("batch") == name).select("id", "batch"))
+    note_rejects(spark, store, bad.select(*[c for c in ARTICLES.fieldNames() if c in bad.columns]), "article", name)
+    ledger.note([name], INGESTED, now)
 
 
 def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: str, now: datetime | str,
            p: SelectionParams, trusted: DataFrame | None = None, cutoff_hour: int = 6) -> None:
-    """Store the newest articles of the selected events."""
-    note_unreadable(spark, store, landing.landed_events(spark, events_path), "event line")
+    """Store the newest articles of the selected events, as one batch under the time of the run."""
+    name = batch_name("ingest", now)
+    if Ledger(spark, store.ledger).has(name):
+        return
+    note_unreadable(spark, store, landing.landed_events(spark, events_path), "event line", name)
     events = settle(select.select_events(landing.read_events(spark, events_path), p, now, trusted))
     landed = landing.read_articles(spark, articles_path)
-    note_unreadable(spark, store, landed, "article line")
+    note_unreadable(spark, store, landed, "article line", name)
     flat = landing.flatten_articles(landed.filter(F.col(landing.CORRUPT).isNull()), now, cutoff_hour)
     sized = settle(select.attach_event_size(flat, events))
     without_id = sized.filter(F.col("id").isNull())
@@ -114,29 +139,47 @@ def ingest(spark: SparkSession, store: Store, articles_path: str, events_path: s
     narrow = sized.filter(F.col("id").isNotNull()).select("id", "event_uri", "published_at", "arrival")
     newest = select.latest_per_event(tables.one_per_key(narrow), p.articles_per_event).select("id", "arrival")
     chosen = rows_with_keys(sized, settle(newest), "arrival")
-    store_articles(spark, store, chosen.unionByName(without_id))
+    store_articles(spark, store, chosen.unionByName(without_id), name, now)
+
+
+def scoring_queue(spark: SparkSession, store: Store, batches: list[str]) -> DataFrame:
+    """The articles of batches that wait for scores: only their partitions are read, and no history is joined."""
+    return read_table(spark, store.articles, STORED_ARTICLES).filter(F.col("batch").isin(batches))
 
 
 def score_new(spark: SparkSession, store: Store, now: datetime | str, p: ScoringParams, cutoff_hour: int = 6) -> None:
-    """Score every article without a score; rows that cannot be scored are set aside once."""
-    known = read_table(spark, store.articles, ARTICLES)
-    done = read_table(spark, store.scores, STORED_SCORES)
-    aside = read_table(spark, store.unscorable, ARTICLE_SCORES)
-    queue = tables.unscored(known, done, aside)
-    if queue.isEmpty():
+    """Score the articles of all open batches, as one scope; rows that cannot be scored are set aside.
+
+    What an interrupted run wrote is removed first, and its batches are open still.
+    """
+    ledger = Ledger(spark, store.ledger)
+    interrupted = ledger.interrupted_runs()
+    for path in (store.scores, store.unscorable):
+        drop_partitions(spark, path, "run", interrupted)
+    batches = ledger.open_batches()
+    if not batches:
         return
-    trending, _ = read_trending(spark, store)
-    scored, unscorable = scoring.split_unscorable(scoring.score_articles(queue, trending, p, now))
-    dated = scored.withColumn("logical_date", logical_date_bj(F.col("published_at"), cutoff_hour))
-    sinks.append_table(unscorable, store.unscorable)
-    sinks.append_table(dated, store.scores, by="logical_date")
+    run = batch_name(now, batch_name()[:8])
+    queue = scoring_queue(spark, store, batches)
+    ledger.note(batches, SCORING, now, run)
+    if not queue.isEmpty():
+        trending, _ = read_trending(spark, store)
+        scored, unscorable = scoring.split_unscorable(scoring.score_articles(queue, trending, p, now))
+        dated = scored.withColumn("logical_date", logical_date_bj(F.col("published_at"), cutoff_hour))
+        sinks.append_table(unscorable.withColumn("run", F.lit(run)), store.unscorable, by="run")
+        sinks.append_table(dated.withColumn("run", F.lit(run)), store.scores, by=["logical_date", "run"])
+    ledger.note(batches, SCORED, now, run)
+    # Noted so far as begun, an interrupted run is forgotten once its batches are scored.
+    if interrupted:
+        for old in interrupted:
+            ledger.note([""], SCORED, now, old)
 
 
 def write_day_report(spark: SparkSession, store: Store, day: date | str, now: datetime | str, p: ReportParams,
                      run_type: str = "scheduled") -> None:
     """Write the report of one date under the name of its run; a date without scored articles leaves none."""
     scored = tables.with_flag_defaults(read_table(spark, store.scores, STORED_SCORES))
-    rows = settle(report.daily_report(scored, read_table(spark, store.articles, ARTICLES), day, p))
+    rows = settle(report.daily_report(scored, read_table(spark, store.articles, STORED_ARTICLES), day, p))
     if not rows.isEmpty():
         sinks.write_report(report.report_lines(rows, now, p), store.reports, run_type, instant(now))
 

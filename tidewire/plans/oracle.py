@@ -440,6 +440,15 @@ SELECT n + 2, 'summary_2024-01-10_scheduled_22-00-00.json', NULL, NULL FROM n"""
 SELECT k || ' line' AS kind, '{"uri": "broken ' || doc_id AS value FROM documents, (VALUES ('article'), ('event'), ('trending')) kinds(k) UNION ALL
 SELECT 'event', uri FROM event_objects UNION ALL
 SELECT 'trending', uri FROM (SELECT uri FROM trending ORDER BY trending.score DESC, uri LIMIT 200)"""),
+    "batch_queue": view_of("""
+SELECT id, 'second' AS batch, CAST(CAST(published_at + INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS logical_date
+FROM articles WHERE published_at >= TIMESTAMP '2024-01-15'"""),
+    "resumed_scoring": view_of(
+        "SELECT id, final_score_v2, is_suppressed, CAST(logical_date AS VARCHAR) AS logical_date FROM scored"),
+    "replayed_batch": """
+SELECT table_name, n_rows, pass FROM (
+  SELECT 'articles' AS table_name, count(*) AS n_rows FROM events UNION ALL SELECT 'rejects', count(*) FROM documents), (VALUES (1), (2)) p(pass)""",
+    "insert_by_keys": view_of("SELECT id, title FROM articles WHERE published_at >= TIMESTAMP '2024-01-15'"),
     "first_of_batch": view_of("SELECT id, title FROM articles"),
     "schema_check": """
 SELECT c AS column_name, (SELECT count(*) FROM events) AS n

@@ -13,7 +13,8 @@ from tidewire.functions import scores as S
 from tidewire.functions import text as X
 from tidewire.functions import timecols as TC
 from tidewire.functions.concepts import concept_uris, mentions_any, uri_set
-from tidewire.operators import cards, dedup, monitor, ranking, report, scoring, select, tables
+from tidewire.operators import cards, dedup, keys, monitor, ranking, report, scoring, select, tables
+from tidewire.operators.ledger import SCORING, Ledger
 from tidewire.operators.lookup import lookup
 from tidewire.params import ReportParams, SelectionParams
 from tidewire.plans import daily
@@ -793,6 +794,71 @@ def ingest_landed_files(spark, sf):
     return rows.select("id", "title", "source_name", stamp("published_at"), day_text("logical_date"), "published_at_imputed")
 
 
+def stored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All articles as rows of the stored table."""
+    concepts = F.from_json(F.to_json("concepts"), schemas.ARTICLES["concepts"].dataType)
+    rows = V.articles(spark, sf).withColumns({
+        "body": F.col("title"), "concepts": concepts, "published_at_imputed": F.lit(False),
+        "logical_date": TC.logical_date_bj(F.col("published_at"))})
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.ARTICLES.fields])
+
+
+def two_batches(spark: SparkSession, sf: str) -> daily.Store:
+    """A store whose first batch, half of the month, is scored, and whose second waits."""
+    store, rows, at = daily.Store(scratch(spark, "store"), key_buckets=8), stored_rows(spark, sf), V.as_of(spark, sf)
+    sinks.write_version(V.trending(spark, sf).withColumn("updated_at", F.col("updated_at").cast("timestamp")), store.trending, 1)
+    early = F.col("published_at") < F.lit("2024-01-15 00:00:00").cast("timestamp")
+    daily.store_articles(spark, store, rows.filter(early), "first", at)
+    daily.score_new(spark, store, at, V.PARAMS)
+    daily.store_articles(spark, store, rows, "second", at)
+    return store
+
+
+@query
+def batch_queue(spark, sf):
+    """What waits for a score by the ledger: the articles that the second batch brought."""
+    store = two_batches(spark, sf)
+    return daily.scoring_queue(spark, store, Ledger(spark, store.ledger).open_batches()).select("id", "batch", day_text("logical_date"))
+
+
+@query
+def resumed_scoring(spark, sf):
+    """A scoring run that was interrupted behind its scores, done again: each article has one score."""
+    store, at = daily.Store(scratch(spark, "store"), key_buckets=8), V.as_of(spark, sf)
+    sinks.write_version(V.trending(spark, sf).withColumn("updated_at", F.col("updated_at").cast("timestamp")), store.trending, 1)
+    daily.store_articles(spark, store, stored_rows(spark, sf), "only", at)
+    Ledger(spark, store.ledger).note(["only"], SCORING, at, "interrupted")
+    left = V.scores(spark, sf).withColumns({"final_score_v2": F.lit(-1.0), "run": F.lit("interrupted"), "logical_date": TC.logical_date_bj(F.col("published_at"))})
+    sinks.append_table(left, store.scores, by=["logical_date", "run"])
+    daily.score_new(spark, store, at, V.PARAMS)
+    rows = daily.read_table(spark, store.scores, daily.STORED_SCORES)
+    return rows.select("id", r6("final_score_v2", "final_score_v2"), "is_suppressed", day_text("logical_date"))
+
+
+@query
+def replayed_batch(spark, sf):
+    """A batch of the stream, with unreadable lines, that arrives twice: how much is stored after each time."""
+    folder, store, passes = scratch(spark, "landed"), daily.Store(scratch(spark, "store"), key_buckets=8), []
+    broken = V.table(spark, sf, "documents").select(F.concat(F.lit('{"uri": "broken '), "doc_id").alias("value"))
+    article_lines(spark, sf).unionByName(broken).write.text(folder)
+    for number in (1, 2):
+        incremental.ingest_batch(store, spark.read.text(folder).select("value", "_metadata"), "stream-0", GENERATED_AT)
+        counts = [tables.row_count(daily.read_table(spark, path, schema)).withColumn("table_name", F.lit(name)) for name, path, schema in (
+            ("articles", store.articles, daily.STORED_ARTICLES), ("rejects", store.rejects, daily.REJECTS))]
+        passes.append(settle(tables.unify(counts).withColumn("pass", F.lit(number))))
+    return tables.unify(passes)
+
+
+@query
+def insert_by_keys(spark, sf):
+    """All articles arrive, those on errors twice; the keys of the first half of the month are in buckets."""
+    known = keys.KeyTable(spark, scratch(spark, "keys"), buckets=8)
+    rows = V.plain_articles(spark, sf).select("id", "title", "published_at", F.lit(0).alias("arrival"))
+    known.rebuild(rows.filter(EARLIER).withColumn("batch", F.lit("first")))
+    again = rows.filter(F.startswith("title", F.lit("error"))).withColumns({"title": F.concat("title", F.lit(" again")), "arrival": F.lit(1)})
+    return keys.insert_new_keys(rows.unionByName(again), known, "second").select("id", "title")
+
+
 @query
 def landed_rejects(spark, sf):
     """Good and broken lines of each kind: what is stored, and the broken lines among the rejects."""

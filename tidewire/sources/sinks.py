@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,18 +58,23 @@ def append_daily(texts: DataFrame, path: str) -> None:
     texts.select("date", "text").hint("rebalance", "date").write.mode("append").partitionBy("date").text(path)
 
 
-def append_table(df: DataFrame, path: str, by: str | None = None) -> None:
+def append_table(df: DataFrame, path: str, by: str | Sequence[str] | None = None) -> None:
     """Append rows to a table. Rows of one partition value are brought together, and a value with
     many rows is split over several tasks (rebalance), so that files are few but never huge."""
-    if by is None:
-        df.write.mode("append").parquet(path)
+    names = [by] if isinstance(by, str) else list(by or ())
+    if names:
+        df.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
     else:
-        df.hint("rebalance", by).write.mode("append").partitionBy(by).parquet(path)
+        df.write.mode("append").parquet(path)
 
 
-def replace_dates(df: DataFrame, path: str, by: str = "logical_date") -> None:
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace only the partitions that occur in ``df``; it must not read from ``path``."""
-    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def replace_dates(df: DataFrame, path: str, by: str = "logical_date") -> None:
+    replace_partitions(df, path, [by])
 
 
 def write_version(df: DataFrame, path: str, version: int) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewire.operators.ledger import Ledger, batch_name
 from tidewire.params import ScoringParams
 from tidewire.plans.daily import Store, note_unreadable, score_new, store_articles
 from tidewire.schemas import LANDED_ARTICLE
@@ -20,14 +21,27 @@ from tidewire.session import settle, use_utc
 from tidewire.sources import landing
 
 
+def ingest_batch(store: Store, batch: DataFrame, name: str, now: datetime | str, cutoff_hour: int = 6) -> None:
+    """Store the articles and rejects of one batch of landed lines, once however often it is replayed."""
+    spark = batch.sparkSession
+    if Ledger(spark, store.ledger).has(name):
+        return
+    landed_rows = settle(landing.parsed_lines(landing.arrived_lines(batch), LANDED_ARTICLE))
+    note_unreadable(spark, store, landed_rows, "article line", name)
+    good = landed_rows.filter(F.col(landing.CORRUPT).isNull())
+    store_articles(spark, store, landing.flatten_articles(good, now, cutoff_hour), name, now)
+
+
 def ingest_available(spark: SparkSession, store: Store, landed: str, checkpoint: str, now: datetime | str,
                      cutoff_hour: int = 6) -> StreamingQuery:
-    """Append the articles of all new files. A replayed batch adds nothing, because stored ids win."""
-    def append(batch: DataFrame, _: int) -> None:
-        landed_rows = settle(landing.parsed_lines(landing.arrived_lines(batch), LANDED_ARTICLE))
-        note_unreadable(batch.sparkSession, store, landed_rows, "article line")
-        good = landed_rows.filter(F.col(landing.CORRUPT).isNull())
-        store_articles(batch.sparkSession, store, landing.flatten_articles(good, now, cutoff_hour))
+    """Append the articles of all new files.
+
+    A batch is named by the stream, whose id stays with its checkpoint, and its number, so a replayed batch is found
+    in the ledger and changes neither articles nor rejects; one that was interrupted is stored anew.
+    """
+    def append(batch: DataFrame, number: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest_batch(store, batch, batch_name("stream", stream_id, number), now, cutoff_hour)
 
     stream = use_utc(spark).readStream.text(landed).select("value", "_metadata")
     return (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
