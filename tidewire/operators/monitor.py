@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.functions import text as X
 from tidewire.functions.timecols import logical_date_bj, recent
 from tidewire.operators.ranking import top_rows
 
@@ -46,7 +48,8 @@ def batch_suppression(scored: DataFrame) -> DataFrame:
     })
 
 
-def _flag_counts() -> list[Column]:
+def flag_counts() -> list[Column]:
+    """Counts of articles per flag."""
     return [
         F.count("*").alias("total_articles"),
         F.count_if("is_routine_topic").alias("routine_topic_articles"),
@@ -57,7 +60,7 @@ def _flag_counts() -> list[Column]:
     ]
 
 
-def _with_rates(counts: DataFrame) -> DataFrame:
+def with_rates(counts: DataFrame) -> DataFrame:
     return counts.withColumns({
         "suppression_rate": percent(F.col("suppressed_articles"), F.col("total_articles")),
         "downweight_rate": percent(F.col("downweighted_articles"), F.col("total_articles")),
@@ -67,7 +70,7 @@ def _with_rates(counts: DataFrame) -> DataFrame:
 def suppression_monitor(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24) -> DataFrame:
     """Flag counts and rates of the trailing window."""
     rows = recent(scored, as_of, hours)
-    return _with_rates(rows.agg(*_flag_counts())).withColumnRenamed("total_articles", "total_articles_24h")
+    return with_rates(rows.agg(*flag_counts())).withColumnRenamed("total_articles", "total_articles_24h")
 
 
 def suppression_summary(scored: DataFrame, as_of: Column | datetime | str, hours: float = 24) -> DataFrame:
@@ -113,11 +116,11 @@ def topic_class_distribution(scored: DataFrame, as_of: Column | datetime | str,
 def suppression_trend(scored: DataFrame, cutoff_hour: int = 6) -> DataFrame:
     """Flag counts and rates per logical date."""
     dated = scored.withColumn("logical_date", logical_date_bj(F.col("published_at"), cutoff_hour))
-    return _with_rates(dated.groupBy("logical_date").agg(*_flag_counts()))
+    return with_rates(dated.groupBy("logical_date").agg(*flag_counts()))
 
 
 def suppression_by_source(scored: DataFrame) -> DataFrame:
-    return _with_rates(scored.groupBy("source_name").agg(*_flag_counts()))
+    return with_rates(scored.groupBy("source_name").agg(*flag_counts()))
 
 
 def damping_effect(scored: DataFrame) -> DataFrame:
@@ -130,11 +133,13 @@ def damping_effect(scored: DataFrame) -> DataFrame:
     )
 
 
+def treatment() -> Column:
+    return F.when(F.col("is_suppressed"), "suppressed").when(F.col("is_downweighted"), "downweighted").otherwise("untouched")
+
+
 def quality_by_treatment(scored: DataFrame, high: float = 0.6) -> DataFrame:
     """Authority and final score of damped and untouched articles."""
-    treatment = F.when(F.col("is_suppressed"), "suppressed").when(
-        F.col("is_downweighted"), "downweighted").otherwise("untouched")
-    return scored.groupBy(treatment.alias("treatment")).agg(
+    return scored.groupBy(treatment().alias("treatment")).agg(
         F.count("*").alias("article_count"),
         F.avg("rep_norm").alias("avg_authority"),
         F.avg("final_score_v2").alias("avg_final_score"),
@@ -172,3 +177,41 @@ def run_metrics(candidates: DataFrame, cards: DataFrame, wanted: int = 10, dry_r
         F.lit(last_error).alias("last_error"),
         F.lit(not dry_run and not fallback_used and not last_error).alias("schema_validated"),
     )
+
+
+class ObservedRun:
+    """Metrics of a briefing run, counted while its tables are written, so that nothing is read again for them.
+
+    Each method returns its table with an observation; the observed tables must be written once before ``metrics``.
+    """
+
+    def __init__(self, bytes_per_token: float = 4.0):
+        self.bytes_per_token = bytes_per_token
+        self.parts = {name: Observation(name) for name in ("candidates", "prompts", "briefings", "cards")}
+
+    def candidates(self, rows: DataFrame, on_day: Column) -> DataFrame:
+        """Report rows; those that are not ``on_day`` come from another report, which stands in for that of the day."""
+        return rows.observe(self.parts["candidates"], F.count("*").alias("n_candidates"),
+                            F.coalesce(F.bool_or(~on_day), F.lit(False)).alias("fallback_used"))
+
+    def prompts(self, rows: DataFrame, prompt: Column) -> DataFrame:
+        return rows.observe(self.parts["prompts"], F.count("*").alias("n_prompts"),
+                            F.coalesce(F.sum(X.utf8_size(prompt)), F.lit(0)).alias("prompt_bytes"))
+
+    def briefings(self, rows: DataFrame, text: Column) -> DataFrame:
+        """Answers; each block of topics that one lacks is asked for again."""
+        again = F.coalesce(F.size(X.missing_ranges(X.last_topic_number(text))), F.lit(0))
+        return rows.observe(self.parts["briefings"], F.count("*").alias("n_briefings"),
+                            F.coalesce(F.sum(F.greatest(again, F.lit(0))), F.lit(0)).alias("retries"),
+                            F.coalesce(F.bool_and(again <= 0), F.lit(False)).alias("is_complete"))
+
+    def cards(self, rows: DataFrame, valid: Column) -> DataFrame:
+        return rows.observe(self.parts["cards"], F.count("*").alias("n_cards"),
+                            F.coalesce(F.bool_and(valid), F.lit(False)).alias("schema_validated"))
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """One row of what was observed; waits for the writes of all four tables."""
+        found = {name: value for part in self.parts.values() for name, value in part.get.items()}
+        found["token_estimate"] = math.ceil(found["prompt_bytes"] / self.bytes_per_token)
+        found["dry_run"] = found["n_prompts"] > 0 and found["n_briefings"] == 0
+        return spark.range(1).select(*[F.lit(v).alias(n) for n, v in sorted(found.items())])

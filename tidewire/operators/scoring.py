@@ -19,7 +19,7 @@ from tidewire.functions.concepts import concept_uris, mentions_any
 from tidewire.functions.timecols import instant, since
 from tidewire.operators.lookup import lookup
 from tidewire.params import ScoringParams, uri_list
-from tidewire.schemas import require_columns
+from tidewire.schemas import DECLARED_SCORES, require_columns, with_declarations
 from tidewire.session import settle
 
 ARTICLE_COLUMNS = [
@@ -123,7 +123,8 @@ def score_articles(articles: DataFrame, trending: DataFrame, params: ScoringPara
     now = instant(as_of)
     raw = raw_scores(articles, current_trending(trending, p, as_of), p)
     scored = total(damped(normalised(raw), p, now), p)
-    return scored.select(*ARTICLE_COLUMNS, *SCORE_COLUMNS, *FLAG_COLUMNS, now.alias("scored_as_of"))
+    stored = scored.select(*ARTICLE_COLUMNS, *SCORE_COLUMNS, *FLAG_COLUMNS, now.alias("scored_as_of"))
+    return with_declarations(stored, DECLARED_SCORES)
 
 
 def split_unscorable(scored: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions.timecols import instant, logical_date_bj
-from tidewire.operators import report, scoring, select, tables
+from tidewire.operators import daily_state, report, scoring, select, tables
 from tidewire.operators.keys import BUCKETS, KeyTable, insert_new_keys
 from tidewire.operators.ledger import INGESTED, SCORED, SCORING, Ledger, batch_name
 from tidewire.operators.lookup import rows_with_keys
@@ -27,6 +27,7 @@ REJECTS = T.StructType([*ARTICLES.fields, *[T.StructField(n, T.StringType()) for
 STORED_ARTICLES = T.StructType([*ARTICLES.fields, T.StructField("batch", T.StringType())])
 STORED_SCORES = T.StructType([
     *ARTICLE_SCORES.fields, T.StructField("logical_date", T.DateType()), T.StructField("run", T.StringType())])
+STATE = T.StructType([*daily_state.STATE.fields, T.StructField("run", T.StringType())])
 SET_ASIDE = T.StructType([*ARTICLE_SCORES.fields, T.StructField("run", T.StringType())])
 
 
@@ -57,6 +58,10 @@ class Store:
     def scores(self) -> str:
         return f"{self.root}/article_scores"
 
+    @property
+    def state(self) -> str:
+        return f"{self.root}/daily_state"
+
     @property
     def unscorable(self) -> str:
         return f"{self.root}/unscorable"
@@ -154,7 +159,7 @@ def score_new(spark: SparkSession, store: Store, now: datetime | str, p: Scoring
     """
     ledger = Ledger(spark, store.ledger)
     interrupted = ledger.interrupted_runs()
-    for path in (store.scores, store.unscorable):
+    for path in (store.scores, store.unscorable, store.state):
         drop_partitions(spark, path, "run", interrupted)
     batches = ledger.open_batches()
     if not batches:
@@ -168,6 +173,8 @@ def score_new(spark: SparkSession, store: Store, now: datetime | str, p: Scoring
         dated = scored.withColumn("logical_date", logical_date_bj(F.col("published_at"), cutoff_hour))
         sinks.append_table(unscorable.withColumn("run", F.lit(run)), store.unscorable, by="run")
         sinks.append_table(dated.withColumn("run", F.lit(run)), store.scores, by=["logical_date", "run"])
+        stored = read_table(spark, store.scores, STORED_SCORES).filter(F.col("run") == run)
+        sinks.append_table(daily_state.partials(stored, cutoff_hour).withColumn("run", F.lit(run)), store.state, by="run")
     ledger.note(batches, SCORED, now, run)
     # Noted so far as begun, an interrupted run is forgotten once its batches are scored.
     if interrupted:
@@ -175,6 +182,15 @@ def score_new(spark: SparkSession, store: Store, now: datetime | str, p: Scoring
             ledger.note([""], SCORED, now, old)
 
 
+def delete_scores(spark: SparkSession, store: Store, day: date | str, now: datetime | str, cutoff_hour: int = 6) -> None:
+    """Take the scores of one logical date back: out of the state by a correction, then out of the table."""
+    scores = read_table(spark, store.scores, STORED_SCORES).filter(F.col("logical_date") == F.lit(str(day)).cast("date"))
+    back = settle(daily_state.partials(scores, cutoff_hour, sign=-1))
+    # Under the name of this deletion, so that one that is done again does not count twice.
+    sinks.replace_partitions(back.withColumn("run", F.lit(batch_name("delete", day, now))), store.state, ["run"])
+    drop_partitions(spark, store.scores, "logical_date", [str(day)])
+
+
 def write_day_report(spark: SparkSession, store: Store, day: date | str, now: datetime | str, p: ReportParams,
                      run_type: str = "scheduled") -> None:
     """Write the report of one date under the name of its run; a date without scored articles leaves none."""

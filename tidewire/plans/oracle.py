@@ -287,7 +287,30 @@ SELECT 'p' || page_id, 'none', url, 'none', 'none', length(html) FROM pages"""),
     "column_check": view_of("""
 , c AS (SELECT count(*) AS total, count(*) FILTER (published_at < TIMESTAMP '2024-01-15') AS n FROM articles)
 SELECT unnest(['is_breaking_news', 'is_category_topic', 'is_downweighted', 'is_routine_topic', 'is_suppressed']) AS column_name,
-  'boolean' AS data_type, 'false' AS column_default, n AS n_values, total - n AS n_null FROM c"""),
+  'boolean' AS data_type, 'false' AS column_default, false AS is_nullable, n AS n_values, total - n AS n_null FROM c"""),
+    "declared_columns": view_of("""
+, c AS (SELECT count(*) AS n, count(*) FILTER (is_downweighted) AS d FROM scored)
+SELECT file, column_name, column_default, is_nullable, CASE WHEN file = 'lacks' AND column_name = 'is_breaking_news' THEN 0
+    WHEN file = 'nullable' AND column_name = 'is_downweighted' THEN d ELSE n END AS n_values,
+  CASE WHEN file = 'lacks' AND column_name = 'is_breaking_news' THEN n WHEN file = 'nullable' AND column_name = 'is_downweighted' THEN n - d ELSE 0 END AS n_null,
+  difference
+FROM c, (VALUES
+  ('lacks', 'is_suppressed', 'false', false, 'as declared'), ('lacks', 'is_downweighted', 'false', false, 'as declared'),
+  ('lacks', 'is_breaking_news', 'none', true, 'missing'),
+  ('other', 'is_suppressed', 'true', false, 'default true instead of false'), ('other', 'is_downweighted', 'false', false, 'as declared'),
+  ('other', 'is_breaking_news', 'false', false, 'as declared'),
+  ('nullable', 'is_suppressed', 'false', false, 'as declared'), ('nullable', 'is_downweighted', 'false', true, 'required False instead of True'),
+  ('nullable', 'is_breaking_news', 'false', false, 'as declared')) v(file, column_name, column_default, is_nullable, difference)"""),
+    "added_column": view_of("SELECT id, " + ", ".join(
+        f"published_at >= TIMESTAMP '2024-01-15' AND {flag} AS {flag}" for flag in (
+            "is_routine_topic", "is_category_topic", "is_breaking_news", "is_suppressed", "is_downweighted")) + " FROM scored"),
+    "observed_metrics": view_of("""
+, doc AS (SELECT doc_id % 12 AS last, strlen('From ' || doc_id || ':' || chr(10) || text) AS prompt_bytes FROM documents)
+SELECT (SELECT count(*) FROM scored) AS n_candidates, count(*) AS n_prompts, sum(prompt_bytes)::BIGINT AS prompt_bytes,
+  CAST(ceil(sum(prompt_bytes) / 4.0) AS BIGINT) AS token_estimate, count(*) AS n_briefings, sum(last)::BIGINT AS n_cards,
+  sum(CASE WHEN last < 10 THEN (14 - last) // 5 ELSE 0 END)::BIGINT AS retries, false AS is_complete,
+  (SELECT count(*) FROM scored WHERE logical_date <> DATE '2024-01-10') > 0 AS fallback_used, true AS schema_validated, false AS dry_run
+FROM doc"""),
     "latest_raw_rows": "SELECT event_id, left(event_type, 4) AS title_snip, " + stamp("ts", "published_at")
                        + " FROM events ORDER BY event_id DESC LIMIT 3",
     "latest_summaries": "SELECT doc_id, left(text, 40) AS snip FROM documents ORDER BY doc_id DESC LIMIT 5",
@@ -480,3 +503,7 @@ SELECT id, event_uri, total_articles_in_event, round(entity_hot_score, 6) AS ent
 SELECT event_id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d_%H-%M-%S') || '_daily_briefing.md' AS briefing,
   'summary_' || strftime(ts + INTERVAL 8 HOUR - INTERVAL 1 DAY, '%Y-%m-%d') || '_manual_' || strftime(ts, '%H-%M-%S') || '.json' AS report FROM events""",
 }
+# The state of several runs gives what the whole history gives.
+ORACLE |= {state: ORACLE[whole] for state, whole in (
+    ("state_trend", "suppression_trend_daily"), ("state_by_source", "suppression_by_source"), ("state_effect", "damping_effect"),
+    ("state_quality", "quality_by_treatment"))}

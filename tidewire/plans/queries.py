@@ -13,7 +13,7 @@ from tidewire.functions import scores as S
 from tidewire.functions import text as X
 from tidewire.functions import timecols as TC
 from tidewire.functions.concepts import concept_uris, mentions_any, uri_set
-from tidewire.operators import cards, dedup, keys, monitor, ranking, report, scoring, select, tables
+from tidewire.operators import cards, daily_state, dedup, keys, monitor, ranking, report, scoring, select, tables
 from tidewire.operators.ledger import SCORING, Ledger
 from tidewire.operators.lookup import lookup
 from tidewire.params import ReportParams, SelectionParams
@@ -559,6 +559,95 @@ def run_metrics(spark, sf):
     return monitor.run_metrics(docs, docs.filter("lang = 'en'"))
 
 
+def state_of_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after three runs, each with rows of all dates; the third counted wrong scores first, and corrects them."""
+    folder, scored, turn = scratch(spark, "state"), V.scores(spark, sf), F.pmod(F.col("id").cast("long"), F.lit(3))
+    wrong = scored.filter(turn == 2).withColumns({
+        "final_score_v2": F.lit(9.0), "is_suppressed": ~F.col("is_suppressed"), "source_name": F.lit("unknown")})
+    runs = [daily_state.partials(scored.filter(turn == k)) for k in (0, 1)] + [
+        daily_state.partials(wrong),
+        daily_state.partials(wrong, sign=-1).unionByName(daily_state.partials(scored.filter(turn == 2)))]
+    for number, rows in enumerate(runs):
+        sinks.append_table(rows.withColumn("run", F.lit(f"run-{number}")), folder, by="run")
+    return daily.read_table(spark, folder, daily.STATE)
+
+
+@query
+def state_trend(spark, sf):
+    return daily_state.trend(state_of_runs(spark, sf)).withColumn("logical_date", F.col("logical_date").cast("string"))
+
+
+@query
+def state_by_source(spark, sf):
+    return daily_state.by_source(daily_state.compacted(state_of_runs(spark, sf)))
+
+
+@query
+def state_effect(spark, sf):
+    rows = daily_state.effect(state_of_runs(spark, sf))
+    return rows.select("topic_category", "article_count", *[r6(c, c) for c in ("avg_before", "avg_after", "avg_loss")])
+
+
+@query
+def state_quality(spark, sf):
+    rows = daily_state.quality(state_of_runs(spark, sf))
+    return rows.select("treatment", "article_count", r6("avg_authority", "avg_authority"),
+                       r6("avg_final_score", "avg_final_score"), "high_score_records")
+
+
+@query
+def observed_metrics(spark, sf):
+    """A run over all briefings whose metrics are counted by its own writes, and stored as a stage."""
+    folder, run = scratch(spark, "stages"), monitor.ObservedRun()
+    recent = V.scores(spark, sf).select("id", "final_score_v2", TC.logical_date_bj(F.col("published_at")).alias("logical_date"))
+    sinks.write_stage(run.candidates(recent, F.col("logical_date") == F.lit(DAY).cast("date")), folder, DAY, "prefiltered")
+    texts, docs = V.briefings(spark, sf), V.documents(spark, sf)
+    prompt = X.prompt(F.lit("From {source_filename}:\n{summary_content}"), F.col("doc_id").cast("string"), F.col("text"))
+    sinks.write_stage(run.prompts(docs.select("doc_id", prompt.alias("prompt")), F.col("prompt")), folder, DAY, "prompts")
+    sinks.write_stage(run.briefings(texts, F.col("text")), folder, DAY, "briefings")
+    parsed = cards.parse_cards(texts)
+    sinks.write_stage(run.cards(parsed, F.col("title").isNotNull() & F.col("date").isNotNull()), folder, DAY, "cards")
+    stored = sinks.write_stage(run.metrics(spark), folder, DAY, "metrics")
+    return spark.read.json(stored).select(
+        "n_candidates", "n_prompts", "prompt_bytes", "token_estimate", "n_briefings", "n_cards", "retries", "is_complete",
+        "fallback_used", "schema_validated", "dry_run")
+
+
+@query
+def declared_columns(spark, sf):
+    """Scores in files without a flag, with another default, and with a flag that may be NULL, as their files declare them."""
+    scored, folder = V.scores(spark, sf).select("id", "is_suppressed", "is_downweighted", "is_breaking_news"), scratch(spark, "declared")
+    fields = [f for f in schemas.DECLARED_SCORES.fields if f.name in scored.columns]
+    plain = schemas.T.StructType([schemas.T.StructField(f.name, f.dataType) for f in fields])
+    flags = {name: "false" for name in schemas.FLAG_DEFAULTS}
+    kinds = {
+        "lacks": (scored.drop("is_breaking_news"), schemas.declared(plain, flags, ["id", *flags])),
+        "other": (scored, schemas.declared(plain, {**flags, "is_suppressed": "true"}, ["id", *flags])),
+        "nullable": (scored.withColumn("is_downweighted", F.when(F.col("is_downweighted"), True)), schemas.declared(
+            plain, flags, ["id", "is_suppressed", "is_breaking_news"]))}
+    expected, found = schemas.T.StructType(fields), []
+    for kind, (rows, declaration) in kinds.items():
+        schemas.with_declarations(rows, declaration).write.parquet(f"{folder}/{kind}")
+        table = spark.read.parquet(f"{folder}/{kind}")
+        lines = {x.split(":")[0]: x.split(": ")[1] for x in schemas.schema_differences(table, expected)}
+        told = schemas.column_check(table, ["is_suppressed", "is_downweighted", "is_breaking_news"])
+        said = F.create_map(*[F.lit(v) for pair in lines.items() for v in pair])[F.col("column_name")]
+        found.append(told.select(F.lit(kind).alias("file"), "column_name", F.coalesce("column_default", F.lit("none")).alias("column_default"),
+                                 F.coalesce("is_nullable", F.lit(True)).alias("is_nullable"), "n_values", "n_null",
+                                 F.coalesce(said, F.lit("as declared")).alias("difference")))
+    return tables.unify(found)
+
+
+@query
+def added_column(spark, sf):
+    """Scores of the first half of the month in files without the flags, the others with them: the files' default fills in."""
+    folder, scored = scratch(spark, "added"), V.scores(spark, sf).select("id", "published_at", *schemas.FLAG_DEFAULTS)
+    early = F.col("published_at") < F.lit("2024-01-15 00:00:00").cast("timestamp")
+    scored.filter(early).select("id", "published_at").write.parquet(folder)
+    schemas.with_declarations(scored.filter(~early), schemas.DECLARED_SCORES).write.mode("append").parquet(folder)
+    return schemas.read_declared(spark, folder).select("id", *schemas.FLAG_DEFAULTS)
+
+
 @query
 def table_row_counts(spark, sf):
     names = ["events", "documents", "pages", "embeddings"]

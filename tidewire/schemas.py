@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,37 @@ ARTICLE_SCORES = _struct(
 
 TRENDING = _struct(uri=TEXT, score=REAL, updated_at=WHEN)
 
+# Names of field metadata: Parquet files keep them, Spark fills columns that a file lacks with the second.
+DEFAULT, FILLED, REQUIRED = "CURRENT_DEFAULT", "EXISTS_DEFAULT", "required"
+
+
+def declared(schema: T.StructType, defaults: Mapping[str, str], required: Iterable[str] = ()) -> T.StructType:
+    """The schema with defaults (as SQL literals) and the fields that hold no NULL, as field metadata."""
+    needed = set(required)
+    return T.StructType([
+        T.StructField(f.name, f.dataType, True, {
+            **f.metadata, **({DEFAULT: defaults[f.name], FILLED: defaults[f.name]} if f.name in defaults else {}),
+            **({REQUIRED: True} if f.name in needed else {})})
+        for f in schema.fields])
+
+
+def with_declarations(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the metadata of the schema on its columns of the same name, so that files keep it."""
+    kept = {f.name: f.metadata for f in schema.fields if f.metadata}
+    return df.select(*[F.col(c).alias(c, metadata=kept[c]) if c in kept else F.col(c) for c in df.columns])
+
+
+def read_declared(spark: SparkSession, path: str, expected: T.StructType | None = None) -> DataFrame:
+    """A table as its files declare it: a file without a column takes the default that other files store for it.
+
+    Columns that no file has are added with the default of ``expected``. NULLs in files stay NULL.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    names = set(found.fieldNames())
+    more = [f for f in (expected.fields if expected else []) if f.name not in names]
+    return spark.read.schema(T.StructType([*found.fields, *more])).parquet(path)
+
+
 FLAG_DEFAULTS = {
     name: False for name in (
         "is_routine_topic", "is_category_topic", "is_breaking_news", "is_suppressed", "is_downweighted")
@@ -67,33 +98,45 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
+DECLARED_SCORES = declared(
+    ARTICLE_SCORES, {name: str(value).lower() for name, value in FLAG_DEFAULTS.items()}, ["id", *FLAG_DEFAULTS])
+
+
 def schema_differences(df: DataFrame, expected: T.StructType) -> list[str]:
-    """Expected columns that are absent or of another type, as readable lines."""
-    actual = {f.name: f.dataType for f in df.schema.fields}
+    """Expected columns that are absent, of another type, or declared otherwise, as readable lines."""
+    actual = {f.name: f for f in df.schema.fields}
     lines = []
     for field in expected.fields:
         if field.name not in actual:
             lines.append(f"{field.name}: missing")
-        elif actual[field.name] != field.dataType:
-            wanted, found = field.dataType.simpleString(), actual[field.name].simpleString()
-            lines.append(f"{field.name}: {found} instead of {wanted}")
+            continue
+        found = actual[field.name]
+        if found.dataType != field.dataType:
+            lines.append(f"{field.name}: {found.dataType.simpleString()} instead of {field.dataType.simpleString()}")
+        for name, said in ((DEFAULT, "default"), (REQUIRED, "required")):
+            wanted, got = field.metadata.get(name), found.metadata.get(name)
+            if name == REQUIRED:
+                wanted, got = bool(wanted), bool(got)
+            if field.metadata and wanted != got:
+                lines.append(f"{field.name}: {said} {got} instead of {wanted}")
     return lines
 
 
 def column_check(df: DataFrame, names: Iterable[str] = tuple(FLAG_DEFAULTS)) -> DataFrame:
-    """One row per wanted column: is it there, its type, its default, and its NULLs and values."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    """One row per wanted column: its type, default and nullability as the table declares them, its NULLs and values."""
+    fields = {f.name: f for f in df.schema.fields}
     wanted = sorted(names)
     counts = df.agg(
         F.count("*").alias("total"),
-        *[F.count(n).alias(f"n_{n}") for n in wanted if n in kinds],
+        *[F.count(n).alias(f"n_{n}") for n in wanted if n in fields],
     )
     rows = [
         F.struct(
-            F.lit(n).alias("column_name"), F.lit(kinds.get(n)).alias("data_type"),
-            F.lit(str(FLAG_DEFAULTS[n]).lower() if n in FLAG_DEFAULTS else None).alias("column_default"),
-            (F.col(f"n_{n}") if n in kinds else F.lit(0).cast("long")).alias("n_values"),
-            (F.col("total") - (F.col(f"n_{n}") if n in kinds else F.lit(0))).alias("n_null"),
+            F.lit(n).alias("column_name"), F.lit(fields[n].dataType.simpleString() if n in fields else None).alias("data_type"),
+            F.lit(fields[n].metadata.get(DEFAULT) if n in fields else None).alias("column_default"),
+            F.lit(not fields[n].metadata.get(REQUIRED, False) if n in fields else None).cast("boolean").alias("is_nullable"),
+            (F.col(f"n_{n}") if n in fields else F.lit(0).cast("long")).alias("n_values"),
+            (F.col("total") - (F.col(f"n_{n}") if n in fields else F.lit(0))).alias("n_null"),
         )
         for n in wanted
     ]
