@@ -82,6 +82,32 @@ def numbered(df: DataFrame, order: Sequence[Column], within: str | None = None,
     return ranked.select(name, *df.columns)
 
 
+def running_totals(df: DataFrame, order: Sequence[Column], value: str, within: str, position: str = "position",
+                   total: str = "offset") -> DataFrame:
+    """Position 1..n by ``order`` within each value of ``within``, and the sum of ``value`` over the rows before.
+
+    For narrow rows: they are range-partitioned and stored, added up within each partition, and the partitions' own
+    sums are added up from one row per partition and group.
+    """
+    place = "__place"
+    rows = settle(df.repartitionByRange(within, *order).sortWithinPartitions(within, *order).withColumn(
+        place, F.monotonically_increasing_id())).withColumn("__part", F.shiftright(place, _ROW_BITS))
+    inside = Window.partitionBy("__part", within).orderBy(place)
+    summed = rows.withColumns({
+        position: F.row_number().over(inside).cast("long"),
+        total: F.coalesce(F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")})
+    parts = rows.groupBy(F.col("__part").alias("__p"), F.col(within).alias("__w")).agg(
+        F.count("*").alias("__n"), F.sum(value).alias("__sum"))
+    earlier = Window.partitionBy("__w").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("__p", "__w", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__rows"),
+                          F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
+    if payload_bytes(parts) <= MAX_BROADCAST_BYTES:
+        starts = F.broadcast(starts)
+    joined = summed.join(starts, (F.col("__part") == F.col("__p")) & F.col("__w").eqNullSafe(F.col(within)))
+    return joined.select(*df.columns, (F.col(position) + F.col("__rows")).alias(position),
+                         (F.col(total) + F.col("__before")).cast("long").alias(total))
+
+
 def numbered_top(df: DataFrame, order: Sequence[Column], n: int, within: str | None = None,
                  name: str = "rank") -> DataFrame:
     """Positions of the first ``n`` rows only, over everything or per value of ``within``."""

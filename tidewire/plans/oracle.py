@@ -481,9 +481,23 @@ FROM (VALUES ('body'), ('published_at'), ('collected_at'), ('source_importance')
 WITH d AS (SELECT max(CAST(ts + INTERVAL 8 HOUR AS DATE)) - INTERVAL 1 DAY AS d FROM events)
 SELECT strftime(d, '%Y-%m-%d') AS prev_date, count(*) AS n FROM events, d WHERE CAST(ts + INTERVAL 8 HOUR AS DATE) = d GROUP BY 1""",
     "briefing_sink": """
-SELECT strftime(TIMESTAMP '2024-01-02 06:00:00' + to_minutes(CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER)), '%Y-%m-%d_%H-%M-%S')
-  || '_daily_briefing.md' AS file_name, md5(text) AS text_md5
-FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) AS rn FROM documents) WHERE rn = 1""",
+SELECT strftime(TIMESTAMP '2024-01-02 06:00:00' + to_seconds(doc_id), '%Y-%m-%d_%H-%M-%S') || '_daily_briefing.md' AS file_name,
+  md5(text) AS text_md5 FROM documents""",
+    "digest_index": """
+WITH b AS (SELECT lang AS digest, doc_id, strlen('# Report: ' || doc_id || chr(10) || chr(10) || text || chr(10) || chr(10) || '---' || chr(10) || chr(10)) AS size
+  FROM documents)
+SELECT digest, row_number() OVER w AS position, CAST(doc_id AS VARCHAR) AS name,
+  CAST(coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset", size
+FROM b WINDOW w AS (PARTITION BY digest ORDER BY doc_id)""",
+    "keyword_lists": """
+WITH k AS (SELECT DISTINCT doc_id % 3 AS kind, string_split(text, ' ')[-1] AS word FROM documents WHERE string_split(text, ' ')[-1] <> ''),
+hits AS (SELECT doc_id, kind FROM documents JOIN k ON contains(text, word) GROUP BY doc_id, kind)
+SELECT doc_id, coalesce(bool_or(kind = 0), false) AS has_conflict, coalesce(bool_or(kind = 1), false) AS has_bang,
+  coalesce(bool_or(kind = 2), false) AS has_insider
+FROM documents LEFT JOIN hits USING (doc_id) GROUP BY doc_id""",
+    "cutoff_settings": """
+SELECT setting, CAST(CAST(ts + INTERVAL 8 HOUR - to_hours(hour) AS DATE) AS VARCHAR) AS logical_date, count(*) AS n
+FROM events, (VALUES ('0', 0), ('8', 8), ('23', 23), ('25', 6), ('-1', 6), ('x', 6), ('', 6)) s(setting, hour) GROUP BY 1, 2""",
     "daily_append": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, '## ' || event_type || ' ' || event_id AS text FROM events",
     "stage_sink": view_of("SELECT id, event_uri, final_score_v2 FROM scored WHERE logical_date = DATE '2024-01-10'"),
     "digest_sink": """

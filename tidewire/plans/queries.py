@@ -8,12 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire import schemas
+from tidewire import params, schemas
 from tidewire.functions import scores as S
 from tidewire.functions import text as X
 from tidewire.functions import timecols as TC
 from tidewire.functions.concepts import concept_uris, mentions_any, uri_set
-from tidewire.operators import cards, daily_state, dedup, keys, monitor, ranking, report, scoring, select, tables
+from tidewire.operators import cards, daily_state, dedup, keys, keywords, monitor, ranking, report, scoring, select, tables
 from tidewire.operators.ledger import SCORING, Ledger
 from tidewire.operators.lookup import lookup
 from tidewire.params import ReportParams, SelectionParams
@@ -716,6 +716,17 @@ def keyword_filter_exception(spark, sf):
     return cards.without_routine_conflict(marked_documents(spark, sf)).select("doc_id", "has_conflict", "has_bang", "has_insider")
 
 
+@query
+def keyword_lists(spark, sf):
+    """Thousands of listed words: the last one of every document, as conflict, bang or insider word by turns."""
+    docs = V.documents(spark, sf)
+    kinds = ("conflict", "bang", "insider")
+    listed = docs.select(F.element_at(F.array(*map(F.lit, kinds)), (F.col("doc_id") % 3 + 1).cast("int")).alias("kind"),
+                         F.element_at(F.split("text", " "), -1).alias("keyword")).filter("keyword <> ''")
+    marked = keywords.with_listed_marks(docs, "doc_id", "text", settle(listed), kinds)
+    return marked.select("doc_id", *[f"has_{kind}" for kind in kinds])
+
+
 @query
 def card_picks(spark, sf):
     """Ten picks: one document per source and language, bang words first."""
@@ -830,10 +841,17 @@ def url_domain(spark, sf):
 def digest_concat(spark, sf):
     """One digest per language: its blocks in document order."""
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang", "doc_id")
-    rows = files.build_digest(docs, [F.col("doc_id")], F.col("lang"))
+    rows = files.build_digest(docs, [F.col("doc_id")], F.col("lang"), "doc_id")
     return rows.select("digest", "position", "name", F.md5("block").alias("block_md5"))
 
 
+@query
+def digest_index(spark, sf):
+    """Position, byte offset and size of every block of the digests per language."""
+    docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang", "doc_id")
+    return files.digest_index(docs, [F.col("doc_id")], F.col("lang")).select("digest", "position", "name", "offset", "size")
+
+
 # Files
 
 @query
@@ -988,6 +1006,17 @@ def schema_check(spark, sf):
     return counts.select(F.explode(F.array(*[F.lit(x.split(":")[0]) for x in lines])).alias("column_name"), "n")
 
 
+@query
+def cutoff_settings(spark, sf):
+    """Articles per logical date under the day boundary that each setting resolves to; one that cannot be read counts as 6."""
+    rows, found = V.plain_articles(spark, sf).select("published_at"), []
+    for said in ("0", "8", "23", "25", "-1", "x", ""):
+        hour = params.cutoff_hour({params.CUTOFF_SETTING: said}.get)
+        dated = rows.select(TC.logical_date_bj(F.col("published_at"), hour).cast("string").alias("logical_date"))
+        found.append(dated.groupBy("logical_date").agg(F.count("*").alias("n")).withColumn("setting", F.lit(said)))
+    return tables.unify(found)
+
+
 @query
 def now_prev_date(spark, sf):
     """The previous date as seen from the latest event, and how many events fall on it."""
@@ -1073,7 +1102,7 @@ def written_reports(spark: SparkSession, sf: str) -> str:
 @query
 def report_found(spark, sf):
     """The newest report of a date among written ones, whole: its lines in order."""
-    found = files.list_documents(spark, written_reports(spark, sf))
+    found = files.recorded_documents(spark, written_reports(spark, sf))
     path = files.report_path(found, "by_ds", DAY)
     lines = ranking.numbered(files.read_documents(spark, path), [F.col("place")], name="line_no")
     article = F.from_json(F.regexp_replace("value", "^,", ""), ARTICLE_JSON)
@@ -1083,19 +1112,19 @@ def report_found(spark, sf):
 
 @query
 def briefing_sink(spark, sf):
-    """One briefing per source under the file name of its run, found by listing and read back whole."""
+    """Every document as a briefing under the file name of a run of its own, written twice, recorded and read back whole."""
     folder = scratch(spark, "briefings")
-    number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
-    first = dedup.richest_per_group(V.table(spark, sf, "documents"), "source", "doc_id", "text")
-    run_at = F.lit("2024-01-01 22:00:00").cast("timestamp") + F.make_dt_interval(mins=number)
-    rows = settle(first.select("text", run_at.alias("run_at")))
+    run_at = F.lit("2024-01-01 22:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("doc_id"))
+    rows = V.table(spark, sf, "documents").select("text", run_at.alias("run_at"))
     for _ in range(2):
         sinks.write_briefings(rows, folder, F.col("run_at"))
-    found = files.briefing_files(files.list_documents(spark, folder), "by_date", "2024-01-02")
-    texts = files.read_texts(spark, [f"{r['path']}/*" for r in found.select("path").collect()])
-    whole = texts.select(F.regexp_extract("path", "=([^/]+)/[^/]+$", 1).alias("file_name"), F.left(
-        "text", F.length("text") - 1).alias("text"))
-    return whole.select("file_name", F.md5("text").alias("text_md5"))
+    recorded = files.recorded_documents(spark, folder).select("name", "path")
+    lines = files.read_documents(spark, folder)
+    # Of each text its lines in order; a text is as long as one document.
+    whole = lines.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), "\n").alias("text"))
+    bare = lambda path: F.regexp_extract(path, "file_name=([^/]+)$", 1)
+    return whole.select(bare(F.col("path")).alias("name"), "text").join(recorded, "name").select(
+        F.col("name").alias("file_name"), F.md5("text").alias("text_md5"))
 
 
 @query
@@ -1123,9 +1152,9 @@ def digest_sink(spark, sf):
     """Digests written as line files, one of them twice: every line in its place."""
     folder = scratch(spark, "digests")
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("name"), "text", "lang", "doc_id")
-    blocks = settle(files.build_digest(docs, [F.col("doc_id")], F.col("lang")))
-    sinks.write_digest(blocks, folder)
-    sinks.write_digest(blocks.filter("digest = 'de'"), folder)
+    blocks = files.digest_blocks(docs, F.col("lang"))
+    sinks.write_reports_digest(blocks, [F.col("doc_id")], folder)
+    sinks.write_digest(files.build_digest(docs.filter("lang = 'de'"), [F.col("doc_id")], F.col("lang"), "doc_id"), folder)
     lines = files.read_documents(spark, folder).withColumn("digest", F.regexp_extract("path", "digest=([^/]+)$", 1))
     placed = ranking.numbered(lines.select("digest", "place", "value"), [F.col("place")], within="digest", name="line_no")
     return placed.select("digest", "line_no", F.md5("value").alias("line_md5"))

@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.timecols import since
-from tidewire.operators.ranking import numbered
-from tidewire.sources.sinks import NAME
+from tidewire.operators.lookup import lookup
+from tidewire.operators.ranking import numbered, running_totals
+from tidewire.session import settle
+from tidewire.sources.sinks import MANIFEST, NAME, manifest_path
+from tidewire.sources.tablefiles import read_table
 
 REPORT_STRATEGIES = ("by_ds", "latest_any", "by_ds_then_latest")
 BRIEFING_STRATEGIES = ("latest_any", "by_date", "latest_daily_single")
@@ -32,6 +35,15 @@ def list_documents(spark: SparkSession, folder: str) -> DataFrame:
             "path", F.element_at(F.split("path", f"/{NAME}="), -1).alias("name"), "modified_at")
 
 
+def recorded_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """path, name and modification time of the documents in a folder, as their sinks recorded them.
+
+    One small table is read and no folder is listed; a document that was written again counts with its last time.
+    """
+    rows = read_table(spark, manifest_path(folder), MANIFEST)
+    return rows.groupBy("path", "name").agg(F.max("modified_at").alias("modified_at"), F.max_by("n_rows", "modified_at").alias("n_rows"))
+
+
 def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """The lines of documents: ``path, place, value``. In the order of ``place`` they are the text of one."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths if isinstance(paths, str) else list(paths))
@@ -126,14 +138,36 @@ def briefing_paths(files: DataFrame, strategy: str = "latest_daily_single", date
     return paths
 
 
-def build_digest(reports: DataFrame, order: Sequence[Column], digest: Column | str = "all") -> DataFrame:
+def digest_blocks(reports: DataFrame, digest: Column | str = "all") -> DataFrame:
+    """The reports with a text, their ``digest`` and their ``block`` of it."""
+    named = reports.withColumn("digest", digest if isinstance(digest, Column) else F.lit(digest))
+    block = F.concat(F.lit("# Report: "), F.col("name"), F.lit("\n\n"), F.col("text"), F.lit("\n\n---\n\n"))
+    return named.filter(F.col("text").isNotNull()).withColumn("block", block)
+
+
+def digest_index(reports: DataFrame, order: Sequence[Column], digest: Column | str = "all", carry: Sequence[str] = ()) -> DataFrame:
+    """Where each block stands: ``digest, position, name, offset, size``, in bytes of the digest's text.
+
+    Sizes are taken where the texts are read; only they and the order move. ``order`` ends in a unique column.
+    """
+    blocks = digest_blocks(reports, digest)
+    names = [f"__o{k}" for k in range(len(order))]
+    narrow = blocks.select("digest", "name", *carry, F.octet_length("block").cast("long").alias("size"),
+                           *[o.alias(n) for o, n in zip(order, names)])
+    return running_totals(narrow, [F.col(n) for n in names], "size", "digest").drop(*names)
+
+
+def build_digest(reports: DataFrame, order: Sequence[Column], digest: Column | str = "all", key: str | None = None) -> DataFrame:
     """Briefings as the blocks of a digest, one row each.
 
     The blocks of a digest in ``position`` order are its text. They stay separate rows, because a
-    digest has no size limit. Briefings without text give no block.
+    digest has no size limit. Briefings without text give no block. With a unique ``key`` positions are found on
+    narrow rows and looked up by it, so that the texts are not stored and, up to the broadcast bound, not moved.
     """
-    named = reports.withColumn("digest", digest if isinstance(digest, Column) else F.lit(digest))
-    some = named.filter(F.col("text").isNotNull())
-    ranked = numbered(some, order, within="digest", name="position")
-    block = F.concat(F.lit("# Report: "), F.col("name"), F.lit("\n\n"), F.col("text"), F.lit("\n\n---\n\n"))
-    return ranked.select("digest", "position", "name", block.alias("block"))
+    blocks = digest_blocks(reports, digest)
+    if key is None:
+        ranked = numbered(blocks.drop("block"), order, within="digest", name="position")
+        return digest_blocks(ranked, F.col("digest")).select("digest", "position", "name", "block")
+    carry = [] if key == "name" else [key]
+    places = settle(digest_index(reports, order, digest, carry).select(key, "position"))
+    return lookup(blocks, places, key, key, "inner").select("digest", "position", "name", "block")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions.timecols import briefing_file_name, report_file_name
 
@@ -13,9 +14,28 @@ from tidewire.functions.timecols import briefing_file_name, report_file_name
 NAME = "file_name"
 
 
-def _write_documents(named: DataFrame, path: str) -> None:
-    """One folder per document. A run that writes the same names again replaces their content."""
+# What sinks record of each document they have written.
+MANIFEST = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("path", T.StringType()), T.StructField("modified_at", T.TimestampType()),
+    T.StructField("n_rows", T.LongType())])
+
+
+def manifest_path(folder: str) -> str:
+    """The manifest stands beside the folder, so that whoever lists or reads the folder does not meet it."""
+    return f"{folder.rstrip('/')}.manifest"
+
+
+def _write_documents(named: DataFrame, path: str, rows: DataFrame | None = None) -> None:
+    """One folder per document, recorded behind it. A run that writes the same names again replaces their content.
+
+    ``rows`` has the names of all lines, if ``named`` is dear to compute again for its names.
+    """
     named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(NAME).text(path)
+    counts = (named if rows is None else rows).groupBy(NAME).agg(F.count("*").alias("n_rows"))
+    # Spark escapes in folder names what a path cannot hold; names of runs have none of it.
+    told = counts.select(F.col(NAME).alias("name"), F.concat(F.lit(f"{path.rstrip('/')}/{NAME}="), NAME).alias("path"),
+                         F.current_timestamp().alias("modified_at"), "n_rows")
+    told.coalesce(1).write.mode("append").parquet(manifest_path(path))
 
 
 def write_report(lines: DataFrame, path: str, run_type: str, run_at: Column) -> None:
@@ -25,7 +45,7 @@ def write_report(lines: DataFrame, path: str, run_type: str, run_at: Column) ->
     """
     named = lines.select(report_file_name(F.col("logical_date"), F.lit(run_type), run_at).alias(NAME), "line_no", "line")
     ordered = named.repartitionByRange(NAME, "line_no").sortWithinPartitions(NAME, "line_no")
-    _write_documents(ordered.select(NAME, "line"), path)
+    _write_documents(ordered.select(NAME, "line"), path, named.select(NAME))
 
 
 def write_digest(blocks: DataFrame, path: str) -> None:
@@ -40,10 +60,21 @@ def write_digest(blocks: DataFrame, path: str) -> None:
         "digest").text(path)
 
 
+def write_reports_digest(blocks: DataFrame, order: Sequence[Column], path: str) -> None:
+    """Blocks without positions as text, one folder per digest: the texts move once, into their place in their output file.
+
+    ``order`` ends in a unique column. A digest that is written again is replaced.
+    """
+    ordered = blocks.repartitionByRange("digest", *order).sortWithinPartitions("digest", *order)
+    text = F.left("block", F.length("block") - 1).alias("block")
+    ordered.select("digest", text).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "digest").text(path)
+
+
 def write_briefings(briefings: DataFrame, path: str, run_at: Column) -> None:
     """Briefing texts as documents under the file name of their run."""
     named = briefings.select(briefing_file_name(run_at).alias(NAME), "text")
-    _write_documents(named.hint("rebalance", NAME), path)
+    _write_documents(named.hint("rebalance", NAME), path, named.select(NAME))
 
 
 def write_stage(df: DataFrame, path: str, day: str, stage: str) -> str:
