@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import pickle
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,8 @@ from tidewire.llm.common import (
 from tidewire.session import settle
 
 WINDOW = 13
-MAX_WORDS = 1_000_000
+# Words of a block: its automaton takes about a kilobyte a word in each worker.
+MAX_WORDS = 200_000
 MIN_SHARE = 20
 _WORD = re.compile(rb"[^ ]+")
 # The automaton reads one character per word. Its alphabet starts here, above the surrogates.
@@ -91,14 +94,25 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[dict[str, int
     return [{"start": int(points[bounds[a][0]]), "end": int(points[bounds[b - 1][1]])} for a, b in runs]
 
 
+_LAST_SCANNER: dict[str, Scanner] = {}
+
+
+def _scanner(name: str, shared: Broadcast, window: int) -> Scanner:
+    """The scanner of a block, built once per worker; that of the block before goes."""
+    if name not in _LAST_SCANNER:
+        _LAST_SCANNER.clear()
+        _LAST_SCANNER[name] = Scanner(pickle.loads(shared.value), window)
+    return _LAST_SCANNER[name]
+
+
 def _scan_block(rows: DataFrame, items: list[tuple[str, list[bytes]]], window: int, last: bool,
                 keep: Sequence[str]) -> DataFrame:
     """Add the hits of one block of items; after the last block texts give way to their hit stretches."""
-    shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps(items))
+    shared, name = rows.sparkSession.sparkContext.broadcast(pickle.dumps(items)), uuid.uuid4().hex
     runs_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(pickle.loads(shared.value), window)
+        scanner = _scanner(name, shared, window)
         for batch in short_slices(batches):
             counts, hits, ids, spans = [], [], [], []
             for text, old_ids, old_runs in zip(*columns_of(batch, "text", "item_ids", "runs")):
@@ -147,7 +161,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     ``min_share * n_hit >= n_words``.
 
     One automaton holds the windows of all items while the benchmark has up to ``max_words`` words, and
-    each text is scanned once. A larger benchmark is taken in blocks of that size, one scan and one stored
+    each text is scanned once; a worker builds it once. A larger benchmark is taken in blocks of that size, one scan and one stored
     table each, so the memory of a task does not grow with it. Texts are not shuffled.
 
     Null or empty texts have no words and no hits; null or repeated ids are kept as they are; an item with

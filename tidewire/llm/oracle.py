@@ -43,7 +43,8 @@ _SECRETS = [
     ("hex", "[0-9a-f]{16,}", 0, 16),
     ("github", "gh[opsu]_[A-Za-z0-9]{36,}", 0, 1),
     ("slack", "xox[abps]-[A-Za-z0-9-]{10,}", 0, 1),
-    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    # A key with its END line; of one without, the scan also finds headers and base64 lines, which RE2 cannot say.
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z ]*PRIVATE KEY-----)?", 0, 1),
 ]
 
 
@@ -178,3 +179,12 @@ SELECT page_id, host, path, rule,
        coalesce(n_strict, 0) AS n_strict, coalesce(n_soft, 0) AS n_soft, coalesce(n_hits, 0) AS n_hits
 FROM k LEFT JOIN ruled USING (rid) LEFT JOIN weights USING (rid)
 """
+
+# The same contracts over rows that link and revisit, which the given tables lack.
+ORACLE["warc_revisits"] = ORACLE["op2_warc"].replace("FROM pages)", """FROM (
+    SELECT page_id, html FROM pages UNION ALL SELECT page_id + 1000000, html FROM pages WHERE page_id % 3 = 0 UNION ALL
+    SELECT page_id + 2000000, NULL FROM pages WHERE page_id % 50 = 0))""")
+ORACLE["embedding_links"] = ORACLE["op8_embeddings"].replace(
+    "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings", """SELECT vec_id + times * 1000000 AS vec_id, label + more AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: x * (1 + turn * ((i - 1) % 3 - 1))) AS e
+     FROM embeddings, (VALUES (0.0::DOUBLE, 0, 0), (0.1::DOUBLE, 1, 0), (0.3::DOUBLE, 2, 0), (0.0::DOUBLE, 3, 1000)) f(turn, times, more)""")

@@ -85,6 +85,31 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, every third again under a larger id, and pages without a payload: revisits by the hundred."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    again = pages.filter("page_id % 3 = 0").withColumn("page_id", F.col("page_id") + 1_000_000)
+    bare = pages.filter("page_id % 50 = 0").withColumns({"page_id": F.col("page_id") + 2_000_000, "html": F.lit(None).cast("string")})
+    rows = pages.unionByName(again).unionByName(bare)
+    folder = archive_folder(rows)
+    return read_archives(write_archives(rows, folder), folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors, turned a little, turned further, and again under another label: chains of links, and none across labels."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
+
+    def turned(by: float, times: int, more_label: int) -> DataFrame:
+        return rows.select(
+            (F.col("vec_id") + times * 1_000_000).alias("vec_id"),
+            F.transform("embedding", lambda x, i: x * (1 + by * (i % 3 - 1))).alias("embedding"), (F.col("label") + more_label).alias("label"))
+
+    return link_embeddings(turned(0.0, 0, 0).unionByName(turned(0.1, 1, 0)).unionByName(turned(0.3, 2, 0)).unionByName(turned(0.0, 3, 1000)))
+
+
 @query
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"))

@@ -24,6 +24,8 @@ SAMPLE_BYTES, DICTIONARY_BYTES = 1 << 20, 32 << 10
 MAX_ARCHIVE_BYTES = 64 << 20
 LEVEL = 3
 MIN_REVISIT_BYTES = 0
+# Lengths of the samples that a dictionary is trained on; the next if there are too few of the first.
+SAMPLE_PIECES = (4096, 512, 64)
 # Fixed values of the format: a skippable frame with this magic number leads with the dictionary.
 _DICTIONARY_MAGIC, _ZSTD_MAGIC, _SKIPPABLE = 0x184D2A5D, 0xFD2FB528, range(0x184D2A50, 0x184D2A60)
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -60,18 +62,25 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def train_dictionary(records: list[bytes], size: int = DICTIONARY_BYTES) -> bytes | None:
-    """A dictionary of the records, or None if they are too few to train on."""
-    try:
-        return zstandard.train_dictionary(size, records, level=LEVEL).as_bytes()
-    except zstandard.ZstdError:
-        return None
+    """A dictionary of the records, or None if they are too little to train on.
+
+    Training wants many samples, so records are cut into pieces: a few large ones serve as well as many small ones.
+    """
+    for piece in SAMPLE_PIECES:
+        try:
+            samples = [r[k:k + piece] for r in records for k in range(0, len(r), piece)]
+            return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes()
+        except zstandard.ZstdError:
+            continue
+    return None
 
 
 class ArchiveWriter:
     """One archive: a dictionary in a leading skippable frame, then a frame per record."""
 
     def __init__(self, files: fs.FileSystem, path: str):
-        self.path, self.out = path, files.open_output_stream(path)
+        # The name would have the whole stream compressed once more, and no frame of it would be the dictionary's.
+        self.path, self.out = path, files.open_output_stream(path, compression=None)
         self.waiting: list[bytes] = []
         self.held = self.written = 0
         self.compress = None
@@ -201,7 +210,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows, held = [], 0
-                with files.open_input_stream(f"{base}/{path}") as stream:
+                with files.open_input_stream(f"{base}/{path}", compression=None) as stream:
                     for content in _frame_records(stream):
                         rows.append((*_read_row(content), path))
                         held += len(content)
