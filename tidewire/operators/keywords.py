@@ -10,44 +10,47 @@ from pyspark.sql import functions as F
 from tidewire.operators.lookup import lookup
 from tidewire.session import settle
 
-# Keywords are found by so many first characters, shorter ones by all of theirs.
-HEAD = 4
+# Keywords are found by so many first characters: the greatest number that they have.
+HEADS = (8, 4, 2, 1)
 
 
-def stretches(text: Column, n: int) -> Column:
-    """The different stretches of ``n`` characters of a text, by doubling: two neighbours of half the length each."""
-    one = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    made, built, width = one, 0, 1
-    whole = None
-    while n:
-        if n & 1:
-            whole = made if whole is None else _followed(whole, made, built)
-            built += width
-        n >>= 1
-        if n:
-            made, width = _followed(made, made, width), 2 * width
-    return F.array_distinct(whole)
+def with_stretches(rows: DataFrame, key: str, text: Column, lengths: Sequence[int]) -> DataFrame:
+    """``key, stretch``: the different stretches of a text of some lengths, which are among ``HEADS``.
 
-
-def _followed(first: Column, second: Column, apart: int) -> Column:
-    """Each stretch of ``first`` with the one of ``second`` that starts ``apart`` places behind it."""
-    kept = F.greatest(F.lit(0), F.least(F.size(first), F.size(second) - apart))
-    return F.zip_with(F.slice(first, F.lit(1), kept), F.slice(second, F.lit(1 + apart), kept), lambda a, b: F.concat(a, b))
-
-
-def candidate_keywords(rows: DataFrame, key: str, text: Column, keywords: DataFrame, head: int = HEAD) -> DataFrame:
-    """``key, found``: for each row the ``kind, keyword`` whose first characters occur in its text.
-
-    Only key and stretches leave the rows: they meet the list, which is broadcast up to a measured size and spread beyond it.
+    By doubling: a stretch is two neighbours of half its length. Each length is a projection of its own, as one that
+    held the others inside would compute them again and again.
+    """
+    made = rows.select(key, F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)).alias("s1"))
+    width = 1
+    while width < max(lengths):
+        half = F.col(f"s{width}")
+        behind = F.slice(half, F.lit(1 + width), F.greatest(F.size(half), F.lit(0)))
+        # The last ones have no neighbour and become NULL.
+        made = made.withColumn(f"s{2 * width}", F.zip_with(half, behind, lambda a, b: F.concat(a, b)))
+        width *= 2
+    wanted = F.array_distinct(F.concat(*[F.col(f"s{n}") for n in lengths]))
+    return made.select(key, F.explode(wanted).alias("stretch")).filter("stretch is not null")
+
+
+def candidate_keywords(rows: DataFrame, key: str, text: Column, keywords: DataFrame,
+                       heads: Sequence[int] = HEADS) -> DataFrame:
+    """``key, certain, possible`` of the rows that a keyword may occur in, by the characters that it begins with.
+
+    ``certain`` are the kinds with a keyword that is found whole, ``possible`` the ``kind, keyword`` of which only the first
+    characters are. Only key and stretches leave the rows: they meet the list, which is broadcast up to a measured size
+    and spread beyond it.
     """
-    index = settle(keywords.filter(F.length("keyword") > 0).select(
-        F.substring("keyword", 1, head).alias("stretch"), "kind", "keyword").distinct())
-    lengths = sorted(r["n"] for r in index.select(F.length("stretch").alias("n")).distinct().collect())  # at most ``head``
+    head = F.coalesce(*[F.when(F.length("keyword") >= n, n) for n in sorted(heads, reverse=True)])
+    index = settle(keywords.filter(F.length("keyword") >= min(heads)).select(
+        F.substring(F.col("keyword"), F.lit(1), head).alias("stretch"), "kind", "keyword").distinct())
+    lengths = sorted(r["n"] for r in index.select(F.length("stretch").alias("n")).distinct().collect())  # some of ``heads``
     if not lengths:
-        return rows.select(key, F.array().cast("array<struct<kind: string, keyword: string>>").alias("found")).limit(0)
-    parts = [stretches(text, n) for n in lengths]
-    met = lookup(rows.select(key, F.explode(F.concat(*parts)).alias("stretch")), index, "stretch", key, "inner")
-    return met.groupBy(key).agg(F.collect_set(F.struct("kind", "keyword")).alias("found"))
+        return rows.limit(0).select(key, F.array(F.lit("")).alias("certain"), F.array(F.struct(
+            F.lit("").alias("kind"), F.lit("").alias("keyword"))).alias("possible"))
+    met = lookup(with_stretches(rows, key, text, lengths), index, "stretch", key, "inner")
+    whole = F.col("keyword") == F.col("stretch")
+    return met.groupBy(key).agg(F.collect_set(F.when(whole, F.col("kind"))).alias("certain"),
+                                F.collect_set(F.when(~whole, F.struct("kind", "keyword"))).alias("possible"))
 
 
 def with_listed_marks(rows: DataFrame, key: str, text: str, keywords: DataFrame, kinds: Sequence[str]) -> DataFrame:
@@ -60,12 +63,14 @@ def with_listed_marks(rows: DataFrame, key: str, text: str, keywords: DataFrame,
     listed = keywords.filter(F.col("kind").isin(list(kinds)) & F.col("keyword").isNotNull())
     everywhere = {r["kind"] for r in listed.filter("keyword = ''").select("kind").distinct().collect()}
     found = settle(candidate_keywords(rows, key, F.col(text), listed))
-    marked = lookup(rows, found, key, key)
+    # Unique on both sides, so no key is hot.
+    marked = rows.join(found, key, "left")
 
     def occurs(kind: str) -> Column:
         if kind in everywhere:
             return F.col(text).isNotNull()
-        of_kind = F.filter("found", lambda k: k["kind"] == kind)
-        return F.coalesce(F.exists(of_kind, lambda k: F.contains(F.col(text), k["keyword"])), F.lit(False))
+        of_kind = F.filter("possible", lambda k: k["kind"] == kind)
+        return F.coalesce(F.array_contains("certain", kind), F.lit(False)) | F.coalesce(
+            F.exists(of_kind, lambda k: F.contains(F.col(text), k["keyword"])), F.lit(False))
 
-    return marked.withColumns({f"has_{kind}": occurs(kind) for kind in kinds}).drop("found")
+    return marked.withColumns({f"has_{kind}": occurs(kind) for kind in kinds}).drop("certain", "possible")

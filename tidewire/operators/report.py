@@ -103,7 +103,7 @@ def report_lines(report: DataFrame, generated_at: Column | datetime | str,
     """The report documents as text lines: head, one line per article, tail.
 
     The lines of a date in the order of ``line_no`` are one valid JSON document, whatever its size:
-    no row ever holds more than one article. ``report`` is read twice, so it should be settled.
+    no row ever holds more than one article. The counts of the heads need no title or body, so these are read once.
     """
     p = params or ReportParams()
     counts = report.groupBy("logical_date").agg(F.count("*").alias("article_count"))

@@ -20,7 +20,7 @@ from tidewire.params import ReportParams, ScoringParams, SelectionParams
 from tidewire.schemas import ARTICLE_SCORES, ARTICLES, TRENDING
 from tidewire.session import build_session, released, settle, use_utc
 from tidewire.sources import landing, sinks
-from tidewire.sources.tablefiles import drop_partitions, read_table
+from tidewire.sources.tablefiles import drop_partitions, matching, read_table
 
 # Rows that cannot be stored, and unreadable lines with their text.
 REJECTS = T.StructType([*ARTICLES.fields, *[T.StructField(n, T.StringType()) for n in ("line", "batch", "kind")]])
@@ -118,7 +118,8 @@ def store_articles(spark: SparkSession, store: Store, flat: DataFrame, batch: st
         return
     keys = KeyTable(spark, store.keys, "id", store.key_buckets)
     drop_partitions(spark, store.articles, "batch", [name])
-    keys.rebuild(read_table(spark, store.articles, STORED_ARTICLES).select("id", "batch"))
+    if keys.is_new and matching(spark, f"{store.articles}/*"):
+        keys.rebuild(read_table(spark, store.articles, STORED_ARTICLES).select("id", "batch"))
     kept, bad = tables.split_rejects(settle(flat))
     fresh = insert_new_keys(kept, keys, name).select(ARTICLES.fieldNames()).withColumn("batch", F.lit(name))
     sinks.append_table(fresh, store.articles, by=["logical_date", "batch"])
@@ -195,8 +196,8 @@ def write_day_report(spark: SparkSession, store: Store, day: date | str, now: da
                      run_type: str = "scheduled") -> None:
     """Write the report of one date under the name of its run; a date without scored articles leaves none."""
     scored = tables.with_flag_defaults(read_table(spark, store.scores, STORED_SCORES))
-    rows = settle(report.daily_report(scored, read_table(spark, store.articles, STORED_ARTICLES), day, p))
-    if not rows.isEmpty():
+    rows = report.daily_report(scored, read_table(spark, store.articles, STORED_ARTICLES), day, p)
+    if not rows.select("rank").isEmpty():
         sinks.write_report(report.report_lines(rows, now, p), store.reports, run_type, instant(now))
 
 

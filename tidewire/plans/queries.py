@@ -195,7 +195,7 @@ HEAD_JSON = ("reportMetadata struct<reportGeneratedAt: string, reportForDate: st
 @query
 def report_json(spark, sf):
     """Whole report documents of all dates, bodies included, read back from their JSON lines."""
-    rows = settle(report.daily_report(V.scores(spark, sf), bodied_articles(spark, sf)))
+    rows = report.daily_report(V.scores(spark, sf), bodied_articles(spark, sf))
     lines = settle(report.report_lines(rows, GENERATED_AT))
     heads = lines.filter("line_no = 0").select(
         "logical_date", F.from_json(F.concat("line", F.lit("]}")), HEAD_JSON)["reportMetadata"].alias("h")).select("logical_date", "h.*")
@@ -1093,7 +1093,7 @@ def report_sink(spark, sf):
 
 def written_reports(spark: SparkSession, sf: str) -> str:
     folder = scratch(spark, "reports")
-    lines = settle(report.report_lines(settle(report.daily_report(V.scores(spark, sf), V.articles(spark, sf))), GENERATED_AT))
+    lines = settle(report.report_lines(report.daily_report(V.scores(spark, sf), V.articles(spark, sf)), GENERATED_AT))
     for run_type, at in (("manual", "2024-02-01 10:00:00"), ("manual", "2024-02-01 10:00:00"), ("scheduled", "2024-02-01 22:00:00")):
         sinks.write_report(lines, folder, run_type, F.lit(at).cast("timestamp"))
     return folder
