@@ -26,7 +26,7 @@ def test_query_against_sql(spark, duck, name):
 def test_every_operator_is_registered():
     names = contract.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
 
 
