@@ -1119,7 +1119,7 @@ def briefing_sink(spark, sf):
     for _ in range(2):
         sinks.write_briefings(rows, folder, F.col("run_at"))
     recorded = files.recorded_documents(spark, folder).select("name", "path")
-    lines = files.read_documents(spark, folder)
+    lines = files.read_recorded(spark, folder)
     # Of each text its lines in order; a text is as long as one document.
     whole = lines.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), "\n").alias("text"))
     bare = lambda path: F.regexp_extract(path, "file_name=([^/]+)$", 1)

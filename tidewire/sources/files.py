@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import io
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +15,11 @@ from tidewire.functions.timecols import since
 from tidewire.operators.lookup import lookup
 from tidewire.operators.ranking import numbered, running_totals
 from tidewire.session import settle
-from tidewire.sources.sinks import MANIFEST, NAME, manifest_path
+from tidewire.sources.sinks import MANIFEST, NAME, manifest_path, opened, qualified, tasks_for
 from tidewire.sources.tablefiles import read_table
 
+# Lines and characters of a batch of lines that a task reads.
+BATCH_LINES, BATCH_CHARACTERS = 5_000, 4 << 20
 REPORT_STRATEGIES = ("by_ds", "latest_any", "by_ds_then_latest")
 BRIEFING_STRATEGIES = ("latest_any", "by_date", "latest_daily_single")
 
@@ -53,6 +58,43 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return lines.select(F.regexp_extract(file, "^(.*)/[^/]+$", 1).alias("path"), place.alias("place"), "value")
 
 
+def read_recorded(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of all recorded documents, as ``read_documents`` gives them, however many there are.
+
+    Tasks open the documents that the manifest names, so that the driver neither lists nor plans their files.
+    """
+    home = qualified(spark, folder)
+    recorded = recorded_documents(spark, folder).filter("path is not null").select(
+        F.concat(F.lit(f"{home}/"), F.element_at(F.split("path", "/"), -1)).alias("path"))
+
+    def told(found: list[tuple]) -> pa.RecordBatch:
+        paths, parts, lines, values = zip(*found)
+        place = pa.StructArray.from_arrays(
+            [pa.array(parts, pa.string()), pa.array([0] * len(parts), pa.int64()), pa.array(lines, pa.int64())],
+            names=["part", "start", "line"])
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), place, pa.array(values, pa.string())],
+                                          names=["path", "place", "value"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for path in (p for batch in batches for p in batch.column(0).to_pylist()):
+            files, base = opened(path)
+            parts = [f for f in files.get_file_info(fs.FileSelector(base)) if f.is_file and f.base_name[0] not in "._"]
+            for part in sorted(parts, key=lambda f: f.base_name):
+                with io.TextIOWrapper(files.open_input_file(part.path), "utf-8", "replace") as text:
+                    for number, line in enumerate(text):
+                        found.append((path, part.base_name, number, line.removesuffix("\n")))
+                        held += len(line)
+                        if len(found) >= BATCH_LINES or held >= BATCH_CHARACTERS:
+                            yield told(found)
+                            found, held = [], 0
+        if found:
+            yield told(found)
+
+    return recorded.repartition(tasks_for(recorded), "path").mapInArrow(
+        read, "path string, place struct<part: string, start: long, line: long>, value string")
+
+
 def read_texts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Whole texts with path and name."""
     rows = spark.read.text(list(paths), wholetext=True)
