@@ -1,15 +1,21 @@
-"""Marks for keyword lists of any length, found by the first characters of each keyword."""
+"""Marks for keyword lists of any length, found by automata, or by the first characters of each keyword."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.operators.lookup import lookup
 from tidewire.session import settle
 
+# An automaton holds so many characters of keywords, each keyword up to LONGEST of them. A list is read by AUTOMATA at most.
+AUTOMATON_CHARACTERS, LONGEST, AUTOMATA = 2_000_000, 64, 16
+# Texts of a batch of answers.
+BATCH_ROWS = 2_000
 # Keywords are found by so many first characters: the greatest number that they have.
 HEADS = (8, 4, 2, 1)
 
@@ -32,14 +38,61 @@ def with_stretches(rows: DataFrame, key: str, text: Column, lengths: Sequence[in
     return made.select(key, F.explode(wanted).alias("stretch")).filter("stretch is not null")
 
 
+def _kinds_found(rows: DataFrame, key: str, text: Column, words: list[tuple[str, list[str], list[tuple[str, str]]]]) -> DataFrame:
+    """``key, certain, possible`` by one automaton; a word has the kinds that it decides and the keywords that it begins."""
+    shared = rows.sparkSession.sparkContext.broadcast(words)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for number, (word, _, _) in enumerate(shared.value):
+            automaton.add_word(word, number)
+        automaton.make_automaton()
+        certain_type = pa.list_(pa.string())
+        possible_type = pa.list_(pa.struct([("kind", pa.string()), ("keyword", pa.string())]))
+        for batch in batches:
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(start, BATCH_ROWS)
+                places, certain, possible = [], [], []
+                for k in range(part.num_rows):
+                    read = part.column(1)[k].as_py()
+                    met = {number for _, number in automaton.iter(read)} if read else ()
+                    if met:
+                        places.append(k)
+                        certain.append(sorted({kind for number in met for kind in shared.value[number][1]}))
+                        possible.append([{"kind": kind, "keyword": word} for kind, word in sorted(
+                            {pair for number in met for pair in shared.value[number][2]})])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(places, pa.int64())), pa.array(certain, certain_type), pa.array(possible, possible_type)],
+                    names=[key, "certain", "possible"])
+
+    narrow = rows.select(key, text.alias("__text"))
+    return narrow.mapInArrow(find, f"`{key}` {narrow.schema[0].dataType.simpleString()}, certain array<string>, "
+                                   "possible array<struct<kind: string, keyword: string>>")
+
+
 def candidate_keywords(rows: DataFrame, key: str, text: Column, keywords: DataFrame,
                        heads: Sequence[int] = HEADS) -> DataFrame:
     """``key, certain, possible`` of the rows that a keyword may occur in, by the characters that it begins with.
 
     ``certain`` are the kinds with a keyword that is found whole, ``possible`` the ``kind, keyword`` of which only the first
-    characters are. Only key and stretches leave the rows: they meet the list, which is broadcast up to a measured size
-    and spread beyond it.
+    characters are. The texts are read where they are, by an automaton of bounded size for each part of the list, and only
+    what is found leaves them. Of lists too long for that, the first of ``heads`` characters meet the stretches of the texts.
     """
+    words = settle(keywords.filter("keyword <> ''").select(F.left("keyword", F.lit(LONGEST)).alias("word"), "kind", "keyword").groupBy(
+        "word").agg(F.collect_set(F.when(F.col("word") == F.col("keyword"), F.col("kind"))).alias("certain"),
+                    F.collect_set(F.when(F.col("word") != F.col("keyword"), F.struct("kind", "keyword"))).alias("possible")))
+    size = F.length("word") + F.aggregate("possible", F.lit(0), lambda n, k: n + F.length(k["keyword"]))
+    parts = -(-(words.agg(F.sum(size).alias("n")).first()["n"] or 0) // AUTOMATON_CHARACTERS)
+    if 0 < parts <= AUTOMATA:
+        found = None
+        for part in range(parts):
+            listed = words.filter(F.pmod(F.xxhash64("word"), F.lit(parts)) == part).collect()
+            if not listed:
+                continue
+            met = _kinds_found(rows, key, text, [(r["word"], list(r["certain"]), [tuple(k) for k in r["possible"]]) for r in listed])
+            found = met if found is None else found.unionByName(met)
+        return found.groupBy(key).agg(F.array_distinct(F.flatten(F.collect_list("certain"))).alias("certain"),
+                                      F.array_distinct(F.flatten(F.collect_list("possible"))).alias("possible"))
     head = F.coalesce(*[F.when(F.length("keyword") >= n, n) for n in sorted(heads, reverse=True)])
     index = settle(keywords.filter(F.length("keyword") >= min(heads)).select(
         F.substring(F.col("keyword"), F.lit(1), head).alias("stretch"), "kind", "keyword").distinct())
