@@ -58,10 +58,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as the ids of their best segmentation: ``doc_id, n_tokens, score, ids``.
 
-    A null text has nulls, an empty one no ids and the score 0.
+    The best of the n segmentations that the operator finds. A null text has nulls, an empty one no ids and the score 0.
     """
     small_batches(spark)
-    best = encode_pieces(docs, n=1).withColumn("best", F.col("nbest")[0])
+    best = encode_pieces(docs).withColumn("best", F.col("nbest")[0])
     return best.select("doc_id", "n_tokens", F.col("best.score").alias("score"), F.col("best.ids").alias("ids"))
 
 

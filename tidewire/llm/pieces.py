@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
@@ -9,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from tidewire.llm.lattice import BatchLattice
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 3
-# Segments of each task that keep their best path; when there are more, only those that came up again stay.
+# Segments of each worker that keep their best path; when there are more, only those that came up again stay.
 # Segments up to BATCH_LENGTH characters are solved side by side, up to BATCH_ROWS of a length at once.
 CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 200_000, 32, 4_000
 # Of segments whose other segmentations were asked for, so many.
@@ -176,8 +178,10 @@ class PieceModel:
         earlier = len(self.known)
         found = list(map(self.known.get, segments))
         if None in found:
-            self._solve({s for s, k in zip(segments, found) if k is None})
-            found = list(map(self.known.__getitem__, segments))
+            missing = [at for at, k in enumerate(found) if k is None]
+            self._solve({segments[at] for at in missing})
+            for at in missing:
+                found[at] = self.known[segments[at]]
         numbers = np.array(found, dtype=np.int64)
         self.again[numbers[numbers < earlier]] = True
         return numbers
@@ -254,20 +258,21 @@ class PieceModel:
         for text, segments in zip(texts, cut):
             end = at + len(segments)
             best = (sum(scores[at:end], 0.0), whole[before[at]:before[end]])
-            found.append(None if text is None else [best] if n == 1 or not segments else [
-                best, *self._others(best, segments, losses[at:end], before[at:end + 1], n)])
+            found.append(None if text is None else [best] if not segments else self._best_n(
+                best, segments, losses[at:end], before[at:end + 1], n))
             at = end
         return found
 
-    def _others(self, best: tuple[float, bytes], segments: list[str], losses: np.ndarray, places: list[int],
+    def _best_n(self, best: tuple[float, bytes], segments: list[str], losses: np.ndarray, places: list[int],
                 n: int) -> list[tuple[float, bytes]]:
-        """The segmentations behind the best; ``places`` tell where the ids of each segment start.
+        """The best ``n`` segmentations of a whole text; ``places`` tell where the ids of each segment start.
 
         One among the best n can deviate only in the n - 1 segments whose second best loses least; the others
-        keep their best. Equal scores go by the ids, read from the end.
+        keep their best. A* reads the paths of the chosen segments, with ``n`` 1 that of the one that is least sure.
+        Equal scores go by the ids, read from the end.
         """
         total, whole = best
-        chosen = self._deviating(segments, losses, n)
+        chosen = self._deviating(segments, losses, max(n, 2))
         choices = [self.kept_n_best(segments[k], n) for k in chosen]
         # The stretches of ids around the chosen segments stay as they are.
         kept, behind = [], 0
@@ -275,7 +280,7 @@ class PieceModel:
             kept.append(whole[behind:places[k] - places[0]])
             behind = places[k + 1] - places[0]
         found = []
-        for loss, ranks in least_losses([c[0] for c in choices], n, [c[2] for c in choices])[1:]:
+        for loss, ranks in least_losses([c[0] for c in choices], n, [c[2] for c in choices]):
             parts = chain.from_iterable(zip(kept, [choice[1][rank] for choice, rank in zip(choices, ranks)]))
             found.append((total - loss, b"".join([*parts, whole[behind:]])))
         return found
@@ -336,6 +341,18 @@ def _model_bytes(path: str) -> bytes:
         return file.read()
 
 
+_KEPT: dict[bytes, PieceModel] = {}
+
+
+def _kept_model(content: bytes) -> PieceModel:
+    """The last model of this worker, which goes from task to task with the segments it knows; these are bounded."""
+    digest = hashlib.sha256(content).digest()
+    if digest not in _KEPT:
+        _KEPT.clear()
+        _KEPT[digest] = PieceModel(content)
+    return _KEPT[digest]
+
+
 def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBEST, doc_id: str = "doc_id",
                   text: str = "text") -> DataFrame:
     """The best ``n`` segmentations of whole texts, as ``doc_id, n_tokens, nbest``.
@@ -346,8 +363,8 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
 
     Texts are cut where no piece crosses (before the spaces of a word, around line ends). Per segment a
     Viterbi pass gives the best path and how much the second best loses. These losses choose the at most ``n - 1``
-    segments in which the best ``n`` can deviate; only there, and to settle equal losses, A* reads segmentations
-    backward under forward scores, with ``n`` 1 nowhere. Equal scores go by the ids, read from the end. Tasks keep the best
+    segments in which the best ``n`` can deviate (one for ``n`` 1); only there, and to settle equal losses, A* reads
+    segmentations backward under forward scores. Equal scores go by the ids, read from the end. Workers keep the best
     path of recent segments, up to a bound. The vocabulary (a file of fixed size, read on the driver)
     goes to the executors; documents are not shuffled.
 
@@ -358,7 +375,7 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(content.value)
+        model = _kept_model(content.value)
         for batch in short_slices(batches, max_bytes=1_000_000):
             found = model.encode_all(next(columns_of(batch, "text")), n)
             flat = [entry for entries in found for entry in entries or ()]
@@ -380,17 +397,37 @@ def encode_pieces(docs: DataFrame, model_path: str = DEFAULT_MODEL, n: int = NBE
         encode, f"doc_id {id_type}, n_tokens long, nbest array<struct<score: double, ids: array<int>>>")
 
 
+def _spellings(content: bytes) -> pa.BinaryArray:
+    """The bytes of each id; control pieces are silent."""
+    model = sentencepiece.SentencePieceProcessor(model_proto=content)
+    return pa.array(
+        [b"" if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) else
+         bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else
+         model.id_to_piece(i).replace(_SPACE_MARK, " ").encode() for i in range(model.get_piece_size())], pa.binary())
+
+
+def _decoded(ids: pa.ListArray, spelled: pa.BinaryArray) -> pa.StringArray:
+    """The texts of sequences of ids, as ``PieceModel.decode`` gives them; ids outside the vocabulary are silent."""
+    flat = ids.flatten()
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(spelled)))
+    each = spelled.take(pc.if_else(known, flat, pa.scalar(None, flat.type)))
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    raw = pc.binary_join(pa.ListArray.from_arrays(offsets, pc.fill_null(each, b"")), b"")
+    texts = [r[1:] if r.startswith(b" ") else r for r in raw.to_pylist()]
+    return pa.array([None if null else t.decode("utf-8", "replace") for t, null in zip(texts, ids.is_null().to_pylist())], pa.string())
+
+
 def decode_pieces(docs: DataFrame, ids: Column, model_path: str = DEFAULT_MODEL, doc_id: str = "doc_id") -> DataFrame:
     """The texts of sequences of ids, as ``doc_id, decoded``; null ids give a null text, no ids the empty text."""
     content = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path))
     rows = docs.select(F.col(doc_id).alias("doc_id"), ids.alias("ids"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(content.value)
+        spelled = _spellings(content.value)
         for batch in batches:
             for start in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(start, DECODE_ROWS)
-                texts = [None if v is None else model.decode(v) for v in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["doc_id", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _decoded(part.column(1), spelled)], names=["doc_id", "decoded"])
 
     return rows.mapInArrow(decode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded string")
