@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from test_keywords import _check
 
 from tidewire.operators import keywords
+from tidewire.plans import queries
 from tidewire.sources import files, sinks
 
 
@@ -58,3 +59,9 @@ def test_stretches_do_not_leave_the_texts(spark):
     listed = spark.createDataFrame([("a", "abcd")], "kind string, keyword string")
     plan = keywords.candidate_keywords(rows, "id", F.col("text"), listed)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Generate" not in plan and "Join" not in plan
+
+
+def test_articles_do_not_move_for_bodies_or_heads(spark):
+    """Heads are looked up, and bodies join report rows, so that no row is moved with the body of a document in it."""
+    plan = queries.report_json(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan

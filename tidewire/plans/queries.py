@@ -180,11 +180,16 @@ def report_order(spark, sf):
     return ranking.numbered(V.scores(spark, sf).select("id", "final_score_v2"), order)
 
 
-def bodied_articles(spark: SparkSession, sf: str) -> DataFrame:
-    """Articles with the text of a document in turn as their body."""
+def with_bodies(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Report rows with the text of a document in turn as their body: only narrow rows and each document once move."""
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("no"), F.col("text").alias("body"))
     n = docs.count()
-    return V.articles(spark, sf).withColumn("no", F.col("id").cast("long") % n).join(docs, "no", "left").drop("no")
+    return rows.drop("body").withColumn("no", F.col("id").cast("long") % n).join(docs, "no", "left").drop("no")
+
+
+def bodied_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles with the text of a document in turn as their body."""
+    return with_bodies(V.articles(spark, sf), spark, sf)
 
 
 ARTICLE_JSON = "rank long, score double, source string, title string, url string, publishedAt string, eventId string, body string"
@@ -195,15 +200,16 @@ HEAD_JSON = ("reportMetadata struct<reportGeneratedAt: string, reportForDate: st
 @query
 def report_json(spark, sf):
     """Whole report documents of all dates, bodies included, read back from their JSON lines."""
-    rows = report.daily_report(V.scores(spark, sf), bodied_articles(spark, sf))
+    rows = with_bodies(settle(report.daily_report(V.scores(spark, sf), V.articles(spark, sf))), spark, sf)
     lines = settle(report.report_lines(rows, GENERATED_AT))
     heads = lines.filter("line_no = 0").select(
         "logical_date", F.from_json(F.concat("line", F.lit("]}")), HEAD_JSON)["reportMetadata"].alias("h")).select("logical_date", "h.*")
     items = lines.filter(F.contains("line", F.lit('"eventId"'))).select(
-        "logical_date", F.from_json(F.regexp_replace("line", "^,", ""), ARTICLE_JSON).alias("a")).select("logical_date", "a.*")
-    return items.join(heads, "logical_date").select(
-        "reportGeneratedAt", "reportForDate", "articleCount", "rank", "score", "source", "title", "url", "publishedAt", "eventId",
-        F.md5("body").alias("body_md5"))
+        "logical_date", F.from_json(F.regexp_replace("line", "^,", ""), ARTICLE_JSON).alias("a")).select(
+            "logical_date", "a.*", F.md5("a.body").alias("body_md5")).drop("body")
+    # One head per date: looked up, so that no article moves for it.
+    return lookup(items, settle(heads), "logical_date", "rank", "inner").select(
+        "reportGeneratedAt", "reportForDate", "articleCount", "rank", "score", "source", "title", "url", "publishedAt", "eventId", "body_md5")
 
 
 @query
