@@ -72,3 +72,33 @@ def test_bounds_are_part_of_the_join(spark):
     joins = [line for line in plan.splitlines() if "Join" in line and "meeting" in line and "bit_count" in line]
     assert joins and all("least" in line for line in joins)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_copies_are_compared_once_a_set(spark, monkeypatch):
+    """Of a group of near copies, all alike, the words of each set are compared with those of one other."""
+    whole = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(whole + [f"own{k}"])) for k in range(40)]
+    compared, plain = [], dedup.really_similar
+    monkeypatch.setattr(dedup, "really_similar", lambda pairs, *rest: compared.append(pairs.count()) or plain(pairs, *rest))
+    df = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in dedup.similar_repeats(df, "id", F.col("text")).collect())
+    assert got == _expected(rows, 0.8) == [(k, 0, k > 0) for k in range(40)]
+    assert sum(compared) == 39
+
+
+@pytest.mark.parametrize("tries", [0, 1])
+def test_failed_candidates_are_followed_by_the_others(spark, monkeypatch, tries):
+    """Candidates of smaller numbers that fail do not hide a similar one behind them."""
+    monkeypatch.setattr(dedup, "TRIES", tries)
+    monkeypatch.setattr(dedup, "WORD_BUCKETS", 64)
+    rows = _texts(11, 250, 25, 25)
+    df = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in dedup.similar_repeats(df, "id", F.col("text")).collect())
+    assert got == _expected(rows, 0.8)
+
+
+def test_null_and_repeated_keys(spark):
+    rows = [(None, "a b c d e f g h i j"), (None, "a b c d e f g h i k"), (3, "a b c d e f g h i j"), (3, "x y"), (2, "x y"), (None, "x")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = sorted((tuple(r) for r in dedup.similar_repeats(df, "id", F.col("text")).collect()), key=str)
+    assert got == sorted([(None, 3, None), (None, 3, None), (3, 3, False), (3, 2, True), (2, 2, False), (None, None, None)], key=str)

@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewire.operators.lookup import lookup, rows_with_keys
+from tidewire.operators.lookup import MAX_BROADCAST_BYTES, lookup, payload_bytes, rows_with_keys
 from tidewire.operators.ranking import first_rows_per_group
 from tidewire.session import settle
 
 SIMILARITY = 0.8
 # Sets that are entered under one word meet in parts of this size.
 CROWD = 500
+# Words are counted in so many buckets, for their order.
+WORD_BUCKETS = 1 << 20
+# Candidates that a set tries singly after its first.
+TRIES = 3
 # Parity maps of a set, 64 bits each.
 PARITY_MAPS = 4
+# Of the wide map, which only pairs that passed the narrow one are tried by.
+WIDE_MAPS = 32
 BITS = 60
 BANDS = 10
 AGREEING = 8
@@ -93,27 +103,61 @@ def near_repeats(df: DataFrame, key: str, text: Column) -> DataFrame:
     return marked.withColumn("is_repeat", F.col("earliest") < F.col(key))
 
 
+def word_bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def rarest_first(keyed: DataFrame) -> Callable[[Column], Column]:
+    """Orders an array of sorted words by how many rows hold the words of their bucket, rarest first.
+
+    Only the counts of ``WORD_BUCKETS`` buckets pass the driver, whatever the size of the table. Words that share a
+    bucket count as equally rare, so the order is rough but the same for all rows, which is what the bounds rely on.
+    """
+    single = keyed.select(F.explode("words").alias("word"))
+    counted = single.groupBy(word_bucket(F.col("word")).alias("bucket")).agg(F.count("*").alias("n")).toArrow()
+    counts = np.zeros(WORD_BUCKETS, dtype=np.int64)
+    counts[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    kept = keyed.sparkSession.sparkContext.broadcast(counts)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def places(buckets: pd.Series) -> pd.Series:
+        return buckets.map(lambda each: np.argsort(kept.value[each], kind="stable").astype(np.int32))
+
+    return lambda column: F.transform(places(F.transform(column, word_bucket)), lambda i: F.get(column, i))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def parity_maps(buckets: pd.Series) -> pd.Series:
+    """The narrow map and then the wide one, 64 bits each: every word flips the one bit of its bucket in either."""
+    def of(each: np.ndarray) -> np.ndarray:
+        wide = (np.bincount(each % (64 * WIDE_MAPS), minlength=64 * WIDE_MAPS) & 1).astype(np.uint8)
+        narrow = wide.reshape(-1, 64 * PARITY_MAPS).sum(axis=0).astype(np.uint8) & 1
+        return np.packbits(np.concatenate([narrow, wide])).view("<i8")
+
+    return buckets.map(of)
+
+
 def ordered_sets(df: DataFrame, key: str, text: Column) -> tuple[DataFrame, DataFrame]:
-    """The rows as ``key, set_id``, and the different sets of words: ``set_id, number, first, size, words, bits``.
+    """The rows as ``key, set_id``, and the different sets of words: ``set_id, number, first, size, words, bits, wide``.
 
-    ``words`` come rarest first, ties in their own order, ``first`` is the smallest key of the set and ``bits``
-    its parity map: each word flips one bit, so that two sets differ in at least as many words as their maps in bits.
+    ``words`` come rarest first, ties in their own order, ``first`` is the smallest key of the set, ``bits`` and
+    ``wide`` its parity maps: each word flips one bit, so that two sets differ in at least as many words as their maps in bits.
+    Numbers follow the order of ``first``, NULL last. Of the rows of a set one brings its words.
     """
     marked = df.select(key, F.array_sort(F.array_distinct(F.filter(words(text), lambda w: w != ""))).alias("words"))
-    keyed = settle(marked.select(key, F.md5(F.concat_ws(" ", "words")).alias("set_id"), "words"))
-    sets = settle(keyed.groupBy("set_id").agg(F.min(key).alias("first"), F.first("words").alias("words")).withColumn(
-        "number", F.monotonically_increasing_id()))
-    single = sets.select("number", F.explode("words").alias("word"))
-    counts = settle(single.groupBy("word").agg(F.count("*").alias("n")))
-    place = F.pmod(F.xxhash64("word"), F.lit(64 * PARITY_MAPS))
-    flips = [F.bit_xor(F.when(F.floor(place / 64) == k, F.expr("shiftleft(1L, cast(pmod(xxhash64(word), 64) as int))")))
-             for k in range(PARITY_MAPS)]
-    ordered = lookup(single, counts, "word", "number", "inner").groupBy("number").agg(
-        F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ordered"), F.array(*flips).alias("bits"))
-    whole = sets.select("set_id", "number", "first").join(ordered, "number")
-    bits = F.transform("bits", lambda b: F.coalesce(b, F.lit(0).cast("long")))
+    keyed = settle(marked.select(key, F.md5(F.concat_ws(" ", "words")).alias("set_id"), "words").withColumn(
+        "row", F.monotonically_increasing_id()))
+    narrow = keyed.groupBy("set_id").agg(F.min(key).alias("first"), F.min("row").alias("row"))
+    numbered = settle(narrow.orderBy(F.col("first").asc_nulls_last(), "set_id").withColumn("number", F.monotonically_increasing_id()))
+    ordered = rarest_first(keyed.filter(F.size("words") > 0))
+    # The numbers are broadcast while they are few; beyond that the words are shuffled, once.
+    few = payload_bytes(numbered.select("row", "number")) <= MAX_BROADCAST_BYTES
+    worded = keyed.filter(F.size("words") > 0).select("row", "set_id", "words")
+    whole = worded.join(F.broadcast(numbered.drop("set_id")) if few else numbered.drop("set_id"), "row").withColumn(
+        "maps", parity_maps(F.transform("words", word_bucket)))
     return keyed.select(key, "set_id"), settle(whole.select(
-        "set_id", "number", "first", F.size("ordered").alias("size"), F.col("ordered")["word"].alias("words"), bits.alias("bits")))
+        "set_id", "number", "first", F.size("words").alias("size"), ordered(F.col("words")).alias("words"),
+        F.slice("maps", 1, PARITY_MAPS).alias("bits"), F.slice("maps", PARITY_MAPS + 1, WIDE_MAPS).alias("wide")))
 
 
 def least_shared(a_size: Column, b_size: Column, at_least: float) -> Column:
@@ -122,7 +166,12 @@ def least_shared(a_size: Column, b_size: Column, at_least: float) -> Column:
 
 
 def similar_candidates(sets: DataFrame, at_least: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
-    """Pairs ``a, b`` of set numbers that may be similar; all that are similar are among them.
+    """Pairs ``a, b`` of set numbers that may be similar; all that are similar are among them. See ``meetings``."""
+    return meetings(sets, sets, at_least, crowd).distinct()
+
+
+def meetings(smaller: DataFrame, larger: DataFrame, at_least: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
+    """Pairs ``a, b`` of numbers that may be similar, ``a`` of the sets in ``smaller``, ``b`` of those in ``larger``; pairs recur.
 
     In the order of rarity two similar sets share a word so early that enough others can follow it on both sides. The
     smaller set is entered under its first words, as many as a partner of its own size leaves open; the larger one asks
@@ -140,9 +189,9 @@ def similar_candidates(sets: DataFrame, at_least: float = SIMILARITY, crowd: int
         each = rows.select(*narrow, kind.alias("kind"), F.posexplode(F.slice("words", 1, open_places)).alias("place", "word"))
         return each.withColumn("meeting", F.xxhash64("word", "kind")).drop("word", "kind")
 
-    entered = under(sets, size_class(size), size - least_shared(size, size, at_least) + 1)
+    entered = under(smaller, size_class(size), size - least_shared(size, size, at_least) + 1)
     smallest = F.ceil(size * at_least - 1e-9).cast("int")
-    asking = sets.withColumn("kind", F.explode(F.sequence(size_class(smallest), size_class(size))))
+    asking = larger.withColumn("kind", F.explode(F.sequence(size_class(smallest), size_class(size))))
     # The smallest size of the class, or somewhat less; the partner is no smaller than that.
     partner = F.least(size, F.greatest(smallest, F.floor(F.exp(F.col("kind") * step)).cast("int") - 1))
     asked = under(asking, F.col("kind"), size - least_shared(size, partner, at_least) + 1)
@@ -160,27 +209,69 @@ def similar_candidates(sets: DataFrame, at_least: float = SIMILARITY, crowd: int
     differ = sum((F.bit_count(F.col(f"a.bits{k}").bitwiseXOR(F.col(f"b.bits{k}"))) for k in range(PARITY_MAPS)), F.lit(0))
     bound = (follow >= shared) & (differ <= F.col("a.size") + F.col("b.size") - 2 * shared)
     met = a.join(b, (F.col("a.meeting") == F.col("b.meeting")) & (F.col("a.part") == F.col("b.part")) & ordered & bound)
-    return met.select(F.col("a.number").alias("a"), F.col("b.number").alias("b")).distinct()
+    return met.select(F.col("a.number").alias("a"), F.col("b.number").alias("b"))
+
+
+def really_similar(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
+    """Those of the pairs ``later, earlier`` whose words, compared in full, are similar.
+
+    Words are fetched only for pairs whose wide parity maps leave that open.
+    """
+    def asked(pairs: DataFrame, *names: str) -> Callable[[str], DataFrame]:
+        wanted = settle(pairs.select(F.col("later").alias("number")).union(pairs.select("earlier")).distinct())
+        kept = rows_with_keys(sets.select("number", *names), wanted, "number", "left_semi")
+        return lambda side: kept.select(F.col("number").alias(side), *[F.col(n).alias(f"{side}_{n}") for n in names])
+
+    maps = asked(pairs, "size", "wide")
+    differ = F.aggregate(F.zip_with("later_wide", "earlier_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
+    most = F.col("later_size") + F.col("earlier_size") - 2 * least_shared(F.col("later_size"), F.col("earlier_size"), at_least)
+    pairs = settle(pairs.join(maps("later"), "later").join(maps("earlier"), "earlier").filter(differ <= most).select("later", "earlier"))
+    side = asked(pairs, "words")
+    whole = pairs.join(side("later"), "later").join(side("earlier"), "earlier")
+    shared = F.size(F.array_intersect("later_words", "earlier_words"))
+    return whole.filter(shared >= least_shared(F.size("later_words"), F.size("earlier_words"), at_least)).select("later", "earlier")
+
+
+def earliest_links(sets: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
+    """(later, earlier): for each set that is similar to one of a smaller number the smallest such number.
+
+    Every set first tries its smallest candidate; where that is similar, the others cannot matter, so a group of copies
+    costs one comparison a set and no pair of it leaves the join. Sets whose first try fails meet the others again;
+    they try the next ones singly ``TRIES`` times, then all that are left.
+    """
+    later, earlier = F.greatest("a", "b").alias("later"), F.least("a", "b").alias("earlier")
+    smallest = lambda pairs: settle(pairs.groupBy("later").agg(F.min("earlier").alias("earlier")))
+    tried = smallest(meetings(sets, sets, at_least).select(later, earlier))
+    found = settle(really_similar(tried, sets, at_least))
+    failed = settle(tried.join(found, "later", "left_anti").withColumnRenamed("earlier", "after"))
+    if failed.isEmpty():
+        return found
+    again = rows_with_keys(sets, failed.select(F.col("later").alias("number")), "number", "left_semi")
+    met = meetings(again, sets, at_least).union(meetings(sets, again, at_least)).select(later, earlier)
+    left = settle(met.join(failed, "later").filter("earlier > after").select("later", "earlier").distinct())
+    for _ in range(TRIES):
+        tried = smallest(left)
+        new = settle(really_similar(tried, sets, at_least))
+        found = found.union(new)
+        over = tried.withColumnRenamed("earlier", "after")
+        left = settle(left.join(over, "later").filter("earlier > after").select("later", "earlier").join(new, "later", "left_anti"))
+        if left.isEmpty():
+            return found
+    return found.union(really_similar(left, sets, at_least).groupBy("later").agg(F.min("earlier").alias("earlier")))
 
 
 def similar_repeats(df: DataFrame, key: str, text: Column, at_least: float = SIMILARITY) -> DataFrame:
     """(key, earliest, is_repeat) by the Jaccard similarity of the sets of words.
 
     ``earliest`` is the smallest key among the rows with a similarity of ``at_least`` to the row, itself
-    included. All of them are found: see ``similar_candidates``. Equal sets are one set from the start; only the
+    included; none is missed: see ``meetings`` and ``earliest_links``. Equal sets are one set from the start; only the
     words of candidates are fetched, and compared in full. A row without words is alike to all such rows.
     """
     keyed, sets = ordered_sets(df, key, text)
-    pairs = settle(similar_candidates(sets, at_least))
-    side = lambda name: sets.select(*[F.col(c).alias(n) for c, n in (
-        ("number", name), ("set_id", f"{name}_set"), ("words", f"{name}_words"), ("first", f"{name}_first"))])
-    whole = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("a_words", "b_words"))
-    similar = settle(whole.filter(shared >= least_shared(F.size("a_words"), F.size("b_words"), at_least)).select(
-        "a_set", "b_set", "a_first", "b_first"))
-    links = similar.select(F.col("a_set").alias("set_id"), F.col("b_first").alias("first")).unionByName(
-        similar.select(F.col("b_set").alias("set_id"), F.col("a_first").alias("first")))
-    nearest = links.groupBy("set_id").agg(F.min("first").alias("linked"))
+    links = earliest_links(sets, at_least)
+    named = sets.select("number", "set_id", "first")
+    nearest = links.join(named.select(F.col("number").alias("later"), "set_id"), "later").join(
+        named.select(F.col("number").alias("earlier"), F.col("first").alias("linked")), "earlier").select("set_id", "linked")
     # Rows of a set of their own need its first key, all others also that of their links.
     firsts = settle(keyed.groupBy("set_id").agg(F.min(key).alias("first")).join(nearest, "set_id", "left").select(
         "set_id", F.least("first", "linked").alias("earliest")))
