@@ -164,6 +164,23 @@ def test_pieces_against_all_segmentations(model):
             assert model.decode(ids) == text
 
 
+def test_segments_of_any_length_side_by_side(model):
+    """One pass over texts of all lengths gives each what it gets alone; a text with an unknown character is left out."""
+    rng = random.Random(4)
+    texts = sorted({"".join(rng.choice("athesion r☃\0") for _ in range(rng.randint(1, 20))) for _ in range(150)}, key=len, reverse=True)
+    ok, counts, ids, scores, losses = model.batch.best(texts)
+    assert 0 < ok.sum() < len(texts)
+    ends = np.cumsum(counts)
+    for k, text in enumerate(texts):
+        if ok[k]:
+            path, score, loss = model._best(text)
+            assert (ids[ends[k] - counts[k]:ends[k]].tobytes(), scores[k], losses[k]) == (path, score, loss)
+            if loss < np.inf:
+                assert model.n_best(text, 2, loss) == model.n_best(text, 2)
+        else:
+            assert not counts[k]
+
+
 def test_ties_of_repeated_words(model):
     """Equal losses of repeated words are settled by the ids, read from the end."""
     rng = random.Random(9)

@@ -6,34 +6,37 @@ import numpy as np
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 18
+_GAP = chr(0)
 
 
-def _keys(chars: np.ndarray) -> list[np.ndarray]:
-    """For each length the keys of all stretches of that length; ``chars`` has a row per stretch of text."""
+def _keys(chars: np.ndarray, ends: list[int]) -> list[np.ndarray]:
+    """For each length the keys of all stretches of that length among the first characters, up to the end for that length."""
     wide = chars.astype(np.uint64) + np.uint64(1)
-    keys, last = [], None
-    for length in range(1, chars.shape[1] + 1):
-        ends = wide[:, length - 1:]
-        last = ends * _FACTOR if last is None else (last[:, :-1] + ends) * _FACTOR
+    keys, last = [], wide[:0]
+    for length, end in enumerate(ends, 1):
+        tail = wide[length - 1:end]
+        last = tail * _FACTOR if length == 1 else (last[:len(tail)] + tail) * _FACTOR
         keys.append(last ^ (last >> np.uint64(29)))
     return keys
 
 
 class BatchLattice:
-    """A table of pieces, and Viterbi passes over equally long texts side by side.
+    """A table of pieces, and Viterbi passes over short texts side by side.
 
     The two best scores are kept at each position; ties go to the smaller id. A text with a character
     outside the pieces is left out (``ok`` is False): such characters are spelled as several ids.
     """
 
     def __init__(self, pieces: dict[str, tuple[float, int]]):
+        if any(_GAP in p for p in pieces):
+            raise ValueError("a piece holds the character that parts the texts")
         self.longest = max(map(len, pieces))
         self.slots = np.zeros(1 << _TABLE_BITS, dtype=np.uint64)
         self.scores = np.full(1 << _TABLE_BITS, -np.inf)
         self.ids = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
         self.probes = 1
         for piece, (score, i) in pieces.items():
-            key = _keys(_chars([piece], len(piece)))[-1][0, 0]
+            key = _keys(_chars(piece), [len(piece)] * len(piece))[-1][0]
             at, probe = int(key >> np.uint64(64 - _TABLE_BITS)), 1
             while self.slots[at]:
                 at, probe = (at + 1) % len(self.slots), probe + 1
@@ -43,30 +46,44 @@ class BatchLattice:
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key in the table, or of an empty slot."""
         home = (keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
-        found = home.copy()
-        open_ = self.slots[found] != keys
+        kept = self.slots[home]
+        found = np.where(kept == keys, home, -1)
+        open_ = np.flatnonzero((kept != keys) & (kept != 0))
         for probe in range(1, self.probes):
-            rows = np.nonzero(open_ & (self.slots[found] != 0))
-            if not len(rows[0]):
+            if not len(open_):
                 break
-            found[rows] = (home[rows] + probe) % len(self.slots)
-            open_[rows] = self.slots[found[rows]] != keys[rows]
-        return np.where(open_, -1, found)
+            at = (home[open_] + probe) % len(self.slots)
+            kept = self.slots[at]
+            same = kept == keys[open_]
+            found[open_[same]] = at[same]
+            open_ = open_[~same & (kept != 0)]
+        return found
 
-    def best(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-        """For texts of one length: whether they are ``ok``, ids as 32-bit integers, scores, losses of the second best."""
-        size, rows = len(texts[0]), np.arange(len(texts))
-        first = np.full((size + 1, len(texts)), -np.inf)
-        second = np.full((size + 1, len(texts)), -np.inf)
-        took = np.zeros((size + 1, len(texts)), dtype=np.int64)
-        which = np.full((size + 1, len(texts)), -1, dtype=np.int32)
+    def best(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For texts by falling length: whether they are ``ok``, how many ids each has and all ids in a row, scores, losses
+        of the second best. A text that is not ``ok`` has no ids."""
+        sizes = np.array([len(t) for t in texts])
+        longest, count = int(sizes[0]), len(texts)
+        # One row of characters with a gap behind each text; no piece holds the gap, so none crosses it.
+        flat = _chars(_GAP.join(texts) + _GAP)
+        starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        # So many texts, from the first, reach each position; stretches of a length are looked up in these only.
+        reach = np.searchsorted(-sizes, -np.arange(longest + 1), side="right")
+        ends = np.cumsum(sizes + 1)[reach - 1].tolist()
+        places = [self._find(k) for k in _keys(flat, ends[1:self.longest + 1])]
+        unknown = places[0] < 0
+        unknown[starts + sizes] = False
+        ok = ~np.logical_or.reduceat(unknown, starts)
+        first = np.full((longest + 1, count), -np.inf)
+        second = np.full((longest + 1, count), -np.inf)
+        took = np.zeros((longest + 1, count), dtype=np.int64)
+        which = np.full((longest + 1, count), -1, dtype=np.int32)
         first[0] = 0.0
-        places = [self._find(k) for k in _keys(_chars(texts, size))[: self.longest]]
-        ok = (places[0] >= 0).all(axis=1)
-        for end in range(1, size + 1):
+        for end in range(1, longest + 1):
+            at = starts[:reach[end]] + end
             for length in range(1, min(end, self.longest) + 1):
-                place = places[length - 1][:, end - length]
-                known = np.nonzero(place >= 0)[0]
+                place = places[length - 1][at - length]
+                known = np.flatnonzero(place >= 0)
                 if not len(known):
                     continue
                 place = place[known]
@@ -77,20 +94,19 @@ class BatchLattice:
                 second[end, known] = np.maximum(np.maximum(second[end, known], follow), np.minimum(top, value))
                 won = known[better]
                 first[end, won], took[end, won], which[end, won] = value[better], length, i[better]
-        at = np.full(len(texts), size)
-        tokens = np.zeros((len(texts), size), dtype="<i4")
-        filled = np.zeros(len(texts), dtype=np.int64)
-        while True:
-            live = np.nonzero((at > 0) & ok)[0]
-            if not len(live):
-                break
+        at = np.where(ok, sizes, 0)
+        tokens = np.zeros((count, longest), dtype="<i4")
+        filled = np.zeros(count, dtype=np.int64)
+        live = np.flatnonzero(at)
+        while len(live):
             filled[live] += 1
-            tokens[live, size - filled[live]] = which[at[live], live]
+            tokens[live, longest - filled[live]] = which[at[live], live]
             at[live] -= took[at[live], live]
-        raw = tokens.tobytes()
-        spelled = [raw[4 * (r * size + size - n):4 * (r + 1) * size] for r, n in zip(rows.tolist(), filled.tolist())]
-        return ok, spelled, first[size], np.where(ok, first[size], 0.0) - second[size]
+            live = live[at[live] > 0]
+        ids = tokens[np.arange(longest) >= longest - filled[:, None]]
+        whole = first[sizes, np.arange(count)]
+        return ok, filled, ids, whole, np.where(ok, whole, 0.0) - second[sizes, np.arange(count)]
 
 
-def _chars(texts: list[str], size: int) -> np.ndarray:
-    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").reshape(-1, size)
+def _chars(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")

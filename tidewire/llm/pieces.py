@@ -6,7 +6,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,8 @@ from tidewire.llm.lattice import BatchLattice
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 3
 # Segments of each worker that keep their best path; when there are more, only those that came up again stay.
-# Segments up to BATCH_LENGTH characters are solved side by side, up to BATCH_ROWS of a length at once.
-CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 200_000, 32, 4_000
+# Segments up to BATCH_LENGTH characters are solved side by side, up to BATCH_ROWS at once.
+CACHE_SEGMENTS, BATCH_LENGTH, BATCH_ROWS = 300_000, 32, 4_000
 # Of segments whose other segmentations were asked for, so many.
 CACHE_OTHERS = 15_000
 # Below the lowest score of a single character, as for an unknown character of a unigram model.
@@ -30,6 +30,8 @@ UNKNOWN_PENALTY = 10.0
 # Pieces at or below this score (runs of spaces) are in the vocabulary to be decoded, not to be built.
 NEVER_BUILT = -1e8
 DECODE_ROWS = 500
+# Sums of the same scores in another order differ by far less.
+ROUNDING = 1e-3
 _SPACE_MARK = "▁"
 
 
@@ -109,14 +111,16 @@ class PieceModel:
             best.append(max([best[i] + score for i, score, _ in arcs]))
         return best
 
-    def n_best(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    def n_best(self, segment: str, n: int, loss: float = np.inf) -> list[tuple[float, tuple[int, ...]]]:
         """The best ``n`` segmentations by A* from the end to the start.
 
         The forward scores are the exact value of what is left, so every path taken from the heap can be
-        completed at the value it stands under. Equal scores go by the ids, read from the end.
+        completed at the value it stands under. Equal scores go by the ids, read from the end. If the last of
+        the ``n`` is known to lose ``loss``, paths that lose more are not entered.
         """
         ending = self.arcs(segment)
         best = self.forward(ending)
+        most = loss + ROUNDING - best[-1]
         heap: list[tuple[float, tuple[tuple[int, ...], ...], int, float]] = [(-best[-1], (), len(segment), 0.0)]
         found: list[tuple[float, tuple[int, ...]]] = []
         while heap and len(found) < n:
@@ -125,7 +129,9 @@ class PieceModel:
                 found.append((behind, tuple(chain.from_iterable(reversed(path)))))
                 continue
             for i, score, ids in ending[at]:
-                heapq.heappush(heap, (-(best[i] + (score + behind)), path + (ids,), i, score + behind))
+                value = -(best[i] + (score + behind))
+                if value <= most:
+                    heapq.heappush(heap, (value, path + (ids,), i, score + behind))
         return found
 
     def kept_n_best(self, segment: str, n: int) -> tuple[list[float], list[bytes], list[int]]:
@@ -142,13 +148,13 @@ class PieceModel:
                 [ordered.index(ids) for ids in backward])
         return found
 
-    def second_precedes(self, segment: str) -> bool:
-        """Whether the ids of the second best, read from the end, come before those of the best."""
+    def second_precedes(self, segment: str, loss: float) -> bool:
+        """Whether the ids of the second best, read from the end, come before those of the best; it loses ``loss``."""
         found = self.known_order.get(segment)
         if found is None:
             if len(self.known_order) >= CACHE_SEGMENTS:
                 self.known_order.clear()
-            best, second = [ids[::-1] for _, ids in self.n_best(segment, 2)]
+            best, second = [ids[::-1] for _, ids in self.n_best(segment, 2, loss)]
             found = self.known_order[segment] = second < best
         return found
 
@@ -176,46 +182,45 @@ class PieceModel:
         if len(self.known) > CACHE_SEGMENTS:
             self._forget()
         earlier = len(self.known)
-        found = list(map(self.known.get, segments))
-        if None in found:
-            missing = [at for at, k in enumerate(found) if k is None]
-            self._solve({segments[at] for at in missing})
-            for at in missing:
-                found[at] = self.known[segments[at]]
-        numbers = np.array(found, dtype=np.int64)
+        numbers = np.fromiter(map(self.known.get, segments, repeat(-1)), np.int64, len(segments))
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if missing:
+            absent = [segments[at] for at in missing]
+            self._solve(set(absent))
+            numbers[missing] = [self.known[segment] for segment in absent]
         self.again[numbers[numbers < earlier]] = True
         return numbers
 
     def _solve(self, new: set[str]) -> None:
-        """Find the best paths of new segments, those of one length side by side."""
-        groups: dict[int, list[str]] = {}
-        for segment in new:
-            groups.setdefault(len(segment) if len(segment) <= BATCH_LENGTH else 0, []).append(segment)
-        alone, solved, spelled = groups.pop(0, []), [], []
-        scores, losses = [self.scores], [self.losses]
-        for group in groups.values():
-            for k in range(0, len(group), BATCH_ROWS):
-                chunk = group[k:k + BATCH_ROWS]
-                ok, ids, chunk_scores, chunk_losses = self.batch.best(chunk)
-                if not ok.all():
-                    alone += [t for t, fine in zip(chunk, ok.tolist()) if not fine]
-                    chunk, ids = ([t for t, fine in zip(each, ok.tolist()) if fine] for each in (chunk, ids))
-                solved += chunk
-                spelled += ids
-                scores.append(chunk_scores[ok])
-                losses.append(chunk_losses[ok])
+        """Find the best paths of new segments, short ones side by side."""
+        short = sorted([t for t in new if len(t) <= BATCH_LENGTH], key=len, reverse=True)
+        alone, solved = [t for t in new if len(t) > BATCH_LENGTH], []
+        scores, losses, sizes, ids = [self.scores], [self.losses], [], [self.ids]
+        for k in range(0, len(short), BATCH_ROWS):
+            chunk = short[k:k + BATCH_ROWS]
+            ok, counts, chunk_ids, chunk_scores, chunk_losses = self.batch.best(chunk)
+            if not ok.all():
+                alone += [t for t, fine in zip(chunk, ok.tolist()) if not fine]
+                chunk = [t for t, fine in zip(chunk, ok.tolist()) if fine]
+            solved += chunk
+            sizes.append(counts[ok])
+            ids.append(chunk_ids)
+            scores.append(chunk_scores[ok])
+            losses.append(chunk_losses[ok])
         for segment in alone:
             each = [self._best(p) for p in self.parts(segment)]
+            spelled = np.frombuffer(b"".join([e[0] for e in each]), "<i4")
             solved.append(segment)
-            spelled.append(b"".join([e[0] for e in each]))
+            sizes.append(np.array([len(spelled)]))
+            ids.append(spelled)
             scores.append(np.array([sum([e[1] for e in each])]))
             losses.append(np.array([min([e[2] for e in each])]))
         self.known.update(zip(solved, range(len(self.known), len(self.known) + len(solved))))
         self.again = np.concatenate([self.again, np.zeros(len(solved), dtype=bool)])
         self.scores, self.losses = np.concatenate(scores), np.concatenate(losses)
-        ends = len(self.ids) + np.cumsum([len(s) // 4 for s in spelled])
+        ends = len(self.ids) + np.cumsum(np.concatenate(sizes))
         self.starts = np.concatenate([self.starts, ends.astype(np.int64)])
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(spelled), "<i4")])
+        self.ids = np.concatenate(ids)
 
     def parts(self, segment: str) -> list[str]:
         """The segment cut between neighbours that no piece holds together."""
@@ -301,7 +306,7 @@ class PieceModel:
         if len(tied) > wanted:
             late, rest = [], []
             for k in reversed(tied):
-                (late if self.second_precedes(segments[k]) else rest).append(k)
+                (late if self.second_precedes(segments[k], limit) else rest).append(k)
                 if len(late) == wanted:
                     break
             tied = (late + rest[::-1])[:wanted]
