@@ -111,7 +111,11 @@ class PieceModel:
             best.append(max([best[i] + score for i, score, _ in arcs]))
         return best
 
-    def n_best(self, segment: str, n: int, loss: float = np.inf) -> list[tuple[float, tuple[int, ...]]]:
+    def n_best(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """The best ``n`` segmentations."""
+        return self.search(segment, n, np.inf)
+
+    def search(self, segment: str, n: int, loss: float) -> list[tuple[float, tuple[int, ...]]]:
         """The best ``n`` segmentations by A* from the end to the start.
 
         The forward scores are the exact value of what is left, so every path taken from the heap can be
@@ -154,7 +158,7 @@ class PieceModel:
         if found is None:
             if len(self.known_order) >= CACHE_SEGMENTS:
                 self.known_order.clear()
-            best, second = [ids[::-1] for _, ids in self.n_best(segment, 2, loss)]
+            best, second = [ids[::-1] for _, ids in self.search(segment, 2, loss)]
             found = self.known_order[segment] = second < best
         return found
 
