@@ -1,5 +1,7 @@
 """Sinks and keyword lists whose work must not fall to the driver or leave the texts."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 from test_keywords import _check
@@ -41,6 +43,24 @@ def test_briefings_are_committed_by_tasks(spark, tmp_path, monkeypatch):
     assert files.recorded_documents(spark, folder).count() == len(want)
 
 
+def test_recorded_documents_do_not_go_to_the_driver(spark, tmp_path):
+    """Names and paths grow with the documents: none is broadcast, and texts reach the workers in bounded batches."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64m")
+    rows = [(i, None if i == 3 else "" if i == 4 else f"text {i}\n\nof {i}\n" * (1 + i % 3)) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    try:
+        found = queries.briefing_sink(spark, str(tmp_path))
+        assert spark.conf.get(name) == f"{8 << 20}b"
+    finally:
+        spark.conf.set(name, before)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    text_name = lambda i: f"2024-01-02_06-{i // 60:02d}-{i % 60:02d}_daily_briefing.md"
+    assert {tuple(r) for r in found.collect()} == {(text_name(i), hashlib.md5((t or "").encode()).hexdigest()) for i, t in rows}
+
+
 LISTS = [
     [], [("a", "abcd"), ("b", "é𝄞"), ("c", "漢字漢")], [("a", "a"), ("a", "zzzzkey1"), ("b", "k abc"), ("c", "abcde"), ("c", "none")],
     [("a", ""), ("b", None), ("c", "\n"), ("d", "abc")], [("a", "z" * 70 + "key1234"), ("b", "z" * 70 + "key12345"), ("c", "z" * 64), (None, "a")]]

@@ -1129,8 +1129,9 @@ def briefing_sink(spark, sf):
     # Of each text its lines in order; a text is as long as one document.
     whole = lines.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), "\n").alias("text"))
     bare = lambda path: F.regexp_extract(path, "file_name=([^/]+)$", 1)
-    return whole.select(bare(F.col("path")).alias("name"), "text").join(recorded, "name").select(
-        F.col("name").alias("file_name"), F.md5("text").alias("text_md5"))
+    found = whole.select(bare(F.col("path")).alias("name"), F.md5("text").alias("text_md5"))
+    # Paths compress so well that all of them look small enough to broadcast.
+    return found.hint("merge").join(recorded, "name").select(F.col("name").alias("file_name"), "text_md5")
 
 
 @query
