@@ -41,3 +41,25 @@ def test_links_count_in_the_first_shared_bucket(monkeypatch):
                         and not (side[3][a, :table] == side[3][b, :table]).any()) for a in range(30)]
             assert counts.tolist() == want
     assert embeddings._compare(side, None, 0, 1.5)[0].tolist() == [0] * 30
+
+
+def test_no_link_is_left_to_chance(spark):
+    """Pairs just above the threshold in labels of several cells: each of them is found, however many signs are drawn."""
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((1800, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = rng.standard_normal(base.shape)
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    twin = 0.98002 * base + np.sqrt(1 - 0.98002 ** 2) * aside
+    x = np.concatenate([base, twin, 3 * base[:40]])
+    label = [k % 1800 % 3 for k in range(3600)] + [k % 3 for k in range(40)]
+    similar = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T >= 0.98
+    similar &= np.equal.outer(label, label) & ~np.eye(len(x), dtype=bool)
+    want = dict(enumerate(similar.sum(axis=1).tolist()))
+    assert min(want.values()) == 1 and max(want.values()) >= 2
+    df = spark.createDataFrame([(i, v.tolist(), k) for i, (v, k) in enumerate(zip(x, label))], "vec_id long, embedding array<double>, label int")
+    for signs, block in ((28, 512), (None, 100), (4, 16)):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.link_embeddings(df, signs=signs, block=block).collect()}
+        assert {i: n for i, (n, _) in got.items()} == want
+        assert all(got[i][1] == i % 1800 for i in range(3600))
